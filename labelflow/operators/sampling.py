@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import py_strip
+from labelflow.session import ensure_checkpoint_dir
 
 
 def _list(x) -> list[str]:
@@ -31,6 +32,7 @@ def group_ordinal(df: DataFrame, group, order, out: str = "position",
     (group, partition) table of counts yields each partition's offset inside
     its group, and the result is id - first id + offset.
     ``order`` should make rows unique within a group for a deterministic result.
+    The partitioned table is checkpointed, so building the plan runs one job.
     """
     group, order = _list(group), _list(order)
     spark = df.sparkSession
@@ -40,6 +42,11 @@ def group_ordinal(df: DataFrame, group, order, out: str = "position",
          .sortWithinPartitions(*group, *order)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
+    # Both the counts and the join read t; materialise it once (reliable checkpoint in the
+    # shared spark.checkpoint.dir) so they see one set of range bounds and ids, and a lost
+    # executor re-reads files instead of re-sampling.
+    ensure_checkpoint_dir(spark)
+    t = t.checkpoint(eager=True)
     stats = t.groupBy(*group, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_pid").alias("_p"), "_m0",

@@ -112,3 +112,36 @@ def f5_lineitem_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_returnflag").alias("gold_label"),
                      F.when(_mod("l_orderkey", 4), "N").otherwise(F.col("l_returnflag"))
                       .alias("predicted_label"))
+
+
+def f4_loss_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 loss rows: run = user_id, order = (ts, event_id), loss NULL when event_id % 6 = 0,
+    progress = row number / rows of the run (row numbers from the skew-safe ordinal)."""
+    from labelflow.operators.sampling import group_ordinal
+
+    ev = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run"), "event_id", "ts",
+        F.when(_mod("event_id", 6), F.lit(None).cast("double")).otherwise(F.col("value")).alias("train_mean_nll"))
+    counts = ev.groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
+    pos = group_ordinal(ev, "run", ["ts", "event_id"], out="_pos")
+    return (pos.join(counts, "run")
+            .select("run", "event_id", "ts", "train_mean_nll",
+                    ((F.col("_pos") + 1) / F.col("_n")).alias("progress")))
+
+
+# Per-run, per-epoch error moduli of the epoch fixture (F4 analogue on documents):
+# run a plateaus then recovers, b has one bad epoch, c ties then falls.
+EPOCH_MODULI = (("a", 1, 2), ("a", 2, 3), ("a", 3, 3), ("a", 4, 2), ("a", 5, 5),
+                ("b", 1, 3), ("b", 2, 2), ("b", 3, 4),
+                ("c", 1, 5), ("c", 2, 6), ("c", 3, 2))
+
+
+def f4_epoch_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (run, epoch) predictions over all documents: 'xx' when doc_id % modulus = 0, else the gold."""
+    d = table(spark, sf_dir, "documents")
+    params = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(e).alias("epoch"), F.lit(m).alias("m"))
+                       for r, e, m in EPOCH_MODULI])
+    x = d.select("doc_id", "lang", F.explode(params).alias("p"))
+    return x.select("p.run", "p.epoch", F.col("lang").alias("gold_label"),
+                    F.when((F.col("doc_id") % F.col("p.m")) == 0, F.lit("xx")).otherwise(F.col("lang"))
+                     .alias("predicted_label"))
