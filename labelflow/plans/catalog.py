@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from labelflow.plans import chat_queries, compare_queries, metric_queries, text_queries  # noqa: F401
+from labelflow.plans import chat_queries, compare_queries, io_queries, metric_queries, text_queries  # noqa: F401
 from labelflow.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
