@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelflow.session import ensure_checkpoint_dir
+
 GOLD, PRED, COUNT = "gold", "pred", "count"
 # Largest label universe a wide (pivoted) confusion table may have.
 MAX_PIVOT_LABELS = 2000
@@ -195,7 +197,13 @@ def confusion_wide(df: DataFrame | None, gold: str = "gold_label", pred: str = "
     extra distinct job; the list size is bounded by ``max_labels``.
     """
     pairs = _pairs(df, gold, pred, [], pairs)
-    labels = list(labels) if labels is not None else label_universe(pairs, max_labels)
+    if labels is None:
+        # the universe and the pivot both read the pairs: materialise that small table once
+        # (reliable checkpoint) so the scored rows are scanned a single time
+        ensure_checkpoint_dir(pairs.sparkSession)
+        pairs = pairs.checkpoint(eager=True)
+        labels = label_universe(pairs, max_labels)
+    labels = list(labels)
     if len(labels) > max_labels:
         raise ValueError(f"{len(labels)} labels exceed max_labels={max_labels}")
     spark = pairs.sparkSession

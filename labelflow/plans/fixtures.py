@@ -39,17 +39,28 @@ def guess_d(doc_id="doc_id", lang="lang") -> Column:
 
 
 def guess_language(text="text") -> Column:
-    """Language whose function words occur most among the split tokens; ties alphabetical; 'none' without hits."""
-    toks = F.split(F.lower(F.col(text)), GUESS_SPLIT)
-    def hits(words):
-        return F.coalesce(F.size(F.filter(toks, lambda t: t.isin(*words))), F.lit(0))
-
-    counts = {lang: hits(words) for lang, words in FUNCTION_WORDS.items()}
-    best = F.greatest(*counts.values())
-    out = F.when(best <= 0, F.lit("none"))
-    for lang in sorted(counts):
-        out = out.when(counts[lang] == best, F.lit(lang))
-    return out
+    """Language whose function words occur most among the tokens of ``lower(text)`` split on
+    GUESS_SPLIT; ties alphabetical; 'none' without hits.
+
+    A token equals a word exactly when the word sits between delimiters (or the
+    text's ends). One case-insensitive regex pass over the original text pulls
+    out just those tokens (the word lists are ASCII, so ASCII case folding is the
+    same as lowering the text first); the four counts then scan that short
+    string. Each count is folded with its tie rank into one number
+    (count * 4 + rank) so ``greatest`` evaluates every count once.
+    """
+    langs = sorted(FUNCTION_WORDS)              # de, en, es, fr: earlier wins ties
+    every = "|".join(w for lang in langs for w in FUNCTION_WORDS[lang])
+    hits = F.lower(F.array_join(
+        F.regexp_extract_all(F.col(text), F.lit(f"(?i)(?<![^ .,\n])({every})(?![^ .,\n])"), F.lit(1)), " "))
+    keyed = []
+    for i, lang in enumerate(langs):
+        words = "|".join(FUNCTION_WORDS[lang])
+        n = F.coalesce(F.regexp_count(hits, F.lit(f"(?<![^ ])(?:{words})(?![^ ])")), F.lit(0))
+        keyed.append(n * 4 + (len(langs) - 1 - i))
+    best = F.greatest(*keyed)
+    by_rank = F.array(*[F.lit(x) for x in reversed(langs)])   # rank r -> element r + 1
+    return F.when(best < 4, F.lit("none")).otherwise(F.element_at(by_rank, (best % 4 + 1).cast("int")))
 
 
 def f1_raw_splits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,7 +105,7 @@ def _f3_stream(spark, sf):
     src = scratch_dir(spark, "f3_incoming")
     rows.write.parquet(src)
     return st.read_stream(spark, src, "example_id bigint, gold_label string, raw_prediction string",
-                          max_files_per_trigger=2), labels
+                          max_files_per_trigger=1000), labels
 
 
 @register("stream_extract", O.with_(O.F3_CTE, _F3_VOCAB) + f"""
@@ -140,7 +140,7 @@ def stream_append_predictions(spark, sf):
     src = scratch_dir(spark, "f2_incoming")
     fx.f2_predictions(spark, sf, "a").write.parquet(src)
     s = st.read_stream(spark, src, "example_id bigint, utterance string, gold_label string, predicted_label string",
-                       max_files_per_trigger=1)
+                       max_files_per_trigger=1000)
     recs = sc.prediction_records(s, raw=None, mode="zero-shot", model_name="guesser_a")
     out, ckpt = scratch_dir(spark, "pred_out"), scratch_dir(spark, "pred_ckpt")
     st.append_to_files(recs, out, ckpt).awaitTermination()

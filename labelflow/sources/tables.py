@@ -6,10 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+# Tables whose rows carry long text: per-row string work dominates, so a small file
+# read by one task is spread over the cores before that work runs.
+TEXT_TABLES = ("documents", "conversations", "pages", "benchmark")
+# Inputs below this size may be spread with a round-robin shuffle; bigger inputs already
+# split into many scan tasks and are never shuffled here.
+SPREAD_MAX_BYTES_CONF = "labelflow.scan.spreadMaxBytes"
+SPREAD_MAX_BYTES_DEFAULT = 256 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of a scale-factor folder; Catalyst prunes columns and pushes filters into the scan."""
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    """One table of a scale-factor folder; Catalyst prunes columns and pushes filters into the scan.
+
+    Small text tables (fewer bytes than ``labelflow.scan.spreadMaxBytes``) are
+    round-robin repartitioned to the default parallelism: a file with a single
+    row group is otherwise processed by one task. Large inputs are left to the
+    scan's own splits.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if spread is None:
+        spread = name in TEXT_TABLES
+    if spread:
+        limit = int(spark.conf.get(SPREAD_MAX_BYTES_CONF, str(SPREAD_MAX_BYTES_DEFAULT)))
+        if _input_bytes(spark, path) < limit:
+            df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
