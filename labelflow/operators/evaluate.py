@@ -136,29 +136,32 @@ def full_report(df: DataFrame | None, gold: str = "gold_label", pred: str = "pre
     (the accuracy repeated in all four value columns, as the reference's CSV
     has it), ``macro avg`` and ``weighted avg`` (support = number of rows).
     ``support`` is a double because of the accuracy row.
+
+    Label rows and overall rows come from one ``rollup`` over the per-label
+    stats, so the scored rows are aggregated once.
     """
     keys = _keys(by)
     sc = _scores(label_stats(_pairs(df, gold, pred, keys, pairs), keys), keys)
     vals = ("precision", "recall", "f1_score")
-    labels = sc.select(*keys, F.lit("label").alias("row_type"), "label",
-                       *vals, F.col("support").cast("double").alias("support"))
     tot = F.sum("support")
-    overall = sc.groupBy(*keys).agg(
-        _ratio(F.sum("tp"), tot).alias("acc"),
-        *[F.avg(c).alias(f"m_{c}") for c in vals],
-        *[_ratio(F.sum(F.col(c) * F.col("support")), tot).alias(f"w_{c}") for c in vals],
-        tot.cast("double").alias("n"))
-    rows = F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("row_type"), *[F.col("acc").alias(c) for c in vals],
-                 F.col("acc").alias("support")),
-        F.struct(F.lit("macro avg").alias("row_type"), *[F.col(f"m_{c}").alias(c) for c in vals],
-                 F.col("n").alias("support")),
-        F.struct(F.lit("weighted avg").alias("row_type"), *[F.col(f"w_{c}").alias(c) for c in vals],
-                 F.col("n").alias("support")),
-    )).alias("r")
-    totals = overall.select(*keys, rows).select(*keys, "r.row_type", F.col("r.row_type").alias("label"),
-                                                *[f"r.{c}" for c in vals], "r.support")
-    out = labels.unionByName(totals)
+    agg = (sc.rollup(*keys, "label")
+           .agg(*[F.avg(c).alias(c) for c in vals],
+                *[_ratio(F.sum(F.col(c) * F.col("support")), tot).alias(f"w_{c}") for c in vals],
+                _ratio(F.sum("tp"), tot).alias("acc"), tot.cast("double").alias("n"),
+                F.grouping_id(*keys, "label").alias("_gid")))
+    is_total = F.col("_gid") == 1          # all keys grouped, label rolled up
+    rows = F.when(~is_total, F.array(
+        F.struct(F.lit("label").alias("row_type"), F.col("label"), *[F.col(c) for c in vals],
+                 F.col("n").alias("support")))).otherwise(F.array(
+        F.struct(F.lit("accuracy").alias("row_type"), F.lit("accuracy").alias("label"),
+                 *[F.col("acc").alias(c) for c in vals], F.col("acc").alias("support")),
+        F.struct(F.lit("macro avg").alias("row_type"), F.lit("macro avg").alias("label"),
+                 *[F.col(c) for c in vals], F.col("n").alias("support")),
+        F.struct(F.lit("weighted avg").alias("row_type"), F.lit("weighted avg").alias("label"),
+                 *[F.col(f"w_{c}").alias(c) for c in vals], F.col("n").alias("support"))))
+    out = (agg.where(F.col("_gid") <= 1)
+           .select(*keys, F.explode(rows).alias("r"))
+           .select(*keys, "r.*"))
     order = (F.when(F.col("row_type") == "label", 0).when(F.col("row_type") == "accuracy", 1)
              .when(F.col("row_type") == "macro avg", 2).otherwise(3))
     return (out.select(*keys, "row_type", "label",
@@ -241,3 +244,17 @@ def oov_predictions(df: DataFrame, vocab: DataFrame, pred: str = "predicted_labe
     """
     counts = df.groupBy(F.col(pred).alias("predicted_label")).agg(F.count(F.lit(1)).alias("count"))
     return counts.join(vocab.select(F.col(label).alias("predicted_label")), "predicted_label", "left_anti")
+
+
+def argmax_decode(logits, labels: Sequence[str] | None = None) -> Column:
+    """Index of the largest logit, the first one on ties (numpy argmax).
+
+    With ``labels`` (the sorted vocabulary, id = position) the index is decoded
+    to its label string; NULL or empty arrays give NULL.
+    """
+    x = F.col(logits) if isinstance(logits, str) else logits
+    idx = (F.array_position(x, F.array_max(x)) - 1).cast("int")
+    idx = F.when(F.size(x) > 0, idx)
+    if labels is None:
+        return idx
+    return F.get(F.array(*[F.lit(v) for v in labels]), idx)

@@ -142,3 +142,28 @@ def lineitem_confusion_wide(spark, sf):
 @register("lineitem_report", O.with_(O.F5_CTE, O.metric_ctes()) + "\n" + O.full_report_sql())
 def lineitem_report(spark, sf):
     return ev.full_report(fx.f5_lineitem_pairs(spark, sf), decimals=D)
+
+
+# Embeddings as logits over 64 classes, gold = the stored label (0-9).
+_ARGMAX_SQL = """
+src AS (
+  SELECT vec_id, CAST(label AS VARCHAR) AS gold_label,
+    CAST(list_position(embedding, list_max(embedding)) - 1 AS VARCHAR) AS predicted_label
+  FROM embeddings
+)"""
+
+
+@register("argmax_decode", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS predicted_id,
+  label AS gold_id FROM embeddings""")
+def argmax_decode(spark, sf):
+    e = fx.table(spark, sf, "embeddings")
+    return e.select("vec_id", ev.argmax_decode("embedding").alias("predicted_id"), F.col("label").alias("gold_id"))
+
+
+@register("argmax_metrics", O.with_(_ARGMAX_SQL, O.metric_ctes()) + "\n" + O.summary_sql())
+def argmax_metrics(spark, sf):
+    e = fx.table(spark, sf, "embeddings")
+    rows = e.select(F.col("label").cast("string").alias("gold_label"),
+                    ev.argmax_decode("embedding").cast("string").alias("predicted_label"))
+    return ev.summary_metrics(rows, decimals=D)

@@ -110,3 +110,11 @@ def test_wide_confusion_guard(spark):
     with pytest.raises(ValueError):
         ev.confusion_wide(df, max_labels=10)
     assert ev.confusion_pairs(df).count() == 30
+
+
+def test_argmax_first_index_on_ties(spark):
+    df = spark.createDataFrame([([0.1, 0.9, 0.9],), ([2.0, 1.0, 2.0],), ([],), (None,)], "x array<float>")
+    got = [r[0] for r in df.select(ev.argmax_decode("x")).collect()]
+    assert got == [1, 0, None, None]
+    lab = [r[0] for r in df.select(ev.argmax_decode("x", ["a", "b", "c"])).collect()]
+    assert lab == ["b", "a", None, None]
