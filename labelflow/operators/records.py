@@ -75,3 +75,62 @@ def conversation_messages(turns: DataFrame, conv: str = "conv_id", turn: str = "
                                                       F.col(text).alias("content")))).alias("_m"))
             .select(conv, F.transform("_m", lambda m: F.struct(m["role"].alias("role"),
                                                                m["content"].alias("content"))).alias("messages")))
+
+
+# --- turn-level forms: no conversation is ever gathered into one row -------------------------
+
+def turn_targets(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role") -> DataFrame:
+    """Every turn with ``is_target`` = it is an assistant message (P20), one row per turn."""
+    return turns.withColumn("is_target", F.coalesce(F.col(role) == "assistant", F.lit(False)))
+
+
+def drop_assistant_turns(turns: DataFrame, role: str = "role") -> DataFrame:
+    """The non-assistant turns, wherever the assistant turns are (P12), one row per turn."""
+    return turns.where(~F.coalesce(F.col(role) == "assistant", F.lit(False)))
+
+
+def turns_before_first_assistant(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
+                                 role: str = "role") -> DataFrame:
+    """Turns before the first assistant turn of their conversation (all turns if none).
+
+    The first assistant turn per conversation is a partial aggregate; joining it
+    back lets Spark broadcast it or, for a huge table, AQE split a dominant
+    conversation's partition.
+    """
+    first = (turns.groupBy(conv)
+             .agg(F.min(F.when(F.col(role) == "assistant", F.col(turn))).alias("_first_assistant")))
+    return (turns.join(first, conv)
+            .where(F.col("_first_assistant").isNull() | (F.col(turn) < F.col("_first_assistant")))
+            .drop("_first_assistant"))
+
+
+def render_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                 text: str = "text", style: str = "until_assistant") -> DataFrame:
+    """One prompt string per conversation (P13 ``until_assistant``, P14 ``upper``).
+
+    A prompt is one value per conversation by definition; for P13 the turns are
+    cut at the first assistant turn before they are gathered.
+    """
+    from labelflow.functions import chat
+
+    if style == "until_assistant":
+        kept = turns_before_first_assistant(turns, conv, turn, role)
+        msgs = conversation_messages(kept, conv, turn, role, text)
+        return msgs.select(conv, chat.flatten_until_assistant("messages").alias("prompt"))
+    if style == "upper":
+        msgs = conversation_messages(turns, conv, turn, role, text)
+        return msgs.select(conv, chat.render_upper("messages").alias("prompt"))
+    raise ValueError("style must be 'until_assistant' or 'upper'")
+
+
+def first_user_text(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                    text: str = "text") -> DataFrame:
+    """Content of each conversation's first user turn, ``''`` if none (P10 on turn rows).
+
+    ``min_by`` over user turns only: a partial aggregate, safe for a dominant conversation.
+    """
+    first = F.min_by(F.col(text), F.when(F.col(role) == "user", F.col(turn)))
+    has_user = F.max(F.col(role) == "user")
+    return (turns.groupBy(conv)
+            .agg(F.when(F.coalesce(has_user, F.lit(False)), F.coalesce(first, F.lit(""))).otherwise(F.lit(""))
+                 .alias("utterance")))

@@ -173,15 +173,11 @@ def utterance_from_messages(spark, sf):
 
 # --- conversations ------------------------------------------------------------------------
 
-def _conv(spark, sf):
-    return R.conversation_messages(fx.table(spark, sf, "conversations"))
-
-
 @register("first_user_content", """
 SELECT conv_id, coalesce(arg_min(text, turn) FILTER (WHERE role = 'user'), '') AS utterance
 FROM conversations GROUP BY conv_id""")
 def first_user_content(spark, sf):
-    return _conv(spark, sf).select("conv_id", chat.first_user_content("messages").alias("utterance"))
+    return R.first_user_text(fx.table(spark, sf, "conversations"))
 
 
 @register("utterance_from_conversations", """
@@ -190,17 +186,20 @@ SELECT conv_id, CASE WHEN u IS NULL THEN ''
   ELSE u END AS utterance
 FROM (SELECT conv_id, arg_min(text, turn) FILTER (WHERE role = 'user') AS u FROM conversations GROUP BY conv_id)""")
 def utterance_from_conversations(spark, sf):
-    return _conv(spark, sf).select("conv_id", chat.utterance_from_record("messages").alias("utterance"))
+    first = R.first_user_text(fx.table(spark, sf, "conversations"))
+    u = F.col("utterance")
+    return first.select("conv_id", F.when(u.rlike(chat.UTTERANCE_RE), F.regexp_extract(u, chat.UTTERANCE_RE, 1))
+                        .otherwise(u).alias("utterance"))
 
 
 @register("drop_assistant", """
-SELECT conv_id, coalesce(string_agg(role, ',' ORDER BY turn) FILTER (WHERE role <> 'assistant'), '') AS roles,
-  CAST(count(*) FILTER (WHERE role <> 'assistant') AS INTEGER) AS n_kept
-FROM conversations GROUP BY conv_id""")
+SELECT conv_id, position, role FROM (
+  SELECT conv_id, role, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS position
+  FROM conversations)
+WHERE role IS DISTINCT FROM 'assistant'""")
 def drop_assistant(spark, sf):
-    kept = chat.drop_assistant("messages")
-    return _conv(spark, sf).select("conv_id", F.array_join(F.transform(kept, lambda m: m["role"]), ",").alias("roles"),
-                                   F.size(kept).alias("n_kept"))
+    turns = _turns(spark, sf)
+    return R.drop_assistant_turns(turns).select("conv_id", "position", "role")
 
 
 @register("flatten_until_assistant", f"""
@@ -211,24 +210,31 @@ SELECT c.conv_id,
     || 'Assistant:' AS prompt
 FROM conversations c JOIN fa USING (conv_id) GROUP BY c.conv_id""")
 def flatten_until_assistant(spark, sf):
-    return _conv(spark, sf).select("conv_id", chat.flatten_until_assistant("messages").alias("prompt"))
+    turns = fx.table(spark, sf, "conversations")
+    return R.render_turns(turns, style="until_assistant")
 
 
 @register("render_upper", f"""
 SELECT conv_id, string_agg(upper(role) || ': ' || text, {NL2} ORDER BY turn) || {NL2} || 'ASSISTANT:' AS prompt
 FROM conversations GROUP BY conv_id""")
 def render_upper(spark, sf):
-    return _conv(spark, sf).select("conv_id", chat.render_upper("messages").alias("prompt"))
+    return R.render_turns(fx.table(spark, sf, "conversations"), style="upper")
 
 
 @register("trainable_turns", """
-SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS position,
-  role, role = 'assistant' AS is_target
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS position,
+  role, coalesce(role = 'assistant', FALSE) AS is_target
 FROM conversations""")
 def trainable_turns(spark, sf):
-    c = _conv(spark, sf)
-    return (c.select("conv_id", F.posexplode(chat.mark_targets("messages")).alias("position", "m"))
-            .select("conv_id", "position", "m.role", "m.is_target"))
+    return R.turn_targets(_turns(spark, sf)).select("conv_id", "position", "role", "is_target")
+
+
+def _turns(spark, sf):
+    """Conversation turns with their 0-based position (skew-safe ordinal per conversation)."""
+    from labelflow.operators.sampling import group_ordinal
+
+    t = fx.table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    return group_ordinal(t, "conv_id", "turn")
 
 
 # --- sampling -------------------------------------------------------------------------------

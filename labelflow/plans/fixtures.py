@@ -63,16 +63,23 @@ def guess_language(text="text") -> Column:
     return F.when(best < 4, F.lit("none")).otherwise(F.element_at(by_rank, (best % 4 + 1).cast("int")))
 
 
+def f1_columns() -> dict[str, Column]:
+    """F1's derived columns as expressions over documents (split, text, label_text)."""
+    return {
+        "split": F.when(_mod("doc_id", 10), "validation").when((F.col("doc_id") % 10) == 1, "test")
+                  .otherwise("train"),
+        "text": F.when(_mod("doc_id", 17), F.lit(None).cast("string")).otherwise(F.col("text")),
+        "label_text": F.when(_mod("doc_id", 19), F.lit(None).cast("string")).when(_mod("doc_id", 13), "oos")
+                       .otherwise(F.col("lang")),
+    }
+
+
 def f1_raw_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(example_id, split, text, label_text) with NULL texts/labels and 'oos' rows."""
     d = table(spark, sf_dir, "documents")
-    return d.select(
-        F.col("doc_id").alias("example_id"),
-        F.when(_mod("doc_id", 10), "validation").when((F.col("doc_id") % 10) == 1, "test")
-         .otherwise("train").alias("split"),
-        F.when(_mod("doc_id", 17), F.lit(None).cast("string")).otherwise(F.col("text")).alias("text"),
-        F.when(_mod("doc_id", 19), F.lit(None).cast("string")).when(_mod("doc_id", 13), "oos")
-         .otherwise(F.col("lang")).alias("label_text"))
+    c = f1_columns()
+    return d.select(F.col("doc_id").alias("example_id"), c["split"].alias("split"), c["text"].alias("text"),
+                    c["label_text"].alias("label_text"))
 
 
 def f2_predictions(spark: SparkSession, sf_dir: str, guesser: str = "a") -> DataFrame:

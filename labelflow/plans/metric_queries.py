@@ -58,13 +58,15 @@ _OOS_GUESS_SQL = "CASE WHEN example_id % 7 = 0 THEN 'oos' WHEN example_id % 5 =
 
 
 def _oos_rows(spark, sf):
-    raw = fx.f1_raw_splits(spark, sf).where(F.col("text").isNotNull() & F.col("label_text").isNotNull())
-    lang = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("example_id"), "lang")
-    # F1 and documents share doc_id; the join is on the table's own key.
-    guess = (F.when((F.col("example_id") % 7) == 0, "oos").when((F.col("example_id") % 5) == 0, "fr")
+    """F1 gold labels with the guesser, from one scan of documents (F1 is a projection of it)."""
+    d = fx.table(spark, sf, "documents")
+    f1 = fx.f1_columns()
+    guess = (F.when((F.col("doc_id") % 7) == 0, "oos").when((F.col("doc_id") % 5) == 0, "fr")
              .otherwise(F.col("lang")))
-    return raw.join(lang, "example_id").select("example_id", F.col("label_text").alias("gold_label"),
-                                               guess.alias("predicted_label"))
+    return (d.select(F.col("doc_id").alias("example_id"), f1["text"].alias("text"),
+                     f1["label_text"].alias("gold_label"), guess.alias("predicted_label"))
+            .where(F.col("text").isNotNull() & F.col("gold_label").isNotNull())
+            .drop("text"))
 
 
 def metrics_with_without_oos_df(rows):
