@@ -52,3 +52,13 @@ def test_query_matches_duckdb(spark, con, name):
     idx = [dcols.index(c) for c in sorted(dcols)]
     b = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert a == b
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
+def test_plan_has_no_cross_join_or_row_udf(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for op in FORBIDDEN:
+        assert op not in plan, (name, op)
