@@ -149,3 +149,116 @@ def extract_label(text, labels: Sequence[str] | None = None, strategy: str = "ca
     if strategy == "cascade":
         return extract_cascade(text, labels, quote_mode)
     raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
+
+
+# --- join-based path for vocabularies too large to inline ---------------------------------------
+
+def _stages(text: Column, strategy: str, quote_mode: str = "sequential"):
+    """(candidate array<struct<p:int, s:int, k:string>>, whole-word text or None, fallback, dedupe)
+
+    ``p`` is the stage priority, ``s`` the position inside the stage (first chunk wins),
+    ``k`` the lowered lookup key; ``dedupe`` says which label wins a shared lowered key.
+    """
+    def one(p, k):
+        return F.array(F.struct(F.lit(p).alias("p"), F.lit(0).alias("s"), k.alias("k")))
+
+    def chunks(p, arr, fn):
+        return F.transform(arr, lambda c, i: F.struct(F.lit(p).alias("p"), i.alias("s"), fn(c).alias("k")))
+
+    if strategy == "canonical":
+        t = text
+        cand = F.lower(py_strip(_strip_quotes(py_strip(t), "sequential")))
+        arr = F.concat(one(0, cand), one(1, py_strip(first_line(cand))))
+        return arr, None, F.when(cand == "", F.lit("")).otherwise(py_strip(t)), "last"
+    if strategy == "strict":
+        t = py_strip(text)
+        cleaned = py_strip(_strip_quotes(t, "sequential"))
+        arr = F.concat(one(0, match_normalize(t)), one(1, match_normalize(cleaned)))
+        return arr, None, F.coalesce(F.when(cleaned != "", cleaned), t), "first"
+    if strategy == "cascade_plain":
+        t = F.lower(py_strip(text))
+        arr = F.concat(one(0, t), chunks(1, F.split(t, CHUNK_SPLIT), py_strip))
+        stripped = py_strip(text)
+        fb = F.when(stripped == "", F.lit("")).otherwise(py_strip(first_line(stripped)))
+        return arr, t, fb, "length"
+    if strategy == "cascade":
+        t = py_strip(text)
+        if quote_mode == "sequential":
+            key = lambda c: match_normalize(py_strip(_strip_quotes(py_strip(c), quote_mode)))
+        else:
+            key = lambda c: match_normalize(py_strip(_strip_quotes(c, quote_mode)))
+        cleaned = py_strip(_strip_quotes(t, quote_mode))
+        arr = F.concat(one(0, match_normalize(t)), one(1, match_normalize(cleaned)),
+                       chunks(2, F.split(t, CHUNK_SPLIT), key))
+        fb = F.when(t == "", F.lit("")).otherwise(py_strip(first_line(t)))
+        return arr, match_normalize(t), fb, "first"
+    raise ValueError(f"strategy {strategy!r} has no join form")
+
+
+def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade",
+                       out: str = "predicted_label", label: str = "label", quote_mode: str = "sequential"):
+    """X02-X05 for any vocabulary size, by joins instead of an inlined map (exact, same results).
+
+    Every row emits its lookup keys with a priority; keys join the vocabulary
+    (Spark broadcasts it when small, otherwise shuffles both sides on the key,
+    and AQE splits a key that many rows share); the best hit per row is a min
+    over (stage, position, -length, label), an aggregate keyed by the unique
+    row key; one left join brings it back. Labels containing non-word
+    characters are matched by the whole-word stage only through the inline
+    regex path, so they must be few (checked).
+    """
+    t = F.col(text)
+    arr, words_text, fallback, dedupe = _stages(t, strategy, quote_mode)
+    v = vocab.select(F.col(label).alias("_label")).where(F.col("_label").isNotNull()).distinct()
+    lk = F.lower("_label")
+    if dedupe == "last":
+        agg = F.max("_label")
+    elif dedupe == "length":
+        agg = F.min_by("_label", F.struct(-F.length("_label"), F.col("_label")))
+    else:
+        agg = F.min("_label")
+    keyed = v.groupBy(lk.alias("_k")).agg(agg.alias("_label"))
+    cands = df.select(F.col(key).alias("_key"), F.explode(arr).alias("_c")).select(
+        "_key", F.col("_c.p").alias("_p"), F.col("_c.s").alias("_s"), F.col("_c.k").alias("_k"))
+    if words_text is not None:
+        word_only = keyed.where(F.col("_k").rlike(r"^\w+$"))
+        other = keyed.where(~F.col("_k").rlike(r"^\w+$"))
+        n_other = other.limit(1001).count()
+        if n_other > 1000:
+            raise ValueError("more than 1000 labels with non-word characters; whole-word stage unsupported")
+        toks = df.select(F.col(key).alias("_key"), F.explode(F.array_distinct(F.split(words_text, r"(?U)\W+")))
+                         .alias("_k")).where(F.col("_k") != "")
+        word_hits = (toks.join(word_only, "_k")
+                     .select("_key", F.lit(9).alias("_p"), (-F.length("_label")).alias("_s"), "_label"))
+        if n_other:
+            names = [r[0] for r in other.select("_label").collect()]
+            extra = df.select(F.col(key).alias("_key"),
+                              whole_word_label(words_text, names).alias("_label")).where(F.col("_label").isNotNull())
+            word_hits = word_hits.unionByName(
+                extra.select("_key", F.lit(9).alias("_p"), (-F.length("_label")).alias("_s"), "_label"))
+    hits = cands.where(F.col("_k").isNotNull()).join(keyed, "_k").select("_key", "_p", "_s", "_label")
+    if words_text is not None:
+        hits = hits.unionByName(word_hits)
+    best = (hits.groupBy("_key")
+            .agg(F.min(F.struct("_p", "_s", "_label")).alias("_b"))
+            .select(F.col("_key").alias(key), F.col("_b._label").alias("_best")))
+    return (df.join(best, key, "left")
+            .withColumn(out, F.when(t.isNull(), F.lit(None).cast("string"))
+                        .otherwise(F.coalesce(F.col("_best"), fallback)))
+            .drop("_best"))
+
+
+def extract_labels(df, text: str, vocab, strategy: str = "cascade", key: str | None = None,
+                   out: str = "predicted_label", label: str = "label", max_inline: int = 100_000,
+                   quote_mode: str = "sequential"):
+    """Extract with the vocabulary inlined when it has at most ``max_inline`` labels (a
+    projection, no shuffle), else through ``extract_label_join`` (needs a unique ``key``)."""
+    if strategy == "first_line":
+        return df.withColumn(out, extract_first_line(text))
+    sample = (vocab.select(F.col(label).alias("label")).where(F.col("label").isNotNull()).distinct()
+              .orderBy("label").limit(max_inline + 1).collect())
+    if len(sample) <= max_inline:
+        return df.withColumn(out, extract_label(text, [r[0] for r in sample], strategy, quote_mode))
+    if key is None:
+        raise ValueError("a unique row key is needed for the join path")
+    return extract_label_join(df, key, text, vocab, strategy, out, label, quote_mode)

@@ -240,3 +240,18 @@ def encode_decode(spark, sf):
 SELECT gold_label AS label FROM src UNION SELECT predicted_label FROM src""")
 def label_universe(spark, sf):
     return V.label_universe(fx.f2_predictions(spark, sf, "a"))
+
+
+@register("extract_cascade_join", _extract_sql(_CASCADE))
+def extract_cascade_join(spark, sf):
+    """X05 through the join path used for vocabularies too large to inline."""
+    rows = fx.f3_raw_outputs(spark, sf)
+    vocab = fx.table(spark, sf, "documents").select(F.col("source").alias("label"))
+    return X.extract_label_join(rows, "example_id", "raw_prediction", vocab, "cascade")
+
+
+@register("extract_cascade_plain_join", _extract_sql(_PLAIN))
+def extract_cascade_plain_join(spark, sf):
+    rows = fx.f3_raw_outputs(spark, sf)
+    vocab = fx.table(spark, sf, "documents").select(F.col("source").alias("label"))
+    return X.extract_label_join(rows, "example_id", "raw_prediction", vocab, "cascade_plain")

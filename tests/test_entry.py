@@ -22,7 +22,7 @@ def test_entry_smoke(spark):
 def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 80
+    assert len(q) >= 85
 
 
 def _norm(v):
