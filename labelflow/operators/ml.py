@@ -61,9 +61,12 @@ class MacroF1Evaluator(Evaluator):
 
 
 def sweep(train: DataFrame, reg_params: Sequence[float], text: str = "utterance", label: str = "label",
-          train_ratio: float = 0.8, seed: int = 42, parallelism: int = 1):
-    """Grid over regularisation chosen on a validation split by macro-F1."""
-    pipe = text_classifier(text, label)
+          train_ratio: float = 0.8, seed: int = 42, parallelism: int = 1, max_iter: int = 50):
+    """Grid over regularisation chosen on a validation split by macro-F1.
+
+    ``parallelism`` fits that many grid points concurrently (each fit is itself a Spark job).
+    """
+    pipe = text_classifier(text, label, max_iter=max_iter)
     lr = pipe.getStages()[-1]
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=MacroF1Evaluator(),

@@ -240,7 +240,7 @@ def _turns(spark, sf):
 # --- sampling -------------------------------------------------------------------------------
 
 @register("few_shot_support", O.with_(_PREP_SQL, _SUPPORT_SQL) + """
-SELECT example_id, label, utterance, rn - 1 AS round FROM sup""")
+SELECT example_id, label, utterance, CAST(rn - 1 AS INTEGER) AS round FROM sup""")
 def few_shot_support(spark, sf):
     flat = _flat(spark, sf).where(F.col("split") == "train")
     return S.few_shot_support(flat, n=4)

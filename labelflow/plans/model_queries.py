@@ -93,7 +93,7 @@ def sweep_regularisation(spark, sf):
     """Regularisation sweep chosen on validation macro-F1 (rows-only check)."""
     flat = _flat(spark, sf).where(F.col("split") == "train")
     grid = (0.0, 0.01, 0.1)
-    tvs = ml.sweep(flat, grid)
+    tvs = ml.sweep(flat, grid, parallelism=3, max_iter=20)
     rows = [(float(r), float(m)) for r, m in zip(grid, tvs.validationMetrics)]
     return spark.createDataFrame(rows, "reg_param double, validation_macro_f1 double")
 

@@ -52,6 +52,9 @@ def test_query_matches_duckdb(spark, con, name):
     idx = [dcols.index(c) for c in sorted(dcols)]
     b = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert a == b
+    from tools.oracle_check import type_mismatches
+
+    assert type_mismatches(sdf, con, E.oracle_sql()[name]) == []
 
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
