@@ -125,22 +125,19 @@ def rolling_mean(df: DataFrame, group: str, order: Sequence[str] | str, value: s
     """``rolling(window, min_periods=1).mean()`` per group after dropping NULL values.
 
     Skew-safe: rows get their position inside the group from
-    ``group_ordinal``; each row then contributes to the ``window`` positions it
-    smooths, and one aggregation keyed by (group, position), a unique key,
-    averages them. A row's own columns travel with its offset-0 contribution.
+    ``group_ordinal``; each (group, position, value) triple is copied to the
+    ``window`` positions it smooths and one aggregation keyed by (group,
+    target position), a unique key, averages them. The averages join back to
+    the rows on that unique key, so only the narrow triples are multiplied by
+    the window, never the full rows.
     """
     rows = df.where(F.col(value).isNotNull())
     pos = group_ordinal(rows, group, order, out=position)
-    cols = [c for c in rows.columns]
-    contrib = pos.select(
-        F.col(group), F.explode(F.sequence(F.col(position), F.col(position) + (window - 1))).alias("_t"),
-        F.col(position), F.col(value).alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
-    agg = (contrib.groupBy(group, "_t")
-           .agg(F.avg("_v").alias(out),
-                F.max_by(F.col("_row"), F.col(position)).alias("_own"),
-                F.max(F.col(position)).alias("_last")))
-    return (agg.where(F.col("_last") == F.col("_t"))
-            .select("_own.*", F.col("_t").alias(position), F.col(out)))
+    contrib = pos.select(F.col(group).alias("_g"), F.col(value).alias("_v"),
+                         F.explode(F.sequence(F.col(position), F.col(position) + (window - 1))).alias("_t"))
+    means = contrib.groupBy("_g", "_t").agg(F.avg("_v").alias(out))
+    cond = [pos[group].eqNullSafe(means["_g"]), pos[position] == means["_t"]]
+    return pos.join(means, cond).select(*[pos[c] for c in pos.columns], means[out])
 
 
 def progress_percent(progress: str = "progress") -> Column:
