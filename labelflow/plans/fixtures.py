@@ -91,14 +91,19 @@ def f2_predictions(spark: SparkSession, sf_dir: str, guesser: str = "a") -> Data
 
 
 def f2_stacked(spark: SparkSession, sf_dir: str, guessers=("a", "b")) -> DataFrame:
-    """F2 with several guessers stacked, keyed by model_name (and mode)."""
+    """F2 with several guessers stacked, keyed by model_name (and mode).
+
+    The guesses are computed in a projection first; the explode then only
+    copies column references.
+    """
     d = table(spark, sf_dir, "documents")
     preds = {"a": guess_a(), "b": guess_language(), "c": guess_c(), "d": guess_d()}
     mode = {"a": "zero-shot", "b": "few-shot", "c": "zero-shot", "d": "few-shot"}
+    wide = d.select(F.col("doc_id").alias("example_id"), F.col("lang").alias("gold_label"),
+                    *[preds[g].alias(f"_p_{g}") for g in guessers])
     arr = F.array(*[F.struct(F.lit(f"guesser_{g}").alias("model_name"), F.lit(mode[g]).alias("mode"),
-                             preds[g].alias("predicted_label")) for g in guessers])
-    return (d.select(F.col("doc_id").alias("example_id"), F.col("lang").alias("gold_label"),
-                     F.explode(arr).alias("m"))
+                             F.col(f"_p_{g}").alias("predicted_label")) for g in guessers])
+    return (wide.select("example_id", "gold_label", F.explode(arr).alias("m"))
             .select("example_id", "gold_label", "m.model_name", "m.mode", "m.predicted_label"))
 
 
