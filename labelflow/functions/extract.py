@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from labelflow.functions.text import _c, first_line, match_normalize, py_strip, strip_chars
 
 STRATEGIES = ("first_line", "canonical", "strict", "cascade_plain", "cascade")
+# The chunk separators of the cascade strategies (newline, comma, semicolon, colon).
 CHUNK_SPLIT = r"[\n,;:]+"
 _WORD_ONLY = re.compile(r"\w+")
 
