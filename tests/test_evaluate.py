@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from labelflow.operators import evaluate as ev
 from labelflow.plans import fixtures as fx
