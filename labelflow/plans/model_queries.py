@@ -145,3 +145,24 @@ def stream_append_predictions(spark, sf):
     out, ckpt = scratch_dir(spark, "pred_out"), scratch_dir(spark, "pred_ckpt")
     st.append_to_files(recs, out, ckpt).awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("stream_score_with_stub_model", O.with_(O.F2_GUESS_B_CTE) + f"""
+SELECT d.doc_id AS example_id, d.text AS utterance, d.lang AS gold_label,
+  CASE WHEN g.guess IN {_LANGS_SQL} THEN g.guess ELSE 'label: ' || g.guess END AS predicted_label,
+  'label: ' || g.guess AS raw_prediction, 'zero-shot' AS mode, 'stub/keyword-v1' AS model_name
+FROM documents d JOIN guess_b g USING (doc_id)""")
+def stream_score_with_stub_model(spark, sf):
+    """Utterances arriving as files are scored, extracted and appended as they come."""
+    d = fx.table(spark, sf, "documents")
+    labels = V.collect_labels(d.select(F.col("lang").alias("label")))
+    src = scratch_dir(spark, "utterances_incoming")
+    d.select(F.col("doc_id").alias("example_id"), F.col("text").alias("utterance"),
+             F.col("lang").alias("gold_label")).write.parquet(src)
+    s = st.read_stream(spark, src, "example_id bigint, utterance string, gold_label string",
+                       max_files_per_trigger=1000)
+    scored = sc.score(s, keyword_model, "utterance", labels, strategy="cascade", batch_size=128)
+    recs = sc.prediction_records(scored, mode="zero-shot", model_name="stub/keyword-v1")
+    out, ckpt = scratch_dir(spark, "scored_out"), scratch_dir(spark, "scored_ckpt")
+    st.append_to_files(recs, out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
