@@ -169,3 +169,20 @@ def argmax_metrics(spark, sf):
     rows = e.select(F.col("label").cast("string").alias("gold_label"),
                     ev.argmax_decode("embedding").cast("string").alias("predicted_label"))
     return ev.summary_metrics(rows, decimals=D)
+
+
+@register("confusion_dense", O.with_(O.f2_cte("a"), O.metric_ctes()) + """
+SELECT u.label AS gold,
+  CAST(coalesce(sum(CASE WHEN p.pred = 'de' THEN p.cnt END), 0) AS BIGINT) AS de,
+  CAST(coalesce(sum(CASE WHEN p.pred = 'en' THEN p.cnt END), 0) AS BIGINT) AS en,
+  CAST(coalesce(sum(CASE WHEN p.pred = 'es' THEN p.cnt END), 0) AS BIGINT) AS es,
+  CAST(coalesce(sum(CASE WHEN p.pred = 'fr' THEN p.cnt END), 0) AS BIGINT) AS fr
+FROM (SELECT DISTINCT lang AS label FROM documents WHERE lang IS NOT NULL) u
+LEFT JOIN pairs p ON p.gold = u.label
+GROUP BY u.label""")
+def confusion_dense(spark, sf):
+    """Dense matrix over a given label list (the gold vocabulary); cells outside it are dropped."""
+    from labelflow.operators import vocab as V
+
+    labels = V.collect_labels(fx.table(spark, sf, "documents").select(F.col("lang").alias("label")))
+    return ev.confusion_wide(fx.f2_predictions(spark, sf, "a"), labels=labels)
