@@ -1,8 +1,9 @@
 """Raw model text -> canonical label (X01-X06), as column expressions.
 
-Every strategy is a projection: the label vocabulary enters the plan as a
-literal map (lowered label -> label), so extraction needs no join and no
-shuffle, and runs inside the scan's stage. The vocabulary is a model
+Every strategy is a projection: the label vocabulary enters the plan as
+literals (a hashed IN-set for labels equal to their lowered form, a small map
+for the rest), so extraction needs no join and no shuffle, and runs inside the
+scan's stage. The vocabulary is a model
 parameter (the reference keeps it in a Python dict); callers obtain it with
 ``labelflow.operators.vocab.collect_labels``, which refuses vocabularies over a
 checked size.
@@ -30,14 +31,48 @@ CHUNK_SPLIT = r"[\n,;:]+"
 _WORD_ONLY = re.compile(r"\w+")
 
 
-def _lookup_map(pairs: list[tuple[str, str]]) -> Column:
-    """Literal map key -> label; the first pair of a duplicated key wins."""
-    seen: dict[str, str] = {}
-    for k, v in pairs:
-        seen.setdefault(k, v)
-    if not seen:
-        return F.create_map().cast("map<string,string>")
-    return F.map_from_arrays(F.lit(list(seen.keys())), F.lit(list(seen.values())))
+class _Resolver:
+    """Lowered key -> canonical label with O(1) membership.
+
+    Spark evaluates map lookups by scanning the keys, so a literal map costs
+    O(labels) per lookup. Keys whose winning label is the key itself (the
+    usual case: lower-case labels) are tested with ``isin``, which the
+    optimizer turns into a hashed ``InSet``; only labels that differ from
+    their lowered form go through a small literal map. For a duplicated key
+    the first pair wins.
+    """
+
+    def __init__(self, pairs: list[tuple[str, str]]):
+        seen: dict[str, str] = {}
+        for k, v in pairs:
+            seen.setdefault(k, v)
+        self.same = [k for k, v in seen.items() if k == v]
+        other = {k: v for k, v in seen.items() if k != v}
+        self.map = (F.map_from_arrays(F.lit(list(other.keys())), F.lit(list(other.values())))
+                    if other else None)
+
+    def get(self, key: Column) -> Column:
+        parts = []
+        if self.same:
+            parts.append(F.when(key.isin(*self.same), key))
+        if self.map is not None:
+            parts.append(F.try_element_at(self.map, key))
+        if not parts:
+            return F.lit(None).cast("string")
+        return parts[0] if len(parts) == 1 else F.coalesce(*parts)
+
+    def contains(self, key: Column) -> Column:
+        parts = []
+        if self.same:
+            parts.append(key.isin(*self.same))
+        if self.map is not None:
+            parts.append(F.map_contains_key(self.map, key))
+        if not parts:
+            return F.lit(False)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out | p
+        return F.coalesce(out, F.lit(False))
 
 
 def by_length(labels: Sequence[str]) -> list[str]:
@@ -45,10 +80,6 @@ def by_length(labels: Sequence[str]) -> list[str]:
     return sorted(set(labels), key=lambda x: (-len(x), x))
 
 
-def _get(m: Column, key: Column) -> Column:
-    return F.try_element_at(m, key)
-
-
 def _first_hit(arr: Column) -> Column:
     return F.get(F.filter(arr, lambda x: x.isNotNull()), 0)
 
@@ -70,10 +101,10 @@ def whole_word_label(text: Column, labels: Sequence[str]) -> Column:
     ordered = by_length(labels)
     word = [x for x in ordered if _WORD_ONLY.fullmatch(x.lower())]
     other = [x for x in ordered if not _WORD_ONLY.fullmatch(x.lower())]
-    m = _lookup_map([(x.lower(), x) for x in word])
+    m = _Resolver([(x.lower(), x) for x in word])
     toks = F.split(text, r"(?U)\W+")
-    hits = F.transform(F.filter(toks, lambda t: F.map_contains_key(m, t)),
-                       lambda t: F.struct((-F.length(_get(m, t))).alias("k"), _get(m, t).alias("label")))
+    hits = F.transform(F.filter(toks, lambda t: m.contains(t)),
+                       lambda t: F.struct((-F.length(m.get(t))).alias("k"), m.get(t).alias("label")))
     if other:
         extra = F.array(*[F.when(text.rlike(r"(?U)\b" + re.escape(x.lower()) + r"\b"),
                                  F.struct(F.lit(-len(x)).alias("k"), F.lit(x).alias("label")))
@@ -91,18 +122,18 @@ def extract_canonical(text, labels: Sequence[str]) -> Column:
     """quote/space-stripped, lowered exact match; then its first line; else the stripped text."""
     t = _c(text)
     # dict comprehension semantics: for a duplicated lowered key the last label wins
-    m = _lookup_map([(x.lower(), x) for x in reversed(sorted(set(labels)))])
+    m = _Resolver([(x.lower(), x) for x in reversed(sorted(set(labels)))])
     cand = F.lower(py_strip(_strip_quotes(py_strip(t), "sequential")))
     line = py_strip(first_line(cand))
-    return F.coalesce(_get(m, cand), _get(m, line), F.when(cand == "", F.lit("")), py_strip(t))
+    return F.coalesce(m.get(cand), m.get(line), F.when(cand == "", F.lit("")), py_strip(t))
 
 
 def extract_strict(text, labels: Sequence[str]) -> Column:
     """Normalised exact match; quote-stripped normalised match; else the cleaned text."""
     t = py_strip(_c(text))
-    m = _lookup_map([(x.lower(), x) for x in sorted(set(labels))])
+    m = _Resolver([(x.lower(), x) for x in sorted(set(labels))])
     cleaned = py_strip(_strip_quotes(t, "sequential"))
-    return F.coalesce(_get(m, match_normalize(t)), _get(m, match_normalize(cleaned)),
+    return F.coalesce(m.get(match_normalize(t)), m.get(match_normalize(cleaned)),
                       F.when(cleaned != "", cleaned), t)
 
 
@@ -110,27 +141,27 @@ def extract_cascade_plain(text, labels: Sequence[str]) -> Column:
     """Lowered exact; first chunk that is a label; longest whole word; else first line."""
     raw = _c(text)
     t = F.lower(py_strip(raw))
-    m = _lookup_map([(x.lower(), x) for x in by_length(labels)])
-    chunk = _first_hit(F.transform(F.split(t, CHUNK_SPLIT), lambda c: _get(m, py_strip(c))))
+    m = _Resolver([(x.lower(), x) for x in by_length(labels)])
+    chunk = _first_hit(F.transform(F.split(t, CHUNK_SPLIT), lambda c: m.get(py_strip(c))))
     stripped = py_strip(raw)
     fallback = F.when(stripped == "", F.lit("")).otherwise(py_strip(first_line(stripped)))
-    return F.coalesce(_get(m, t), chunk, whole_word_label(t, labels), fallback)
+    return F.coalesce(m.get(t), chunk, whole_word_label(t, labels), fallback)
 
 
 def extract_cascade(text, labels: Sequence[str], quote_mode: str = "sequential") -> Column:
     """Normalised exact; quote-stripped; per-chunk; longest whole word; else first line."""
     t = py_strip(_c(text))
     norm = match_normalize(t)
-    m = _lookup_map([(x.lower(), x) for x in sorted(set(labels))])
+    m = _Resolver([(x.lower(), x) for x in sorted(set(labels))])
     if quote_mode == "sequential":
         cleaned = py_strip(_strip_quotes(t, quote_mode))
         chunk_key = lambda c: match_normalize(py_strip(_strip_quotes(py_strip(c), quote_mode)))
     else:
         cleaned = py_strip(_strip_quotes(t, quote_mode))
         chunk_key = lambda c: match_normalize(py_strip(_strip_quotes(c, quote_mode)))
-    chunk = _first_hit(F.transform(F.split(t, CHUNK_SPLIT), lambda c: _get(m, chunk_key(c))))
+    chunk = _first_hit(F.transform(F.split(t, CHUNK_SPLIT), lambda c: m.get(chunk_key(c))))
     fallback = F.when(t == "", F.lit("")).otherwise(py_strip(first_line(t)))
-    return F.coalesce(_get(m, norm), _get(m, match_normalize(cleaned)), chunk,
+    return F.coalesce(m.get(norm), m.get(match_normalize(cleaned)), chunk,
                       whole_word_label(norm, labels), fallback)
 
 
@@ -250,7 +281,7 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
 
 
 def extract_labels(df, text: str, vocab, strategy: str = "cascade", key: str | None = None,
-                   out: str = "predicted_label", label: str = "label", max_inline: int = 100_000,
+                   out: str = "predicted_label", label: str = "label", max_inline: int = 20_000,
                    quote_mode: str = "sequential"):
     """Extract with the vocabulary inlined when it has at most ``max_inline`` labels (a
     projection, no shuffle), else through ``extract_label_join`` (needs a unique ``key``)."""
