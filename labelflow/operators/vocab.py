@@ -7,7 +7,7 @@ against it use Spark's size-based broadcast choice rather than a forced hint.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import py_strip
@@ -60,19 +60,27 @@ def collect_labels(vocab: DataFrame, label: str = "label",
 def label_ids(vocab: DataFrame, label: str = "label") -> DataFrame:
     """Dense ``label_id`` from 0 in code-point order, as ``enumerate(sorted(labels))``.
 
-    A global ordering: Spark runs the window in one task, which is fine for a
-    vocabulary (a dimension of labels, not of rows).
+    The ids come from ``group_ordinal`` over a single group: labels are range
+    partitioned across tasks and numbered with per-partition offsets, so a
+    vocabulary that grows with the data (hallucinated labels) is never sorted
+    in one task.
     """
-    w = Window.orderBy(F.col(label))
-    return vocab.select(F.col(label).alias("label")).distinct().select(
-        "label", (F.row_number().over(w) - 1).cast("int").alias("label_id"))
+    from labelflow.operators.sampling import group_ordinal
+
+    v = vocab.select(F.col(label).alias("label")).distinct().withColumn("_all", F.lit(0))
+    return group_ordinal(v, "_all", "label", out="label_id").select(
+        "label", F.col("label_id").cast("int").alias("label_id"))
 
 
 def vocab_by_length(vocab: DataFrame, label: str = "label") -> DataFrame:
     """Vocabulary ordered longest first, ties alphabetical, with its 0-based position."""
-    w = Window.orderBy(F.length(label).desc(), F.col(label).asc())
-    return vocab.select(F.col(label).alias("label")).distinct().select(
-        "label", F.length("label").alias("length"), (F.row_number().over(w) - 1).cast("int").alias("position"))
+    from labelflow.operators.sampling import group_ordinal
+
+    v = (vocab.select(F.col(label).alias("label")).distinct()
+         .select("label", F.length("label").alias("length"), (-F.length("label")).alias("_neg"),
+                 F.lit(0).alias("_all")))
+    return group_ordinal(v, "_all", ["_neg", "label"], out="position").select(
+        "label", "length", F.col("position").cast("int").alias("position"))
 
 
 def encode_labels(df: DataFrame, ids: DataFrame, label: str = "label", out: str = "label_id",
