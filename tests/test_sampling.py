@@ -72,3 +72,22 @@ def test_early_stop_and_best(spark):
     assert stop == {"a": 4, "b": None}
     best = {r["run"]: r["best_epoch"] for r in C.best_epoch(df).collect()}
     assert best == {"a": 5, "b": 3}
+
+
+def test_group_ordinal_null_group_and_many_partitions(spark):
+    rows = [(i, None if i % 4 == 0 else f"g{i % 3}") for i in range(200)]
+    df = spark.createDataFrame(rows, "example_id bigint, label string")
+    got = S.group_ordinal(df, "label", "example_id", num_partitions=9)
+    w = Window.partitionBy("label").orderBy("example_id")
+    exp = df.withColumn("position", F.row_number().over(w) - 1)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_label_ids_dense_in_code_point_order(spark):
+    from labelflow.operators import vocab as V
+
+    labels = [f"L{i:04d}" for i in range(1000)] + ["Z", "a", "É"]
+    df = spark.createDataFrame([(x,) for x in labels * 2], "label string")
+    got = sorted((r["label_id"], r["label"]) for r in V.label_ids(df).collect())
+    assert [i for i, _ in got] == list(range(len(labels)))
+    assert [x for _, x in got] == sorted(labels)
