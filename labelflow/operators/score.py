@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -77,8 +78,6 @@ def truncate_tokens(text, max_tokens: int, pattern: str = r"\s+") -> Column:
 
 def tokenizer_udf(tokenize: Callable[[str], Sequence[int]], max_tokens: int | None = None):
     """Pluggable tokenizer as a pandas UDF returning token counts (M04 with a real tokenizer)."""
-    import pandas as pd
-
     @F.pandas_udf("int")
     def count(s: pd.Series) -> pd.Series:
         n = s.fillna("").map(lambda x: len(tokenize(x)))
