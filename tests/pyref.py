@@ -100,3 +100,20 @@ def metrics(gold, pred):
         rep[lab] = (p, r, f, sup[lab])
     acc = sum(tp.values()) / len(gold)
     return acc, sum(v[2] for v in rep.values()) / len(labels), rep
+
+
+def cascade_set(t: str, labels) -> str:
+    """The cascade with both quote characters stripped as one set."""
+    by_lower = {}
+    for lab in sorted(set(labels)):
+        by_lower.setdefault(lab.lower(), lab)
+    text = t.strip()
+    keys = [_norm(text), _norm(text.strip("\"'").strip())] + \
+        [_norm(c.strip("\"'").strip()) for c in re.split(r"[\n,;:]+", text)]
+    for key in keys:
+        if key in by_lower:
+            return by_lower[key]
+    hit = _words_hit(_norm(text), labels)
+    if hit is not None:
+        return hit
+    return _first_line(text).strip() if text else ""

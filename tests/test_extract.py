@@ -58,3 +58,9 @@ def test_null_text_stays_null(spark):
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError):
         X.extract_label(F.col("t"), LABELS, "nope")
+
+
+def test_cascade_quote_set_variant(rows):
+    got = dict(rows.select("i", X.extract_cascade("t", LABELS, quote_mode="set").alias("p")).collect())
+    for i, t in enumerate(TEXTS):
+        assert got[i] == pyref.cascade_set(t, LABELS), repr(t)
