@@ -21,6 +21,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of tables that are no longer referenced are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.driver.host": "127.0.0.1",
     "spark.driver.bindAddress": "127.0.0.1",
 }
