@@ -13,6 +13,7 @@ TEXT_TABLES = ("documents", "conversations", "pages", "benchmark")
 # split into many scan tasks and are never shuffled here.
 SPREAD_MAX_BYTES_CONF = "labelflow.scan.spreadMaxBytes"
 SPREAD_MAX_BYTES_DEFAULT = 256 << 20
+SPREAD_MIN_BYTES = 256 << 10
 
 
 def _input_bytes(spark: SparkSession, path: str) -> int:
@@ -26,9 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = Non
     """One table of a scale-factor folder; Catalyst prunes columns and pushes filters into the scan.
 
     Small text tables (fewer bytes than ``labelflow.scan.spreadMaxBytes``) are
-    round-robin repartitioned to the default parallelism: a file with a single
-    row group is otherwise processed by one task. Large inputs are left to the
-    scan's own splits.
+    round-robin repartitioned to at most the default parallelism and at least
+    256 KB per task: a file with a single row group is otherwise processed by
+    one task. Large inputs are left to the scan's own splits.
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
@@ -39,9 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = Non
     if spread:
         limit = int(spark.conf.get(SPREAD_MAX_BYTES_CONF, str(SPREAD_MAX_BYTES_DEFAULT)))
         try:
-            small = _input_bytes(spark, path) < limit
+            size = _input_bytes(spark, path)
         except Exception:  # noqa: BLE001 - size unknown: keep the scan's own splits
-            small = False
-        if small:
-            df = df.repartition(spark.sparkContext.defaultParallelism)
+            size = limit
+        if size < limit:
+            # at least SPREAD_MIN_BYTES per task: a big cluster's parallelism would
+            # otherwise cut a small file into thousands of tiny tasks
+            n = min(spark.sparkContext.defaultParallelism, max(1, size // SPREAD_MIN_BYTES))
+            if n > 1:
+                df = df.repartition(n)
     return df
