@@ -67,8 +67,9 @@ def conversation_messages(turns: DataFrame, conv: str = "conv_id", turn: str = "
                           text: str = "text") -> DataFrame:
     """Turn rows -> one row per conversation with its ordered ``messages`` array.
 
-    A conversation is one record (a handful of turns), so grouping by it is
-    the data model rather than a hot key.
+    This gathers a conversation's turns into one row, so use it only where the
+    result is one value per conversation (a rendered prompt, a chat record);
+    the turn-level operators below never gather a conversation.
     """
     return (turns.groupBy(conv)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), F.col(role).alias("role"),
