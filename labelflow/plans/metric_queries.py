@@ -186,3 +186,22 @@ def confusion_dense(spark, sf):
 
     labels = V.collect_labels(fx.table(spark, sf, "documents").select(F.col("lang").alias("label")))
     return ev.confusion_wide(fx.f2_predictions(spark, sf, "a"), labels=labels)
+
+
+_LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@register("lineitem_flag_positions", f"""
+SELECT l_returnflag, {", ".join(_LINE_ORDER)},
+  CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY {", ".join(_LINE_ORDER)}) - 1 AS BIGINT) AS position
+FROM lineitem""")
+def lineitem_flag_positions(spark, sf):
+    """A09-style positions inside a label that holds a third of all rows (each return flag).
+
+    Exercises the skew-safe ordinal over the whole table; rows that tie on the
+    ordering columns are identical in the output.
+    """
+    from labelflow.operators.sampling import group_ordinal
+
+    li = fx.table(spark, sf, "lineitem").select("l_returnflag", *_LINE_ORDER)
+    return group_ordinal(li, "l_returnflag", list(_LINE_ORDER))
