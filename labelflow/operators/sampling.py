@@ -36,9 +36,12 @@ def group_ordinal(df: DataFrame, group, order, out: str = "position",
     """
     group, order = _list(group), _list(order)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
-    t = (df.repartitionByRange(n, *group, *order)
+    # Without an explicit count AQE may merge adjacent ranges (small inputs stop producing
+    # shuffle.partitions tiny tasks); merged partitions still hold contiguous, re-sorted ranges.
+    ranged = (df.repartitionByRange(num_partitions, *group, *order) if num_partitions
+              else df.repartitionByRange(*group, *order))
+    t = (ranged
          .sortWithinPartitions(*group, *order)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
