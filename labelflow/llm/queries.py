@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, simhash
-from labelflow.llm.common import ROW_ID
+from labelflow.llm import bpe, decontaminate, langid, simhash, token_files, toxicity
+from labelflow.llm.common import ROW_ID, held_out
+from labelflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _register(fn):
@@ -44,3 +46,26 @@ def op8_decontaminate(spark, sf_dir):
 @_register
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=2).drop(ROW_ID, "keep")
+
+
+@_register
+def op1_langid(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~held_out(F.col("doc_id"), 4, 2)))
+    return langid.predict(docs, model).select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@_register
+def op3_toxicity(spark, sf_dir):
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    weights, intercept = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 3, 1)))
+    return (toxicity.score(docs, weights, intercept)
+            .select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
+@_register
+def op5_token_files(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    folder = scratch_dir(spark, "token-files")
+    manifest = token_files.write(docs, WORD_BPE, folder)
+    return token_files.read(manifest, folder, "doc_id", docs.schema["doc_id"].dataType.simpleString())
