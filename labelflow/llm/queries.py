@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, langid, simhash, token_files, toxicity
+from labelflow.llm import bpe, decontaminate, langid, line_dedup, simhash, token_files, toxicity
 from labelflow.llm.common import ROW_ID, held_out
 from labelflow.session import scratch_dir
 
@@ -69,3 +69,10 @@ def op5_token_files(spark, sf_dir):
     folder = scratch_dir(spark, "token-files")
     manifest = token_files.write(docs, WORD_BPE, folder)
     return token_files.read(manifest, folder, "doc_id", docs.schema["doc_id"].dataType.simpleString())
+
+
+@_register
+def op7_line_dedup(spark, sf_dir):
+    out = line_dedup.dedup_rows(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("__n_lines").cast("long").alias("n_lines"), F.size("__deleted").cast("long").alias("n_deleted"),
+                      F.array_join("__deleted", ",").alias("deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
