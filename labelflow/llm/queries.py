@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, langid, line_dedup, simhash, token_files, toxicity
+from labelflow.llm import bpe, decontaminate, langid, line_dedup, pii, simhash, token_files, toxicity
 from labelflow.llm.common import ROW_ID, held_out
 from labelflow.session import scratch_dir
 
@@ -76,3 +76,14 @@ def op7_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_rows(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_lines").cast("long").alias("n_lines"), F.size("__deleted").cast("long").alias("n_deleted"),
                       F.array_join("__deleted", ",").alias("deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@_register
+def op4_pii(spark, sf_dir):
+    out = pii.extract(_read(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+    return out.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+                      pii.written(pii.merged(F.col("base"), F.col("added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
