@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, langid, line_dedup, pii, simhash, token_files, toxicity
+from labelflow.llm import bpe, decontaminate, embeddings, langid, line_dedup, pii, simhash, token_files, toxicity
 from labelflow.llm.common import ROW_ID, held_out
 from labelflow.session import scratch_dir
 
@@ -87,3 +87,8 @@ def op4_pii(spark, sf_dir):
 
     return out.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
                       pii.written(pii.merged(F.col("base"), F.col("added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+@_register
+def op6_embedding_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"))
