@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.session import scratch_dir
@@ -43,6 +43,12 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
 
 
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row id, id, text); row ids the table already has are kept, so that results can be joined back."""
+    rid = docs[ROW_ID] if ROW_ID in docs.columns else F.monotonically_increasing_id()
+    return docs.select(rid.alias(ROW_ID), docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+
+
 def field(name: str, df: DataFrame, col: str) -> str:
     """DDL of an output column with the type of ``df[col]``."""
     return f"`{name}` {df.schema[col].dataType.simpleString()}"
@@ -60,7 +66,3 @@ def file_bytes(path: str, most: int = 64 << 20) -> bytes:
 def held_out(id_col: Column, folds: int, fold: int) -> Column:
     """crc32(id as text) mod ``folds`` is ``fold``; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string")) % folds == fold, F.lit(False))
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

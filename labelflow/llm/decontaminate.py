@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.llm.common import ROW_ID, field, id_text, materialise, parts, with_row_id
+from labelflow.llm.common import ROW_ID, field, materialise, numbered, parts
 
 K = 5
 BITMAP_BITS = 24
@@ -167,7 +167,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = 10, k: i
                                    window, k), "bench-fingerprints")
     lengths = sorted(r[0] for r in bench.where("whole").select("k").distinct().collect())  # at most ``window`` values
     bitmap = spark.sparkContext.broadcast(_bitmap(bench))
-    rows = with_row_id(id_text(docs, id_col, text_col)).select(ROW_ID, "id", "text")
+    rows = numbered(docs, id_col, text_col)
 
     from pyspark.sql.pandas.types import to_arrow_type
 

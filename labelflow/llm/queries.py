@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, embeddings, langid, line_dedup, pii, simhash, token_files, toxicity
+from labelflow.llm import bpe, decontaminate, embeddings, html_text, langid, line_dedup, pii, simhash, token_files, toxicity
 from labelflow.llm.common import ROW_ID, held_out
 from labelflow.session import scratch_dir
 
@@ -92,3 +92,8 @@ def op4_pii(spark, sf_dir):
 @_register
 def op6_embedding_dedup(spark, sf_dir):
     return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
+@_register
+def op9_html_text(spark, sf_dir):
+    return html_text.extract(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))

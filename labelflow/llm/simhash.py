@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.llm.common import ROW_ID, field, id_text, materialise, parts, with_row_id
+from labelflow.llm.common import ROW_ID, field, materialise, numbered, parts
 from labelflow.llm.components import connected_components
 
 BITS = 64
@@ -69,7 +69,7 @@ def fingerprint(text: str | None, shingle: int, seed: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int, seed: int, id_col: str, text_col: str) -> DataFrame:
     """(row id, id, fp) per row."""
-    rows = with_row_id(id_text(docs, id_col, text_col)).select(ROW_ID, "id", "text")
+    rows = numbered(docs, id_col, text_col)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
