@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.llm import bpe, decontaminate, langid, line_dedup, simhash
-from labelflow.llm.common import ROW_ID, held_out, materialise, with_row_id
+from labelflow.llm.common import ROW_ID, held_out, materialise, ship_package, with_row_id
 
 MIN_LANGUAGE_SCORE = 0.5
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -19,12 +19,14 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told: no letters, or no learned language scores enough."""
+    ship_package(spark)
     model = langid.train(docs.where(~held_out(F.col("doc_id"), 4, 2)))
     return langid.select_rows(docs, model, min_score=MIN_LANGUAGE_SCORE)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes later copies of repeated line runs; a document of which nothing is left goes."""
+    ship_package(spark)
     out = line_dedup.dedup_rows(docs)
     emptied = (F.size("__deleted") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     return out.where(~F.coalesce(emptied, F.lit(False))).withColumn(
@@ -33,6 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the smallest doc_id, of each group of linked fingerprints."""
+    ship_package(spark)
     rows = materialise(with_row_id(docs), "simhash-docs")
     kept = simhash.near_duplicates(rows, shingle=3, max_bits=2).where("keep").select(ROW_ID)
     return rows.join(kept, ROW_ID, "left_semi").select(*docs.columns)
@@ -40,6 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that share a window of words with a benchmark item."""
+    ship_package(spark)
     rows = materialise(with_row_id(docs), "benchmark-docs")
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     bad = decontaminate.contaminated_words(rows, items).where("n_hit > 0").select(ROW_ID)
@@ -48,6 +52,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document (little-endian unsigned 32-bit), with digests of them and of the bytes they decode to."""
+    ship_package(spark)
     both = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.session import scratch_dir
@@ -13,6 +17,21 @@ from labelflow.session import scratch_dir
 ROW_ID = "__row_id"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, as ``--py-files`` would, once per Spark application."""
+    context = spark.sparkContext
+    if getattr(context, "_labelflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # the archive is served from this folder of the driver for as long as the application runs
+    folder = tempfile.mkdtemp(prefix="py-files-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    staged = os.path.join(folder, "staged", os.path.basename(package))
+    shutil.copytree(package, staged, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(staged, "zip", os.path.dirname(staged), os.path.basename(package)))
+    context._labelflow_shipped = True
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.llm import bpe, decontaminate, embeddings, html_text, langid, line_dedup, pii, simhash, token_files, toxicity
-from labelflow.llm.common import ROW_ID, held_out
+from labelflow.llm.common import ROW_ID, held_out, ship_package
 from labelflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,8 +21,13 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _register(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = query
+    return query
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
