@@ -64,8 +64,8 @@ def op1_langid(spark, sf_dir):
 @_register
 def op3_toxicity(spark, sf_dir):
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
-    weights, intercept = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 3, 1)))
-    return (toxicity.score(docs, weights, intercept)
+    model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 3, 1)))
+    return (toxicity.score(docs, model)
             .select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")))
 
 

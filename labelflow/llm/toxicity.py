@@ -1,11 +1,12 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-A feature is a hashed character n-gram of a lower-cased word with its boundaries, present or
-not. Each feature is scaled by the log ratio of its smoothed frequencies in the two classes;
-Spark ML's logistic regression is fitted on the scaled features.
+A feature is a character n-gram of a lower-cased word with its boundaries, present or not,
+known by a 64-bit hash. The ``n_features`` n-grams whose document frequencies tell the classes
+apart best (by chi-square) are kept; each is scaled by the log ratio of its smoothed frequencies
+in the two classes, and Spark ML's logistic regression is fitted on the scaled features.
 
 Training reads a sample of about ``docs_per_class`` labelled rows of each class, chosen by a
-hash of the id; that is the only bound. Every whole text is scored.
+hash of the id; that and the number of features are the only bounds. Every whole text is scored.
 
 A null or empty text has no features and scores the intercept. Rows of ``labels`` with a null
 label are ignored; a document labelled twice is toxic if either says so. With only one class,
@@ -16,7 +17,6 @@ scored one by one; other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,89 +30,122 @@ from labelflow.llm.common import field, id_text, materialise, parts
 from labelflow.llm.langid import sample_per_group
 from labelflow.session import scratch_dir
 
-BUCKETS = 1 << 18
 SIZES = (3, 4, 5)
 _WORDS = re.compile(r"\w+")
 _CACHE = 100_000
 
 
-class _WordFeatures(dict):
-    """Word to its feature ids, remembered for a bounded number of words."""
+def gram_hashes(word: str) -> np.ndarray:
+    """Hashes of a word's distinct character n-grams, ascending."""
+    import xxhash
+
+    padded = f" {word} "
+    found = {xxhash.xxh64_intdigest(padded[i:i + n].encode("utf-8", "surrogatepass"), 1) for n in SIZES for i in range(len(padded) - n + 1)}
+    return np.sort(np.fromiter(found, dtype=np.uint64, count=len(found)).view(np.int64))
+
+
+class _Remembered(dict):
+    """Word to ``make(word)``, remembered for a bounded number of words."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
 
     def __missing__(self, word: str) -> np.ndarray:
         if len(self) >= _CACHE:
             self.clear()
-        padded = f" {word} "
-        found = {zlib.crc32(padded[i:i + n].encode("utf-8", "surrogatepass")) % BUCKETS
-                 for n in SIZES for i in range(len(padded) - n + 1)}
-        out = self[word] = np.fromiter(found, dtype=np.int32, count=len(found))
+        out = self[word] = self.make(word)
         return out
 
 
-def features(text: str | None, cache: _WordFeatures) -> np.ndarray:
-    """Distinct feature ids of a text, ascending."""
+def distinct_over_words(text: str | None, of_word: _Remembered) -> np.ndarray:
+    """Distinct values over the words of a text, ascending."""
     words = set(_WORDS.findall(text.lower())) if text else ()
-    if not words:
-        return np.empty(0, dtype=np.int32)
-    return np.unique(np.concatenate([cache[w] for w in words]))
+    arrays = [a for w in words if len(a := of_word[w])]
+    return np.unique(np.concatenate(arrays)) if arrays else np.empty(0, dtype=np.int64)
+
+
+class Model:
+    """Sorted n-gram hashes, their weights and an intercept."""
+
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray, intercept: float):
+        self.hashes, self.weights, self.intercept = hashes, weights, intercept
+
+    def positions(self, word: str) -> np.ndarray:
+        return _known(self.hashes, gram_hashes(word))
+
+    def scores(self, texts: list[str | None], of_word: _Remembered) -> np.ndarray:
+        z = np.array([self.weights[distinct_over_words(t, of_word)].sum() + self.intercept for t in texts])
+        return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+
+
+def _known(hashes: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Positions in ``hashes`` of those of ``some`` that are there."""
+    if not len(hashes):
+        return np.empty(0, dtype=np.int64)
+    at = np.minimum(np.searchsorted(hashes, some), len(hashes) - 1)
+    return at[hashes[at] == some]
 
 
-def log_count_ratios(toxic: np.ndarray, clean: np.ndarray, alpha: float = 1.0, min_docs: int = 3) -> np.ndarray:
-    """Of smoothed document frequencies; 0 for features in fewer than ``min_docs`` documents."""
-    p, q = toxic + alpha, clean + alpha
-    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    return np.where(toxic + clean >= min_docs, ratio, 0.0)
+def log_count_ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, alpha: float = 1.0) -> np.ndarray:
+    """Of the smoothed shares of the documents of each class that have a feature."""
+    return np.log((toxic + alpha) / (n_toxic + 2 * alpha)) - np.log((clean + alpha) / (n_clean + 2 * alpha))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          docs_per_class: int = 3000, regularisation: float = 1e-3, iterations: int = 60) -> tuple[np.ndarray, float]:
-    """(weight of each feature, intercept); ``labels`` holds only rows that may be learned from."""
-    marks = (labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"))
-             .where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label")))
+          docs_per_class: int = 3000, n_features: int = 1 << 15, min_docs: int = 3, regularisation: float = 1e-5, iterations: int = 60) -> Model:
+    """Learns from the documents in ``labels``, which holds only rows that may be learned from."""
+    spark = docs.sparkSession
+    marks = materialise(labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"))
+                        .where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label")), "toxicity-labels")
     chosen = materialise(sample_per_group(marks, "label", F.col("id").cast("string"), docs_per_class), "toxicity-sample")
     rows = id_text(docs, id_col, text_col).join(chosen, "id").select("label", "text")
 
     def extract(batches):
-        cache = _WordFeatures()
+        of_word = _Remembered(gram_hashes)
         for label, text in parts(batches):
-            ids = [features(t, cache) for t in text]
-            yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(ids, pa.list_(pa.int32()))], ["label", "ids"])
+            grams = [distinct_over_words(t, of_word) for t in text]
+            yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(grams, pa.list_(pa.int64()))], ["label", "grams"])
 
-    found = materialise(rows.mapInArrow(extract, "label int, ids array<int>"), "toxicity-features")
+    found = materialise(rows.mapInArrow(extract, "label int, grams array<bigint>"), "toxicity-grams")
     n = {int(k): v for k, v in found.groupBy("label").count().collect()}
+    none = np.empty(0, dtype=np.int64)
     if len(n) < 2:
-        return np.zeros(BUCKETS), 30.0 if 1 in n else -30.0
-    counts = np.zeros((2, BUCKETS))
-    per = found.select("label", F.explode("ids").alias("i")).groupBy("label", "i").count().toArrow()  # at most 2 x BUCKETS rows
-    counts[per.column("label").to_numpy(), per.column("i").to_numpy()] = per.column("count").to_numpy()
-    ratio = log_count_ratios(counts[1], counts[0])
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+        return Model(none, np.empty(0), 30.0 if 1 in n else -30.0)
+    n1, n0 = n[1], n[0]
+    t, c = F.col("toxic"), F.col("clean")
+    apart = (t * F.lit(n0) - c * F.lit(n1)) ** 2 / ((t + c) * (n1 + n0 - t - c + 1))  # chi-square but for a constant
+    best = (found.select(F.explode("grams").alias("gram"), "label").groupBy("gram")
+            .agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
+            .where(t + c >= min_docs).orderBy(F.desc(apart), "gram").limit(n_features).toArrow())
+    order = np.argsort(best.column("gram").to_numpy())
+    hashes, toxic, clean = (best.column(x).to_numpy()[order] for x in ("gram", "toxic", "clean"))
+    ratio = log_count_ratios(toxic, clean, n1, n0)
+    if not len(hashes):
+        return Model(none, np.empty(0), float(np.log(n1 / n0)))
+    shared = spark.sparkContext.broadcast((hashes, ratio))
 
     # the stored form of an ML vector, read back as one
     vector = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
     stored = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
 
     def scale(batches):
-        r = shared.value
-        for label, ids in parts(batches):
-            out = []
-            for x in ids:
-                a = np.array(x, dtype=np.int32)
-                a = a[r[a] != 0]
-                out.append({"type": 0, "size": BUCKETS, "indices": a, "values": r[a]})
+        known, r = shared.value
+        for label, grams in parts(batches):
+            at = [_known(known, np.array(g, dtype=np.int64)) for g in grams]
+            out = [{"type": 0, "size": len(known), "indices": a.astype(np.int32), "values": r[a]} for a in at]
             yield pa.RecordBatch.from_arrays([pa.array(label, pa.float64()), pa.array(out, stored)], ["label", "features"])
 
-    path = scratch_dir(docs.sparkSession, "toxicity-vectors")
+    path = scratch_dir(spark, "toxicity-vectors")
     found.mapInArrow(scale, f"label double, features {vector}").write.parquet(path)
     schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
-    fit = LogisticRegression(regParam=regularisation, maxIter=iterations, standardization=False).fit(
-        docs.sparkSession.read.schema(schema).parquet(path))
-    return fit.coefficients.toArray() * ratio, float(fit.intercept)
+    fit = LogisticRegression(regParam=regularisation, maxIter=iterations, standardization=False).fit(spark.read.schema(schema).parquet(path))
+    return Model(hashes, fit.coefficients.toArray() * ratio, float(fit.intercept))
 
 
-def score(docs: DataFrame, weights: np.ndarray, intercept: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, score (probability of the toxic class) per row."""
-    shared = docs.sparkSession.sparkContext.broadcast((weights, intercept))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = id_text(docs, id_col, text_col)
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -120,11 +153,9 @@ def score(docs: DataFrame, weights: np.ndarray, intercept: float, id_col: str =
     key_type = to_arrow_type(rows.schema["id"].dataType)
 
     def run(batches):
-        cache = _WordFeatures()
-        w, b = shared.value
+        m = shared.value
+        of_word = _Remembered(m.positions)
         for ids, texts in parts(batches):
-            z = np.array([w[features(t, cache)].sum() + b for t in texts])
-            out = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, key_type), pa.array(out, pa.float64())], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, key_type), pa.array(m.scores(texts, of_word), pa.float64())], ["id", "score"])
 
     return rows.mapInArrow(run, f"{field('id', rows, 'id')}, score double").withColumnRenamed("id", id_col)
