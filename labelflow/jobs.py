@@ -23,24 +23,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.functions import chat
-from labelflow.functions.text import name_slug, parse_flag
+from labelflow.functions.text import name_slug, parse_flag, py_strip
 from labelflow.operators import compare as C
 from labelflow.operators import evaluate as ev
 from labelflow.operators import ml, records as R, sampling as S, score as SC, vocab as V
+from labelflow.session import job_session, scratch_dir
 from labelflow.sources import io
 
 PRED_SCHEMA = "example_id bigint, " + io.PREDICTION_SCHEMA
 RECORD_SCHEMA = "example_id bigint, " + io.RECORD_SCHEMA
 
 
-def _session() -> SparkSession:
-    from labelflow.session import ensure_checkpoint_dir, local_session
-
-    spark = SparkSession.getActiveSession() or local_session()
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
 def _read_table(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
     fmt = fmt or ("parquet" if path.endswith(".parquet") else "csv" if path.endswith(".csv") else "json")
     if fmt == "csv":
@@ -65,13 +58,18 @@ def _stem(path: str) -> str:
 
 def prepare(a) -> None:
     """Raw splits -> chat records per split + label metadata."""
-    spark = _session()
+    spark = job_session()
     include_oos = spark.range(1).select(parse_flag(F.lit(a.include_oos))).first()[0]
     parts = []
     for split, path in (("train", a.train), ("validation", a.validation), ("test", a.test)):
         if path and io.path_exists(spark, path):
             df = _read_table(spark, path, a.format)
-            key = F.col(a.id_col) if a.id_col in df.columns else F.monotonically_increasing_id()
+            if a.id_col in df.columns:
+                key = F.col(a.id_col)
+            else:  # ids made here must not be made again by a later read
+                numbered = scratch_dir(spark, f"{split}-numbered")
+                df.withColumn(a.id_col, F.monotonically_increasing_id()).write.parquet(numbered)
+                df, key = spark.read.parquet(numbered), F.col(a.id_col)
             parts.append(df.select(key.cast("bigint").alias("example_id"), F.lit(split).alias("split"),
                                    F.col(a.text_col).cast("string").alias("text"),
                                    F.col(a.label_col).cast("string").alias("label_text")))
@@ -85,15 +83,24 @@ def prepare(a) -> None:
     for short in ("train", "val", "test"):
         io.write_jsonl(recs.where(F.col("meta.split") == short), f"{a.out}/processed/{short}.jsonl")
     for r in S.split_counts(R.flatten_records(recs)).collect():
-        print(f"Wrote {r['n_rows']} examples ({r['n_labels']} labels) -> {a.out}/processed/{r['split']}.jsonl")
-    print(f"Labels: {len(labels)}; include_oos={include_oos}")
+        print(f"split {r['split']}: rows={r['n_rows']} labels={r['n_labels']} file={a.out}/processed/{r['split']}.jsonl")
+    print(f"vocabulary: {len(labels)} labels, out-of-scope rows {'kept' if include_oos else 'dropped'}")
+
+
+def _predictions(spark: SparkSession, path: str) -> DataFrame:
+    """A predictions file that has gold and predicted labels; says how many rows no metric can use."""
+    io.require_keys(spark, path, ["gold_label", "predicted_label"])
+    preds = io.read_jsonl(spark, path, PRED_SCHEMA)
+    lost = ev.unlabelled_rows(preds).first()
+    if lost["n_unlabelled"]:
+        print(f"{lost['n_unlabelled']} of {lost['n_rows']} rows have no gold label and are left out")
+    return preds
 
 
 def evaluate(a) -> None:
     """Predictions -> metrics JSON + per-label report CSV."""
-    spark = _session()
-    preds = io.read_jsonl(spark, a.predictions, PRED_SCHEMA)
-    ev.require_columns(preds, ["gold_label", "predicted_label"])
+    spark = job_session()
+    preds = _predictions(spark, a.predictions)
     pairs = ev.pair_counts(preds).checkpoint(eager=True)
     stem = a.stem or _stem(a.predictions)
     metrics = ev.summary_metrics(None, pairs=pairs)
@@ -103,16 +110,13 @@ def evaluate(a) -> None:
 
 
 def confusion(a) -> None:
-    """Predictions -> wide confusion CSV (long form above the label guard) + top-k pairs."""
-    spark = _session()
-    preds = io.read_jsonl(spark, a.predictions, PRED_SCHEMA)
-    ev.require_columns(preds, ["gold_label", "predicted_label"])
+    """Predictions -> wide confusion CSV over all labels seen + top-k pairs."""
+    spark = job_session()
+    preds = _predictions(spark, a.predictions)
     pairs = ev.pair_counts(preds).checkpoint(eager=True)
     stem = a.stem or _stem(a.predictions)
-    try:
-        io.write_csv(ev.confusion_wide(None, pairs=pairs), f"{a.out}/{stem}_confusion.csv", single_file=True)
-    except ValueError:
-        io.write_csv(ev.confusion_pairs(None, pairs=pairs), f"{a.out}/{stem}_confusion.csv")
+    labels = ev.label_universe(pairs)
+    io.write_wide_confusion(ev.confusion_wide(None, labels, pairs=pairs), labels, f"{a.out}/{stem}_confusion.csv")
     top = ev.top_confused_pairs(None, k=a.top_k, pairs=pairs)
     io.write_csv(top, f"{a.out}/{stem}_top_confused_pairs.csv", single_file=True)
     for r in top.collect():
@@ -121,14 +125,14 @@ def confusion(a) -> None:
 
 def compare(a) -> None:
     """Metric files -> model comparison summary."""
-    spark = _session()
+    spark = job_session()
     required, optional = _kv(a.required), _kv(a.optional)
     parts = []
     for name, path in {**required, **optional}.items():
         if not io.path_exists(spark, path):
             if name in required:
-                raise FileNotFoundError(f"{name} metrics file not found: {path}")
-            print(f"Skipping {name}: file not found ({path})")
+                raise FileNotFoundError(f"required model {name}: {path} does not exist")
+            print(f"optional model {name} left out, {path} does not exist")
             continue
         parts.append(io.read_metrics(spark, path).withColumn("model", F.lit(name)))
     metrics = parts[0]
@@ -143,7 +147,7 @@ def compare(a) -> None:
 
 def curves(a) -> None:
     """Training logs -> smoothed loss over progress."""
-    spark = _session()
+    spark = job_session()
     logs = io.read_training_logs(spark, _kv(a.run))
     sm = C.rolling_mean(logs, "run", list(io.ORDER_COLS), "train_mean_nll", window=a.window)
     out = sm.select("run", "step", C.progress_percent("progress").alias("progress_pct"), "train_mean_nll",
@@ -158,11 +162,12 @@ def _load_factory(spec: str):
 
 def score(a) -> None:
     """Records -> prompts -> predictor -> extracted labels -> predictions + metrics."""
-    spark = _session()
+    spark = job_session()
     rows = io.read_jsonl(spark, a.input, RECORD_SCHEMA, with_order=True)
     train = io.read_jsonl(spark, a.train, RECORD_SCHEMA, with_order=True) if a.mode == "few-shot" else None
-    flat = rows.select(*io.ORDER_COLS, chat.utterance_from_record("messages", F.col("meta.utterance"))
-                       .alias("utterance"), F.coalesce(F.col("meta.label"), F.lit("")).alias("gold_label"))
+    gold = py_strip(F.coalesce(F.col("meta.label"), F.lit("")))
+    flat = rows.select("example_id", *io.ORDER_COLS, chat.utterance_from_record("messages", F.col("meta.utterance"))
+                       .alias("utterance"), gold.alias("gold_label"))
     sources = [(flat, "gold_label")]
     if train is not None:
         sources.append((train.select(F.col("meta.label").alias("label")), "label"))
@@ -171,7 +176,8 @@ def score(a) -> None:
         flat = flat.orderBy(*io.ORDER_COLS).limit(a.limit)
     if a.mode == "few-shot":
         tr = train.select(F.struct(*io.ORDER_COLS).alias("example_id"),
-                          F.col("meta.utterance").alias("utterance"), F.col("meta.label").alias("label"))
+                          chat.utterance_from_record("messages", F.col("meta.utterance")).alias("utterance"),
+                       F.col("meta.label").alias("label"))
         support = S.collect_support(S.few_shot_support(tr, n=a.max_few_shot), n=a.max_few_shot)
         msgs = chat.few_shot_messages("utterance", labels, support)
     else:
@@ -179,7 +185,7 @@ def score(a) -> None:
     prompts = flat.withColumn("prompt", chat.render_upper(msgs))
     scored = SC.score(prompts, _load_factory(a.predictor), "prompt", labels, a.strategy, a.batch_size)
     model_name = a.model_name or a.predictor
-    recs = SC.prediction_records(scored, mode=a.mode, model_name=model_name, key=None)
+    recs = SC.prediction_records(scored, mode=a.mode, model_name=model_name)
     stem = spark.range(1).select(F.concat(name_slug(F.lit(model_name)), F.lit("_"),
                                           F.lit(a.mode.replace("-", "_")), F.lit("_predictions"))).first()[0]
     path = f"{a.out}/{stem}.jsonl"
@@ -193,11 +199,12 @@ def score(a) -> None:
 
 def baseline(a) -> None:
     """Spark ML text classifier: train, validate, test, report."""
-    spark = _session()
+    spark = job_session()
 
     def load(path):
         r = io.read_jsonl(spark, path, RECORD_SCHEMA)
-        u = chat.utterance_from_record("messages", F.col("meta.utterance"))
+        # the encoder reads the whole first user message
+        u = chat.first_user_content("messages")
         return R.nonblank_rows(r, u, F.col("meta.label"), keep=("example_id",))
 
     train = load(a.train)
@@ -209,19 +216,20 @@ def baseline(a) -> None:
         val = split.where(F.col("assigned") == "validation").drop("assigned")
         train = split.where(F.col("assigned") == "train").drop("assigned")
     test = load(a.test)
-    model = ml.text_classifier(max_iter=a.max_iter, reg_param=a.reg_param).fit(train)
+    labels = V.collect_labels(V.vocab_union((train, "label"), (val, "label"), (test, "label"), strip=False))
+    model = ml.text_classifier(max_iter=a.max_iter, reg_param=a.reg_param, labels=labels).fit(train)
     vp = ml.predict_labels(model, val)
     tp = ml.predict_labels(model, test).checkpoint(eager=True)
     vm = ev.summary_metrics(vp, gold="label").first()
     tm = ev.summary_metrics(tp, gold="label").first()
     metrics = spark.createDataFrame([(
-        "spark-ml-tfidf-lr", len(model.stages[0].labels), train.count(), val.count(), test.count(),
+        "spark-ml-tfidf-lr", len(labels), train.count(), val.count(), test.count(),
         float(vm["accuracy"]), float(vm["macro_f1"]), float(tm["accuracy"]), float(tm["macro_f1"]))],
         "model_name string, num_labels int, train_examples bigint, validation_examples bigint, "
         "test_examples bigint, validation_accuracy double, validation_macro_f1 double, test_accuracy double, "
         "test_macro_f1 double")
     io.write_metrics_json(metrics, f"{a.out}/metrics.json", decimals=None)
-    io.write_csv(ev.full_report(tp, gold="label"), f"{a.out}/per_intent_report.csv", single_file=True)
+    io.write_csv(ev.full_report(tp, gold="label", labels=labels), f"{a.out}/per_intent_report.csv", single_file=True)
     io.write_jsonl(tp.select("example_id", "utterance", F.col("label").alias("gold_label"), "predicted_label",
                              F.lit("spark-ml-tfidf-lr").alias("model_name")), f"{a.out}/test_predictions.jsonl")
     print(metrics.first().asDict())

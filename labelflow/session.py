@@ -8,7 +8,9 @@ are unset, which is what local runs and tests need.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,16 +44,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def job_session(app_name: str = "labelflow") -> SparkSession:
+    """The active session, or one with the launcher's own master and settings; sets neither."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName(app_name).getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the launcher sets it to a shared (HDFS/S3/...) path and we only
-    read it. Only when it is unset (local tests) do we pick a scratch folder.
+    read it; unset, it raises there. Only a local master gets a scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     path = tempfile.mkdtemp(prefix="labelflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -61,5 +73,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    import uuid
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"

@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from labelflow.operators.evaluate import require_columns  # noqa: F401  (S06, re-exported)
 
-ORDER_COLS = ("_file", "_block", "_row")
+# Part number, path, split offset and row: the order of lines in a folder written by Spark.
+ORDER_COLS = ("_part", "_file", "_block", "_row")
 
 # Schemas of the reference's record shapes.
 MESSAGE_SCHEMA = "struct<role:string,content:string>"
@@ -44,13 +45,14 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: str | Str
                with_order: bool = False, fail_fast: bool = True) -> DataFrame:
     """JSON-lines scan; blank lines skipped, a malformed line fails the job.
 
-    ``with_order=True`` adds ``_file, _block, _row``: sorting by them is file order.
+    ``with_order=True`` adds ``_part, _file, _block, _row``: sorting by them is file
+    order (part files by number: as text, part-100000 would come before part-99999).
     """
     mode = "FAILFAST" if fail_fast else "PERMISSIVE"
     if not with_order:
         return spark.read.schema(schema).option("mode", mode).json(path)
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_file"),
+        "value", _part_number(F.col("_metadata.file_path")).alias("_part"), F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"))
     lines = lines.where(F.length(F.regexp_replace("value", r"(?U)[\s\x1c-\x1f]", "")) > 0)
@@ -58,6 +60,25 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: str | Str
     return parsed.select("r.*", *ORDER_COLS)
 
 
+def _part_number(path: Column) -> Column:
+    """Number of a Spark part file, 0 for any other file."""
+    return F.coalesce(F.try_to_number(F.regexp_extract(path, r"part-(\d{1,18})[^/]*$", 1), F.lit("9" * 18)).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def json_keys(spark: SparkSession, path: str | Sequence[str]) -> set[str]:
+    """Top-level keys that any row of a JSON-lines file has. Rows only send on the keys, each once per task."""
+    lines = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("key"))
+    return {r[0] for r in lines.distinct().collect()}
+
+
+def require_keys(spark: SparkSession, path: str | Sequence[str], required: Sequence[str]) -> None:
+    """Raise when no row of a JSON-lines file has one of ``required`` (S06). A schema would invent the column."""
+    found = json_keys(spark, path)
+    lacking = sorted(set(required) - found)
+    if lacking:
+        raise ValueError(f"{path}: no row has {lacking}; the file has {sorted(found)}")
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON-lines sink: UTF-8 as-is, NULL fields kept."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
@@ -108,6 +129,23 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
      .csv(path))
 
 
+def write_wide_confusion(wide: DataFrame, labels: Sequence[str], path: str) -> None:
+    """Wide confusion CSV (A06): a header of labels, then a line per gold label in the order of ``labels``.
+
+    Lines are written as text, so labels that no column could be called (case
+    variants, dots, quotes, newlines) are plain quoted fields.
+    """
+    def field(c: Column) -> Column:
+        return F.when(c.rlike('[",\n\r]') | (c == ""), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+
+    spark = wide.sparkSession
+    at = spark.createDataFrame([("gold", -1, list(labels))], "gold string, at int, cells array<string>")
+    order = spark.createDataFrame(list(enumerate(labels)), "at int, gold string")
+    rows = wide.join(order, "gold").select("gold", "at", F.col("counts").cast("array<string>").alias("cells"))
+    lines = at.unionByName(rows).select("at", F.array_join(F.transform(F.concat(F.array("gold"), "cells"), field), ",").alias("value"))
+    lines.repartition(1).sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
+
+
 # A null marker no CSV field holds: lets empty fields read back as '' instead of NULL.
 _NO_NULL = "\u0000"
 
@@ -125,9 +163,13 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType, empty_as_
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
-    """Per-label report with the reference's header (``f1-score``)."""
+    """Per-label report with the header ``f1-score`` (S09); a folder of files in the report's order.
+
+    The label universe grows with what a model makes up, so the report is not
+    gathered into one task.
+    """
     write_csv(report.select("label", "precision", "recall", "f1_score", F.col("support").cast("double")),
-              path, single_file=True, rename={"f1_score": "f1-score"})
+              path, rename={"f1_score": "f1-score"})
 
 
 def write_metrics_json(metrics: DataFrame, path: str, decimals: int | None = 10) -> None:
@@ -171,10 +213,9 @@ def read_training_logs(spark: SparkSession, runs: Mapping[str, str], schema: str
             continue
         parts.append(read_jsonl(spark, p, schema, with_order=True).withColumn("run", F.lit(run)))
     if not parts:
-        return spark.createDataFrame([], f"{schema}, {', '.join(c + ' ' + t for c, t in zip(ORDER_COLS, ('string', 'bigint', 'bigint')))}, run string")
+        return spark.createDataFrame([], f"{schema}, {', '.join(c + ' ' + t for c, t in zip(ORDER_COLS, ('bigint', 'string', 'bigint', 'bigint')))}, run string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    has = out.groupBy("run").agg(*[F.count(F.col(c)).alias(f"_n_{c}") for c in required])
-    keep = has.where(F.expr(" AND ".join(f"_n_{c} > 0" for c in required))).select("run")
-    return out.join(keep, "run", "left_semi")
+    has = out.groupBy("run").agg(*[F.count(F.col(c)).alias(c) for c in required]).collect()  # a row per run
+    return out.where(F.col("run").isin([r["run"] for r in has if all(r[c] > 0 for c in required)]))
