@@ -29,7 +29,7 @@ def get_metric(primary: str, fallback: str, on_missing: str = "raise", default:
     """
     v = F.coalesce(F.col(primary), F.col(fallback)).cast("double")
     if on_missing == "raise":
-        return F.when(v.isNull(), F.raise_error(F.lit(f"Could not find '{primary}' or '{fallback}' in metrics")))\
+        return F.when(v.isNull(), F.raise_error(F.lit(f"a metrics row has neither {primary} nor {fallback}")))\
                 .otherwise(v)
     if on_missing == "default":
         return F.coalesce(v, F.lit(float(default)))
@@ -43,7 +43,7 @@ def model_comparison(metrics: DataFrame, required: Sequence[str] = (), optional:
     ``metrics`` holds nullable ``accuracy, macro_f1, test_accuracy, test_macro_f1``;
     models in ``prefixed_first`` read the ``test_`` keys first (the encoder's
     file), others the plain keys first. A required model missing from
-    ``metrics`` fails the job; optional ones are simply absent. With
+    ``metrics`` raises at once; optional ones are simply absent. With
     ``optional=None`` every model present is kept.
     """
     pref = F.col(model).isin(*prefixed_first) if prefixed_first else F.lit(False)
@@ -53,15 +53,10 @@ def model_comparison(metrics: DataFrame, required: Sequence[str] = (), optional:
     if optional is not None:
         out = out.where(F.col("model").isin(*required, *optional))
     if required:
-        spark = metrics.sparkSession
-        req = spark.createDataFrame([(m,) for m in required], "model string")
-        present = req.join(out.select("model").distinct(), "model", "left_anti")
-        # a required model without metrics raises when the result is computed
-        guard = present.select(F.raise_error(F.concat(F.lit("required model missing: "), F.col("model")))
-                               .cast("string").alias("model"),
-                               F.lit(None).cast("double").alias("accuracy"),
-                               F.lit(None).cast("double").alias("macro_f1"))
-        out = out.unionByName(guard)
+        found = {r[0] for r in out.where(F.col("model").isin(*required)).select("model").distinct().collect()}
+        lacking = [m for m in required if m not in found]
+        if lacking:
+            raise ValueError(f"no metrics for the required models {lacking}")
     return out
 
 
@@ -121,23 +116,22 @@ def zip_predictions(gold: DataFrame, preds: DataFrame, key: str = "example_id")
 
 
 def rolling_mean(df: DataFrame, group: str, order: Sequence[str] | str, value: str, window: int = 5,
-                 out: str = "smoothed", position: str = "step") -> DataFrame:
+                 out: str = "smoothed", position: str = "step", bucket: int = 100_000) -> DataFrame:
     """``rolling(window, min_periods=1).mean()`` per group after dropping NULL values.
 
-    Skew-safe: rows get their position inside the group from
-    ``group_ordinal``; each (group, position, value) triple is copied to the
-    ``window`` positions it smooths and one aggregation keyed by (group,
-    target position), a unique key, averages them. The averages join back to
-    the rows on that unique key, so only the narrow triples are multiplied by
-    the window, never the full rows.
+    Skew-safe: rows get their position inside the group from ``group_ordinal``
+    and fall into buckets of ``bucket`` positions; the last ``window - 1`` rows of
+    a bucket are copied into the next one, a plain window runs inside
+    (group, bucket), and the copies are dropped.
     """
     rows = df.where(F.col(value).isNotNull())
     pos = group_ordinal(rows, group, order, out=position)
-    contrib = pos.select(F.col(group).alias("_g"), F.col(value).alias("_v"),
-                         F.explode(F.sequence(F.col(position), F.col(position) + (window - 1))).alias("_t"))
-    means = contrib.groupBy("_g", "_t").agg(F.avg("_v").alias(out))
-    cond = [pos[group].eqNullSafe(means["_g"]), pos[position] == means["_t"]]
-    return pos.join(means, cond).select(*[pos[c] for c in pos.columns], means[out])
+    mine = F.floor(F.col(position) / bucket)
+    into = F.when(F.col(position) % bucket >= bucket - (window - 1), F.array(mine, mine + 1)).otherwise(F.array(mine))
+    spread = pos.select(*pos.columns, mine.alias("_mine"), F.explode(into).alias("_bucket"))
+    back = Window.partitionBy(group, "_bucket").orderBy(position).rowsBetween(-(window - 1), 0)
+    return (spread.withColumn(out, F.avg(value).over(back)).where(F.col("_mine") == F.col("_bucket"))
+            .select(*pos.columns, out))
 
 
 def progress_percent(progress: str = "progress") -> Column:

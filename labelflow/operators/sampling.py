@@ -14,49 +14,75 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import py_strip
-from labelflow.session import ensure_checkpoint_dir
 
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def group_ordinal(df: DataFrame, group, order, out: str = "position",
-                  num_partitions: int | None = None) -> DataFrame:
+# Rows of a group that one task orders at most, and buckets of all groups together; the first
+# grows with the table so that the second bounds what is broadcast.
+BUCKET_ROWS = 500_000
+MAX_BUCKETS = 20_000
+_CHUNK = 128
+
+
+def group_ordinal(df: DataFrame, group, order, out: str = "position", total: str | None = None,
+                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """0-based position of each row inside its group, by ``order`` (exact, skew-safe).
 
     A plain ``row_number()`` window sorts each group in one task, so a label
-    holding a third of the rows becomes a third of the job in one task. Here
-    the rows are range-partitioned on (group, order): a hot group spans many
-    partitions. Within a partition the sorted rows get consecutive ids; a small
-    (group, partition) table of counts yields each partition's offset inside
-    its group, and the result is id - first id + offset.
+    holding a third of the rows becomes a third of the job in one task. Here a
+    group of many rows is cut into buckets of about ``bucket_rows``: two passes
+    over the group and order columns alone sample bounds by hash and count the
+    rows of each bucket; the rows themselves are shuffled once, to
+    ``row_number()`` inside (group, bucket), and the rows of earlier buckets are
+    added. Bounds and counts, at most about MAX_BUCKETS rows whatever the table,
+    are computed when the plan is built and enter it as small broadcast tables.
     ``order`` should make rows unique within a group for a deterministic result.
-    The partitioned table is checkpointed, so building the plan runs one job.
+    ``total`` names a further column with the rows of the group.
     """
     group, order = _list(group), _list(order)
-    spark = df.sparkSession
-    cols = df.columns
-    # Without an explicit count AQE may merge adjacent ranges (small inputs stop producing
-    # shuffle.partitions tiny tasks); merged partitions still hold contiguous, re-sorted ranges.
-    ranged = (df.repartitionByRange(num_partitions, *group, *order) if num_partitions
-              else df.repartitionByRange(*group, *order))
-    t = (ranged
-         .sortWithinPartitions(*group, *order)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    # Both the counts and the join read t; materialise it once (reliable checkpoint in the
-    # shared spark.checkpoint.dir) so they see one set of range bounds and ids, and a lost
-    # executor re-reads files instead of re-sampling.
-    ensure_checkpoint_dir(spark)
-    t = t.checkpoint(eager=True)
-    stats = t.groupBy(*group, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_pid").alias("_p"), "_m0",
-                        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    cond = [t[g].eqNullSafe(offs[f"_g_{g}"]) for g in group] + [t["_pid"] == offs["_p"]]
-    return (t.join(offs, cond)
-            .select(*[t[c] for c in cols], (t["_mid"] - offs["_m0"] + offs["_off"]).alias(out)))
+    narrow = df.select(*group, *order)
+    size = max(bucket_rows, -(-narrow.count() // MAX_BUCKETS))
+    place = F.struct(*order)
+    hit = F.pmod(F.xxhash64(F.lit(11), *group, *order), F.lit(size)) == 0
+    bounds = (narrow.where(hit).groupBy(*group).agg(F.array_sort(F.collect_set(place)).alias("__keys"))
+              .select(*[F.col(g).alias(f"_g_{g}") for g in group],
+                      F.transform(F.sequence(F.lit(0), F.floor((F.size("__keys") - 1) / _CHUNK).cast("int")),
+                                  lambda i: F.slice("__keys", i * _CHUNK + 1, F.lit(_CHUNK))).alias("_bounds")))
+
+    def local(small: DataFrame) -> DataFrame:
+        return F.broadcast(df.sparkSession.createDataFrame(small.collect(), small.schema))
+
+    bounds = local(bounds)
+    if bounds.isEmpty():  # one bucket for each group
+        whole = Window.partitionBy(*group)
+        extra = [] if total is None else [F.count(F.lit(1)).over(whole).alias(total)]
+        position = (F.row_number().over(whole.orderBy(*order)) - 1).cast("bigint")
+        return df.select("*", position.alias(out), *extra)
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        same = [rows[g].eqNullSafe(F.col(f"_g_{g}")) for g in group]
+        # bounds come in chunks: the chunk first, then the place inside it
+        chunk = F.size(F.filter("_bounds", lambda c: c[0] <= place))
+        bucket = (F.when(F.col("_bounds").isNull() | (chunk == 0), F.lit(0))
+                  .otherwise((chunk - 1) * _CHUNK + F.size(F.filter(F.col("_bounds")[chunk - 1], lambda x: x <= place))))
+        return rows.join(bounds, same, "left").withColumn("_bucket", bucket)
+
+    counts = (bucketed(narrow).where(F.col("_bounds").isNotNull()).groupBy(*[F.col(g).alias(f"_h_{g}") for g in group], F.col("_bucket").alias("_b"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    whole = Window.partitionBy(*[f"_h_{g}" for g in group])  # the buckets of a group, not its rows
+    offsets = counts.select(*[f"_h_{g}" for g in group], "_b",
+                            F.coalesce(F.sum("_n").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                            F.sum("_n").over(whole).alias("_rows"))
+    inside = Window.partitionBy(*group, "_bucket")
+    rows = bucketed(df)
+    same = [rows[g].eqNullSafe(F.col(f"_h_{g}")) for g in group] + [F.col("_bucket") == F.col("_b")]
+    numbered = (rows.join(local(offsets), same, "left")
+                .withColumn(out, F.row_number().over(inside.orderBy(*order)) - 1 + F.coalesce("_before", F.lit(0)).cast("bigint")))
+    extra = [] if total is None else [F.coalesce("_rows", F.count(F.lit(1)).over(inside)).alias(total)]
+    return numbered.select(*[F.col(c) for c in df.columns], F.col(out), *extra)
 
 
 def few_shot_support(df: DataFrame, label: str = "label", order: str = "example_id", n: int = 4,
@@ -106,18 +132,16 @@ def split_counts(df: DataFrame, split: str = "split", label: str = "label") -> D
 
 
 def stratified_split(df: DataFrame, label: str = "label", key: str = "example_id", test_size: float = 0.1,
-                     seed: int = 42, num_partitions: int | None = None) -> DataFrame:
+                     seed: int = 42, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Per-label split: the round(test_size * n) rows with the smallest md5(seed|key) go to validation.
 
     Deterministic and identical across engines; not bit-equal to scikit-learn's
-    shuffle. Per-label counts come from an aggregate, positions from
-    ``group_ordinal``, so a dominant label does not serialise the job.
+    shuffle. Positions and per-label totals both come from ``group_ordinal``, so
+    a dominant label does not serialise the job and the rows are shuffled once.
+    Rows without a label are kept with a NULL ``assigned``.
     """
     h = F.md5(F.concat(F.lit(str(seed)), F.lit("|"), F.col(key).cast("string")))
-    base = df.where(F.col(label).isNotNull()).withColumn("_h", h)
-    counts = base.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    pos = group_ordinal(base, label, ["_h", key], out="_pos", num_partitions=num_partitions)
+    pos = group_ordinal(df.withColumn("_h", h), label, ["_h", key], out="_pos", total="_n", bucket_rows=bucket_rows)
     quota = F.round(F.lit(test_size) * F.col("_n"))
-    return (pos.join(counts, label)
-            .select(*[c for c in df.columns],
-                    F.when(F.col("_pos") < quota, F.lit("validation")).otherwise(F.lit("train")).alias("assigned")))
+    return pos.select(*df.columns, F.when(F.col(label).isNull(), F.lit(None).cast("string"))
+                      .when(F.col("_pos") < quota, F.lit("validation")).otherwise(F.lit("train")).alias("assigned"))

@@ -1,8 +1,9 @@
 """Label vocabularies and label <-> id encoding.
 
 A vocabulary is a small DataFrame ``(label)``. Where a plan needs it inline
-(prompt text, extraction maps) it is collected with a hard size check; joins
-against it use Spark's size-based broadcast choice rather than a forced hint.
+(prompt text, extraction maps) it is collected: the caller asks for text that
+spells the labels out, at any size. Joins against it broadcast an id table of
+checked size and salt a larger one; both give the same rows.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 
 from labelflow.functions.text import py_strip
 
-# Largest vocabulary collected to the driver for inline use.
-MAX_INLINE_LABELS = 100_000
+# An id table of at most this many rows is broadcast; a larger one is joined on a salted key.
+BROADCAST_ROWS = 100_000
+SALTS = 32
 
 
 def vocab_from_split(df: DataFrame, label: str = "label_text", split: str = "split",
@@ -44,17 +46,10 @@ def label_universe(df: DataFrame, gold: str = "gold_label", pred: str = "predict
             .where(F.col("label").isNotNull()).distinct())
 
 
-def collect_labels(vocab: DataFrame, label: str = "label",
-                   max_labels: int = MAX_INLINE_LABELS) -> list[str]:
-    """Sorted labels of a vocabulary DataFrame, refused above ``max_labels``.
-
-    At most ``max_labels + 1`` rows ever reach the driver.
-    """
-    rows = (vocab.select(F.col(label).alias("label")).where(F.col("label").isNotNull()).distinct()
-            .orderBy("label").limit(max_labels + 1).collect())
-    if len(rows) > max_labels:
-        raise ValueError(f"vocabulary has more than {max_labels} labels")
-    return [r["label"] for r in rows]
+def collect_labels(vocab: DataFrame, label: str = "label") -> list[str]:
+    """Sorted labels of a vocabulary DataFrame, for prompts and expressions that spell them out."""
+    rows = vocab.select(F.col(label).alias("label")).where(F.col("label").isNotNull()).distinct().collect()
+    return sorted(r["label"] for r in rows)
 
 
 def label_ids(vocab: DataFrame, label: str = "label") -> DataFrame:
@@ -67,7 +62,7 @@ def label_ids(vocab: DataFrame, label: str = "label") -> DataFrame:
     """
     from labelflow.operators.sampling import group_ordinal
 
-    v = vocab.select(F.col(label).alias("label")).distinct().withColumn("_all", F.lit(0))
+    v = vocab.select(F.col(label).alias("label")).distinct().withColumn("_all", F.length("label") < 0)
     return group_ordinal(v, "_all", "label", out="label_id").select(
         "label", F.col("label_id").cast("int").alias("label_id"))
 
@@ -78,19 +73,28 @@ def vocab_by_length(vocab: DataFrame, label: str = "label") -> DataFrame:
 
     v = (vocab.select(F.col(label).alias("label")).distinct()
          .select("label", F.length("label").alias("length"), (-F.length("label")).alias("_neg"),
-                 F.lit(0).alias("_all")))
+                 (F.length("label") < 0).alias("_all")))
     return group_ordinal(v, "_all", ["_neg", "label"], out="position").select(
         "label", "length", F.col("position").cast("int").alias("position"))
 
 
+def _lookup(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Left join of facts with a small table on a few-valued key, without gathering a key in one task."""
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(ids), key, "left")
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in df.columns if c != key] or [key]), F.lit(SALTS)).cast("int"))
+    spread = ids.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(spread, [key, "__salt"], "left").drop("__salt")
+
+
 def encode_labels(df: DataFrame, ids: DataFrame, label: str = "label", out: str = "label_id",
                   on_unknown: str = "error") -> DataFrame:
-    """label -> id by equi-join on the id table.
+    """label -> id by equi-join on the id table (L05, J01); see ``_lookup`` for skew.
 
     ``on_unknown="error"`` raises at run time on a label outside the vocabulary,
     like the reference's ``label2id[label]``; ``"null"`` keeps the row with a NULL id.
     """
-    joined = df.join(ids.select(F.col("label").alias(label), F.col("label_id").alias(out)), label, "left")
+    joined = _lookup(df, ids.select(F.col("label").alias(label), F.col("label_id").alias(out)), label)
     if on_unknown == "error":
         joined = joined.withColumn(out, F.when(F.col(out).isNull() & F.col(label).isNotNull(),
                                                F.raise_error(F.concat(F.lit("unknown label: "), F.col(label))))
@@ -102,4 +106,4 @@ def encode_labels(df: DataFrame, ids: DataFrame, label: str = "label", out: str
 
 def decode_labels(df: DataFrame, ids: DataFrame, id_col: str = "label_id", out: str = "label") -> DataFrame:
     """id -> label by equi-join on the id table."""
-    return df.join(ids.select(F.col("label_id").alias(id_col), F.col("label").alias(out)), id_col, "left")
+    return _lookup(df, ids.select(F.col("label_id").alias(id_col), F.col("label").alias(out)), id_col)

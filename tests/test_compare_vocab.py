@@ -16,10 +16,10 @@ def test_model_comparison_required_and_fallback(spark):
     out = {r["model"]: (r["accuracy"], r["macro_f1"]) for r in
            C.model_comparison(m, required=["enc", "zs"], optional=["opt", "gone"], prefixed_first=["enc"]).collect()}
     assert out == {"enc": (0.9, 0.8), "zs": (0.2, 0.1), "opt": (0.5, 0.4)}
-    with pytest.raises(Exception, match="required model missing"):
-        C.model_comparison(m, required=["enc", "absent"]).collect()
+    with pytest.raises(ValueError, match="absent"):
+        C.model_comparison(m, required=["enc", "absent"])
     empty = spark.createDataFrame([("x", None, None, None, None)], MSCHEMA)
-    with pytest.raises(Exception, match="Could not find"):
+    with pytest.raises(Exception, match="neither"):
         empty.select(C.get_metric("accuracy", "test_accuracy")).collect()
     assert empty.select(C.get_metric("accuracy", "test_accuracy", "default")).first()[0] == 0.0
     missing = [r["model"] for r in C.missing_models(m, ["enc", "gone"]).collect()]
@@ -39,7 +39,25 @@ def test_encode_unknown_label_raises(spark):
 
 
 def test_token_budget(spark):
-    df = spark.createDataFrame([("a b  c\nd",), ("",), ("one",)], "t string")
-    got = df.select(SC.token_count("t"), SC.truncate_tokens("t", 2),
-                    SC.tokenizer_udf(lambda s: s.split(), max_tokens=3)("t")).collect()
-    assert [tuple(r) for r in got] == [(4, "a b", 3), (0, "", 0), (1, "one", 1)]
+    df = spark.createDataFrame([("a b  c\nd",), ("",), ("one",), ("\tfoo bar\n",), ("\u3000x\x1c",)], "t string")
+    got = df.select(SC.token_count("t"), SC.truncate_tokens("t", 2)).collect()
+    assert [tuple(r) for r in got] == [(4, "a b"), (0, ""), (1, "one"), (2, "foo bar"), (1, "x")]
+
+
+def test_pluggable_tokenizer_truncates(spark):
+    df = spark.createDataFrame([("abcd",), ("",), (None,), ("x",)], "t string")
+    cut = [r[0] for r in df.select(SC.tokenizer_udf(lambda s: [ord(c) for c in s], max_tokens=3)("t")).collect()]
+    assert cut == [[97, 98, 99], [], [], [120]]
+    whole = [r[0] for r in df.select(F.size(SC.tokenizer_udf(lambda s: [ord(c) for c in s])("t"))).collect()]
+    assert whole == [4, 0, 0, 1]
+
+
+def test_skewed_labels_join_the_same_by_broadcast_and_by_salt(spark, monkeypatch):
+    ids = V.label_ids(spark.createDataFrame([(f"l{i}",) for i in range(20)], "label string"))
+    facts = spark.createDataFrame([(i, "l1" if i % 3 else f"l{i % 25}") for i in range(600)], "i int, label string")
+    near = sorted(map(tuple, V.encode_labels(facts, ids, on_unknown="null").select("i", "label", "label_id").collect()), key=str)
+    monkeypatch.setattr(V, "BROADCAST_ROWS", 3)
+    far = V.encode_labels(facts, ids, on_unknown="null").select("i", "label", "label_id")
+    assert sorted(map(tuple, far.collect()), key=str) == near
+    assert sorted(map(tuple, V.decode_labels(far.drop("label"), ids).select("i", "label", "label_id").collect()), key=str) == [
+        t if t[2] is not None else (t[0], None, None) for t in near]

@@ -16,17 +16,33 @@ def skewed(spark):
 
 
 def test_group_ordinal_equals_row_number(skewed):
-    got = S.group_ordinal(skewed, "label", "example_id", num_partitions=7)
+    got = S.group_ordinal(skewed, "label", "example_id", bucket_rows=40)
     w = Window.partitionBy("label").orderBy("example_id")
     exp = skewed.withColumn("position", F.row_number().over(w) - 1)
     assert sorted(got.select("example_id", "position").collect()) == \
         sorted(exp.select("example_id", "position").collect())
 
 
-def test_group_ordinal_spreads_hot_group(skewed):
-    t = skewed.repartitionByRange(8, "label", "example_id")
-    parts = t.where(F.col("label") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert parts > 1
+def test_group_ordinal_shuffles_once_and_cuts_the_hot_group(skewed):
+    plan = S.group_ordinal(skewed, "label", "example_id", bucket_rows=40)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "_bucket" in plan.split("Exchange hashpartitioning")[1][:60]
+    assert "SortMergeJoin" not in plan
+
+
+def test_group_ordinal_on_several_orders_ties_and_nulls(spark):
+    rows = [(i % 5 or None, (i * 7) % 13 or None, f"k{i % 11}", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, a int, b string, i int")
+    got = S.group_ordinal(df, "g", ["a", "b", "i"], bucket_rows=7, total="n")
+    w = Window.partitionBy("g")
+    exp = df.withColumn("position", F.row_number().over(w.orderBy("a", "b", "i")) - 1).withColumn("n", F.count("*").over(w))
+    assert sorted(map(str, got.collect())) == sorted(map(str, exp.collect()))
+    chunked = S.group_ordinal(df.withColumn("all", F.lit(0)), "all", ["a", "b", "i"], bucket_rows=1).orderBy("position").collect()
+    assert [r.position for r in chunked] == list(range(500))
+
+
+def test_split_keeps_rows_without_a_label(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "example_id bigint, label string")
+    assert {r.example_id: r.assigned for r in S.stratified_split(df).collect()} == {1: "train", 2: None, 3: "train"}
 
 
 def test_few_shot_round_robin(spark):
@@ -44,7 +60,7 @@ def test_few_shot_plan_limits_before_shuffle(spark):
 
 
 def test_stratified_split_proportions(skewed):
-    out = S.stratified_split(skewed, test_size=0.1, seed=42, num_partitions=5)
+    out = S.stratified_split(skewed, test_size=0.1, seed=42, bucket_rows=40)
     counts = {r["label"]: (r["n"], r["v"]) for r in out.groupBy("label").agg(
         F.count("*").alias("n"), F.sum((F.col("assigned") == "validation").cast("int")).alias("v")).collect()}
     for n, v in counts.values():
@@ -55,7 +71,7 @@ def test_rolling_mean_matches_window(spark):
     rows = [(r, s, None if s % 4 == 1 else float(s * (r + 1))) for r in range(3) for s in range(40)]
     rows += [(9, s, float(s)) for s in range(400)]  # one long run
     df = spark.createDataFrame(rows, "run int, t int, loss double")
-    got = C.rolling_mean(df, "run", "t", "loss", window=5)
+    got = C.rolling_mean(df, "run", "t", "loss", window=5, bucket=16)
     w = Window.partitionBy("run").orderBy("t").rowsBetween(-4, 0)
     exp = df.where(F.col("loss").isNotNull()).withColumn("smoothed", F.avg("loss").over(w))
     a = sorted((r["run"], r["t"], round(r["smoothed"], 9)) for r in got.collect())
@@ -77,7 +93,7 @@ def test_early_stop_and_best(spark):
 def test_group_ordinal_null_group_and_many_partitions(spark):
     rows = [(i, None if i % 4 == 0 else f"g{i % 3}") for i in range(200)]
     df = spark.createDataFrame(rows, "example_id bigint, label string")
-    got = S.group_ordinal(df, "label", "example_id", num_partitions=9)
+    got = S.group_ordinal(df, "label", "example_id", bucket_rows=3)
     w = Window.partitionBy("label").orderBy("example_id")
     exp = df.withColumn("position", F.row_number().over(w) - 1)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
