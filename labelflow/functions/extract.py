@@ -3,10 +3,9 @@
 Every strategy is a projection: the label vocabulary enters the plan as
 literals (a hashed IN-set for labels equal to their lowered form, a small map
 for the rest), so extraction needs no join and no shuffle, and runs inside the
-scan's stage. The vocabulary is a model
-parameter (the reference keeps it in a Python dict); callers obtain it with
-``labelflow.operators.vocab.collect_labels``, which refuses vocabularies over a
-checked size.
+scan's stage. The vocabulary is a model parameter; callers obtain it with
+``labelflow.operators.vocab.collect_labels``, or leave it in a table and call
+``extract_label_join``, which gives the same labels.
 
 The whole-word stage is rewritten from "one regex per label, longest first" to
 "split the text into maximal word runs, look each up, keep the longest label
@@ -28,7 +27,11 @@ from labelflow.functions.text import _c, first_line, match_normalize, py_strip,
 STRATEGIES = ("first_line", "canonical", "strict", "cascade_plain", "cascade")
 # The chunk separators of the cascade strategies (newline, comma, semicolon, colon).
 CHUNK_SPLIT = r"[\n,;:]+"
+# Word characters as Python's re has them: letters, numbers of any kind and the underscore.
+WORD = r"\p{L}\p{N}_"
+NON_WORD = rf"[^{WORD}]+"
 _WORD_ONLY = re.compile(r"\w+")
+_WORD_START = re.compile(r"\w")
 
 
 class _Resolver:
@@ -92,6 +95,15 @@ def _strip_quotes(c: Column, quote_mode: str) -> Column:
     raise ValueError("quote_mode must be 'sequential' or 'set'")
 
 
+def bounded(label: str) -> str:
+    """Pattern of a label between word boundaries: its ends must differ in kind from what is around them."""
+    if not label:
+        return r"(?!)"
+    before = rf"(?<![{WORD}])" if _WORD_START.match(label[0]) else rf"(?<=[{WORD}])"
+    after = rf"(?![{WORD}])" if _WORD_START.match(label[-1]) else rf"(?=[{WORD}])"
+    return before + re.escape(label) + after
+
+
 def whole_word_label(text: Column, labels: Sequence[str]) -> Column:
     """Longest label (ties alphabetical) occurring as a whole word in ``text``.
 
@@ -102,11 +114,11 @@ def whole_word_label(text: Column, labels: Sequence[str]) -> Column:
     word = [x for x in ordered if _WORD_ONLY.fullmatch(x.lower())]
     other = [x for x in ordered if not _WORD_ONLY.fullmatch(x.lower())]
     m = _Resolver([(x.lower(), x) for x in word])
-    toks = F.split(text, r"(?U)\W+")
+    toks = F.split(text, NON_WORD)
     hits = F.transform(F.filter(toks, lambda t: m.contains(t)),
                        lambda t: F.struct((-F.length(m.get(t))).alias("k"), m.get(t).alias("label")))
     if other:
-        extra = F.array(*[F.when(text.rlike(r"(?U)\b" + re.escape(x.lower()) + r"\b"),
+        extra = F.array(*[F.when(text.rlike(bounded(x.lower())),
                                  F.struct(F.lit(-len(x)).alias("k"), F.lit(x).alias("label")))
                           for x in other])
         hits = F.concat(hits, F.filter(extra, lambda s: s.isNotNull()))
@@ -183,7 +195,7 @@ def extract_label(text, labels: Sequence[str] | None = None, strategy: str = "ca
     raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
 
 
-# --- join-based path for vocabularies too large to inline ---------------------------------------
+# --- join-based path for vocabularies of any size ----------------------------------------------
 
 def _stages(text: Column, strategy: str, quote_mode: str = "sequential"):
     """(candidate array<struct<p:int, s:int, k:string>>, whole-word text or None, fallback, dedupe)
@@ -227,70 +239,74 @@ def _stages(text: Column, strategy: str, quote_mode: str = "sequential"):
     raise ValueError(f"strategy {strategy!r} has no join form")
 
 
+def _bounded(text: Column, label: Column) -> Column:
+    """Whether ``label`` occurs in ``text`` between word boundaries, both columns; see ``bounded``."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(label, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    before = F.when(label.rlike(rf"^[{WORD}]"), F.lit(rf"(?<![{WORD}])")).otherwise(F.lit(rf"(?<=[{WORD}])"))
+    after = F.when(label.rlike(rf"[{WORD}]\z"), F.lit(rf"(?![{WORD}])")).otherwise(F.lit(rf"(?=[{WORD}])"))
+    return F.rlike(text, F.concat(before, quoted, after))
+
+
 def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade",
                        out: str = "predicted_label", label: str = "label", quote_mode: str = "sequential"):
     """X02-X05 for any vocabulary size, by joins instead of an inlined map (exact, same results).
 
-    Every row emits its lookup keys with a priority; keys join the vocabulary
-    (Spark broadcasts it when small, otherwise shuffles both sides on the key,
-    and AQE splits a key that many rows share); the best hit per row is a min
-    over (stage, position, -length, label), an aggregate keyed by the unique
-    row key; one left join brings it back. Labels containing non-word
-    characters are matched by the whole-word stage only through the inline
-    regex path, so they must be few (checked).
+    Every row emits, in one pass, its lookup keys with a priority, the words and
+    separators of its text, and itself; these join the vocabulary (Spark
+    broadcasts it when small, otherwise shuffles both sides on the key, and AQE
+    splits a key that many rows share); the best hit per row is a min over
+    (stage, position, label), an aggregate keyed by the unique row key that also
+    brings the row's columns back. The input is evaluated once.
+
+    A label with word characters occurs between word boundaries only where its
+    first run of word characters is a whole word of the text, one without any
+    only as a whole run of separators: that run is its key, and labels that are
+    more than their key are then looked for in the text.
     """
     t = F.col(text)
     arr, words_text, fallback, dedupe = _stages(t, strategy, quote_mode)
     v = vocab.select(F.col(label).alias("_label")).where(F.col("_label").isNotNull()).distinct()
-    lk = F.lower("_label")
     if dedupe == "last":
         agg = F.max("_label")
     elif dedupe == "length":
         agg = F.min_by("_label", F.struct(-F.length("_label"), F.col("_label")))
     else:
         agg = F.min("_label")
-    keyed = v.groupBy(lk.alias("_k")).agg(agg.alias("_label"))
-    cands = df.select(F.col(key).alias("_key"), F.explode(arr).alias("_c")).select(
-        "_key", F.col("_c.p").alias("_p"), F.col("_c.s").alias("_s"), F.col("_c.k").alias("_k"))
+    keyed = v.groupBy(F.lower("_label").alias("_k")).agg(agg.alias("_label"))
+    lookup = keyed.select("_k", F.lit(0).alias("_kind"), F.lit(None).cast("string").alias("_low"), "_label")
+    found = "struct<p:int,s:int,k:string,kind:int,row:boolean>"
+
+    def entry(p, s_, k, kind):
+        return F.struct(p.alias("p"), s_.alias("s"), k.alias("k"), kind.alias("kind"), F.lit(False).alias("row")).cast(found)
+
+    emitted = F.transform(F.filter(arr, lambda c: c["k"].isNotNull()), lambda c: entry(c["p"], c["s"], c["k"], F.lit(0)))
+    emitted = F.coalesce(emitted, F.array().cast(f"array<{found}>"))
     if words_text is not None:
-        word_only = keyed.where(F.col("_k").rlike(r"^\w+$"))
-        other = keyed.where(~F.col("_k").rlike(r"^\w+$"))
-        n_other = other.limit(1001).count()
-        if n_other > 1000:
-            raise ValueError("more than 1000 labels with non-word characters; whole-word stage unsupported")
-        toks = df.select(F.col(key).alias("_key"), F.explode(F.array_distinct(F.split(words_text, r"(?U)\W+")))
-                         .alias("_k")).where(F.col("_k") != "")
-        word_hits = (toks.join(word_only, "_k")
-                     .select("_key", F.lit(9).alias("_p"), (-F.length("_label")).alias("_s"), "_label"))
-        if n_other:
-            names = [r[0] for r in other.select("_label").collect()]
-            extra = df.select(F.col(key).alias("_key"),
-                              whole_word_label(words_text, names).alias("_label")).where(F.col("_label").isNotNull())
-            word_hits = word_hits.unionByName(
-                extra.select("_key", F.lit(9).alias("_p"), (-F.length("_label")).alias("_s"), "_label"))
-    hits = cands.where(F.col("_k").isNotNull()).join(keyed, "_k").select("_key", "_p", "_s", "_label")
+        runs = F.array_distinct(F.regexp_extract_all(words_text, F.lit(rf"([{WORD}]+|[^{WORD}]+)"), F.lit(1)))
+        emitted = F.concat(emitted, F.coalesce(F.transform(runs, lambda w: entry(F.lit(9), F.lit(0), w, F.lit(1))),
+                                               F.array().cast(f"array<{found}>")))
+        first = F.when(F.col("_k").rlike(rf"[{WORD}]"), F.regexp_extract("_k", rf"([{WORD}]+)", 1)).otherwise(F.col("_k"))
+        words = keyed.where(F.col("_k") != "").select(first.alias("_w"), F.col("_k").alias("_low"), "_label")
+        lookup = lookup.unionByName(words.select(F.col("_w").alias("_k"), F.lit(1).alias("_kind"), "_low", "_label"))
+    # the row itself travels under a key of its own
+    itself = F.array(F.struct(F.lit(99).alias("p"), F.lit(0).alias("s"), F.concat(F.lit("\u0000"), F.col(key).cast("string")).alias("k"),
+                              F.lit(2).alias("kind"), F.lit(True).alias("row")).cast(found))
+    wide = df.select(F.struct(*df.columns).alias("_row"), F.explode(F.concat(emitted, itself)).alias("_c"))
+    low = words_text if words_text is not None else F.lit(None).cast("string")
+    slim = wide.select(F.col(f"_row.{key}").alias("_key"), F.col("_c.p").alias("_p"), F.col("_c.s").alias("_s"), F.col("_c.k").alias("_k"),
+                       F.col("_c.kind").alias("_kind"), F.when(F.col("_c.row"), F.col("_row")).alias("_row"),
+                       F.when(F.col("_c.kind") == 1, F.col(f"_row.{text}")).alias("_text"))
+    hits = slim.join(lookup, ["_k", "_kind"], "left")
     if words_text is not None:
-        hits = hits.unionByName(word_hits)
-    best = (hits.groupBy("_key")
-            .agg(F.min(F.struct("_p", "_s", "_label")).alias("_b"))
-            .select(F.col("_key").alias(key), F.col("_b._label").alias("_best")))
-    return (df.join(best, key, "left")
-            .withColumn(out, F.when(t.isNull(), F.lit(None).cast("string"))
-                        .otherwise(F.coalesce(F.col("_best"), fallback)))
+        low = _stages(F.col("_text"), strategy, quote_mode)[1]
+        inside = (F.col("_kind") == 1) & F.col("_label").isNotNull()
+        rank = F.when(inside, -F.length("_label")).otherwise(F.col("_s"))
+        fits = F.when(inside & (F.col("_low") != F.col("_k")), _bounded(low, F.col("_low"))).otherwise(F.lit(True))
+        # a label that is one run of separators must stand between words
+        fits = F.when(inside & (F.col("_low") == F.col("_k")) & ~F.col("_k").rlike(rf"[{WORD}]"), _bounded(low, F.col("_low"))).otherwise(fits)
+        hits = hits.withColumn("_s", rank).withColumn("_label", F.when(fits, F.col("_label")))
+    best = hits.groupBy("_key").agg(F.min(F.when(F.col("_label").isNotNull(), F.struct("_p", "_s", "_label"))).alias("_b"),
+                                    F.first("_row", ignorenulls=True).alias("_row"))
+    back = best.select("_row.*", F.col("_b._label").alias("_best"))
+    return (back.withColumn(out, F.when(t.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(F.col("_best"), fallback)))
             .drop("_best"))
-
-
-def extract_labels(df, text: str, vocab, strategy: str = "cascade", key: str | None = None,
-                   out: str = "predicted_label", label: str = "label", max_inline: int = 20_000,
-                   quote_mode: str = "sequential"):
-    """Extract with the vocabulary inlined when it has at most ``max_inline`` labels (a
-    projection, no shuffle), else through ``extract_label_join`` (needs a unique ``key``)."""
-    if strategy == "first_line":
-        return df.withColumn(out, extract_first_line(text))
-    sample = (vocab.select(F.col(label).alias("label")).where(F.col("label").isNotNull()).distinct()
-              .orderBy("label").limit(max_inline + 1).collect())
-    if len(sample) <= max_inline:
-        return df.withColumn(out, extract_label(text, [r[0] for r in sample], strategy, quote_mode))
-    if key is None:
-        raise ValueError("a unique row key is needed for the join path")
-    return extract_label_join(df, key, text, vocab, strategy, out, label, quote_mode)
