@@ -18,11 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.session import ensure_checkpoint_dir
-
 GOLD, PRED, COUNT = "gold", "pred", "count"
-# Largest label universe a wide (pivoted) confusion table may have.
-MAX_PIVOT_LABELS = 2000
 
 
 def _keys(by) -> list[str]:
@@ -41,16 +37,18 @@ def _round(c: Column, decimals: int | None) -> Column:
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:
-    """Raise like the reference when a predictions table lacks columns."""
-    if not set(required) <= set(df.columns):
-        raise ValueError(f"Predictions must contain columns: {sorted(required)}")
+    """Raise when a table lacks columns an operator reads (S06); ``sources.io.require_keys`` checks JSON files."""
+    lacking = sorted(set(required) - set(df.columns))
+    if lacking:
+        raise ValueError(f"missing columns {lacking}; the table has {sorted(df.columns)}")
 
 
 def pair_counts(df: DataFrame, gold: str = "gold_label", pred: str = "predicted_label",
                 by=None) -> DataFrame:
     """(by..., gold, pred, count) over all rows with a gold label.
 
-    A NULL prediction counts as the empty string, i.e. a wrong label.
+    A NULL prediction counts as the empty string, i.e. a wrong label. Rows without
+    a gold label are no part of any metric; ``unlabelled_rows`` counts them.
     """
     keys = _keys(by)
     require_columns(df, [gold, pred, *keys])
@@ -61,6 +59,12 @@ def pair_counts(df: DataFrame, gold: str = "gold_label", pred: str = "predicted_
             .agg(F.count(F.lit(1)).alias(COUNT)))
 
 
+def unlabelled_rows(df: DataFrame, gold: str = "gold_label", by=None) -> DataFrame:
+    """Rows per group that the metrics leave out because their gold label is NULL: (by..., n_unlabelled, n_rows)."""
+    return df.groupBy(*_keys(by)).agg(F.count_if(F.col(gold).isNull()).cast("bigint").alias("n_unlabelled"),
+                                      F.count(F.lit(1)).alias("n_rows"))
+
+
 def label_stats(pairs: DataFrame, by=None) -> DataFrame:
     """(by..., label, support, predicted, tp) for every label of gold ∪ pred.
 
@@ -129,9 +133,16 @@ def summary_metrics(df: DataFrame | None, gold: str = "gold_label", pred: str =
 
 
 def full_report(df: DataFrame | None, gold: str = "gold_label", pred: str = "predicted_label",
-                by=None, decimals: int | None = None, pairs: DataFrame | None = None) -> DataFrame:
+                by=None, decimals: int | None = None, pairs: DataFrame | None = None,
+                labels: Sequence[str] | None = None) -> DataFrame:
     """Classification report with overall rows.
 
+    ``labels`` fixes the label list, as the
+    encoder run passes every train, validation and test label: listed labels
+    without rows appear with support 0 and count in the macro average, and
+    labels outside the list are neither rows nor part of the averages. The
+    accuracy row stays that of all rows.
+
     One row per label of the universe (row_type ``label``), then ``accuracy``
     (the accuracy repeated in all four value columns, as the reference's CSV
     has it), ``macro avg`` and ``weighted avg`` (support = number of rows).
@@ -141,13 +152,19 @@ def full_report(df: DataFrame | None, gold: str = "gold_label", pred: str = "pre
     stats, so the scored rows are aggregated once.
     """
     keys = _keys(by)
-    sc = _scores(label_stats(_pairs(df, gold, pred, keys, pairs), keys), keys)
+    stats = label_stats(_pairs(df, gold, pred, keys, pairs), keys)
+    if labels is not None:
+        labels = sorted(set(labels))
+        stats = _with_listed(stats, labels, keys)
+    listed = F.lit(True) if labels is None else F.col("label").isin(labels)
+    sc = _scores(stats, keys).withColumn("_in", listed)
     vals = ("precision", "recall", "f1_score")
     tot = F.sum("support")
+    inside = F.sum(F.when(F.col("_in"), F.col("support")))
     agg = (sc.rollup(*keys, "label")
-           .agg(*[F.avg(c).alias(c) for c in vals],
-                *[_ratio(F.sum(F.col(c) * F.col("support")), tot).alias(f"w_{c}") for c in vals],
-                _ratio(F.sum("tp"), tot).alias("acc"), tot.cast("double").alias("n"),
+           .agg(*[F.avg(F.when(F.col("_in"), F.col(c))).alias(c) for c in vals],
+                *[_ratio(F.sum(F.when(F.col("_in"), F.col(c) * F.col("support"))), inside).alias(f"w_{c}") for c in vals],
+                _ratio(F.sum("tp"), tot).alias("acc"), tot.cast("double").alias("n"), F.bool_or("_in").alias("_in"),
                 F.grouping_id(*keys, "label").alias("_gid")))
     is_total = F.col("_gid") == 1          # all keys grouped, label rolled up
     rows = F.when(~is_total, F.array(
@@ -159,7 +176,7 @@ def full_report(df: DataFrame | None, gold: str = "gold_label", pred: str = "pre
                  *[F.col(c) for c in vals], F.col("n").alias("support")),
         F.struct(F.lit("weighted avg").alias("row_type"), F.lit("weighted avg").alias("label"),
                  *[F.col(f"w_{c}").alias(c) for c in vals], F.col("n").alias("support"))))
-    out = (agg.where(F.col("_gid") <= 1)
+    out = (agg.where((F.col("_gid") == 1) | ((F.col("_gid") == 0) & F.col("_in")))
            .select(*keys, F.explode(rows).alias("r"))
            .select(*keys, "r.*"))
     order = (F.when(F.col("row_type") == "label", 0).when(F.col("row_type") == "accuracy", 1)
@@ -169,6 +186,16 @@ def full_report(df: DataFrame | None, gold: str = "gold_label", pred: str = "pre
             .orderBy(*keys, order, "label"))
 
 
+def _with_listed(stats: DataFrame, labels: Sequence[str], keys: list[str]) -> DataFrame:
+    """``stats`` with a row for every listed label in every group."""
+    zero = F.lit(0).cast("bigint")
+    groups = stats.select(*keys).distinct() if keys else stats.sparkSession.range(1).select()
+    empty = groups.select(*keys, F.explode(F.lit(list(labels))).alias("label")).select(
+        *keys, "label", *[zero.alias(c) for c in ("support", "predicted", "tp")])
+    return (stats.unionByName(empty).groupBy(*keys, "label")
+            .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")]))
+
+
 def confusion_pairs(df: DataFrame | None, gold: str = "gold_label", pred: str = "predicted_label",
                     by=None, pairs: DataFrame | None = None) -> DataFrame:
     """Sparse confusion matrix: non-zero (gold, pred, count) cells, the canonical form."""
@@ -176,47 +203,31 @@ def confusion_pairs(df: DataFrame | None, gold: str = "gold_label", pred: str =
     return _pairs(df, gold, pred, keys, pairs)
 
 
-def label_universe(pairs: DataFrame, max_labels: int = MAX_PIVOT_LABELS) -> list[str]:
-    """Sorted gold ∪ predicted labels of a pairs table, refused above ``max_labels``.
+def label_universe(pairs: DataFrame) -> list[str]:
+    """Sorted gold ∪ predicted labels of a pairs table: the label list of a wide confusion table."""
+    return sorted(r[0] for r in pairs.select(F.explode(F.array(GOLD, PRED)).alias("label")).distinct().collect())
 
-    Used where the labels become column names; reads the small pairs table,
-    and never pulls more than ``max_labels + 1`` values to the driver.
-    """
-    rows = (pairs.select(F.explode(F.array(GOLD, PRED)).alias("label")).distinct()
-            .orderBy("label").limit(max_labels + 1).collect())
-    if len(rows) > max_labels:
-        raise ValueError(f"label universe exceeds {max_labels}; use confusion_pairs (long form)")
-    return [r["label"] for r in rows]
-
-
-def confusion_wide(df: DataFrame | None, gold: str = "gold_label", pred: str = "predicted_label",
-                   labels: Sequence[str] | None = None, pairs: DataFrame | None = None,
-                   max_labels: int = MAX_PIVOT_LABELS) -> DataFrame:
-    """Dense confusion matrix, row = gold, one column per predicted label.
-
-    Rows and columns cover the label universe (gold ∪ pred unless ``labels`` is
-    given, in which case cells outside it are dropped as in scikit-learn).
-    Zero cells are 0. The pivot gets an explicit value list, so Spark plans no
-    extra distinct job; the list size is bounded by ``max_labels``.
+
+def confusion_wide(df: DataFrame | None, labels: Sequence[str], gold: str = "gold_label", pred: str = "predicted_label",
+                   pairs: DataFrame | None = None) -> DataFrame:
+    """Dense confusion matrix for a given label list: (gold, counts), counts[i] belongs to labels[i].
+
+    One row per listed gold label; cells outside the list are dropped, as in
+    scikit-learn. Positions stand for labels, which may be any strings (case
+    variants, dots, quotes, newlines, the empty string).
     """
-    pairs = _pairs(df, gold, pred, [], pairs)
-    if labels is None:
-        # the universe and the pivot both read the pairs: materialise that small table once
-        # (reliable checkpoint) so the scored rows are scanned a single time
-        ensure_checkpoint_dir(pairs.sparkSession)
-        pairs = pairs.checkpoint(eager=True)
-        labels = label_universe(pairs, max_labels)
     labels = list(labels)
-    if len(labels) > max_labels:
-        raise ValueError(f"{len(labels)} labels exceed max_labels={max_labels}")
-    spark = pairs.sparkSession
-    rows = spark.createDataFrame([(x,) for x in labels], f"{GOLD} string")
-    wide = (pairs.where(F.col(GOLD).isin(labels))
-            .groupBy(GOLD).pivot(PRED, labels).agg(F.sum(COUNT)))
-    return (F.broadcast(rows).join(wide, GOLD, "left")
-            .fillna(0, subset=labels)
-            .select(GOLD, *[F.col(f"`{x}`").cast("bigint").alias(x) for x in labels])
-            .orderBy(GOLD))
+    if len(set(labels)) != len(labels):
+        raise ValueError("labels must be different")
+    pairs = _pairs(df, gold, pred, [], pairs)
+    at = pairs.sparkSession.createDataFrame(list(enumerate(labels)), "at int, label string")
+    cells = (pairs.join(at.select("at", F.col("label").alias(PRED)), PRED).groupBy(GOLD)
+             .agg(F.map_from_entries(F.collect_list(F.struct("at", COUNT))).alias("cells")))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(len(labels) - 1)),
+                         lambda i: F.coalesce(F.try_element_at("cells", i), F.lit(0).cast("bigint")))
+    if not labels:
+        return cells.select(GOLD, F.array().cast("array<bigint>").alias("counts")).limit(0)
+    return at.select(F.col("label").alias(GOLD), "at").join(cells, GOLD, "left").orderBy("at").select(GOLD, counts.alias("counts"))
 
 
 def top_confused_pairs(df: DataFrame | None, gold: str = "gold_label", pred: str = "predicted_label",

@@ -12,21 +12,31 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.operators.evaluate import summary_metrics
+from labelflow.operators.sampling import stratified_split
+
+
+# Runs of letters, digits and underscores of any script are words.
+NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
 def text_classifier(text: str = "utterance", label: str = "label", num_features: int = 1 << 16,
-                    max_iter: int = 50, reg_param: float = 0.0) -> Pipeline:
-    """StringIndexer(alphabetical ids, unknown labels raise) -> tokens -> TF-IDF -> logistic regression."""
-    indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc",
-                            handleInvalid="error")
-    tok = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"\W+", toLowercase=True)
+                    max_iter: int = 50, reg_param: float = 0.0, labels: Sequence[str] | None = None) -> Pipeline:
+    """Label ids (alphabetical) -> tokens -> TF-IDF -> logistic regression.
+
+    ``labels`` fixes the label list, as the encoder run takes its ids from train,
+    validation and test together; without it the ids are those of the training
+    rows and an unknown label raises.
+    """
+    if labels is None:
+        indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc", handleInvalid="error")
+    else:
+        indexer = StringIndexerModel.from_labels(sorted(labels), inputCol=label, outputCol="label_idx", handleInvalid="error")
+    tok = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=NON_WORD, toLowercase=True)
     tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features)
     idf = IDF(inputCol="tf", outputCol="features")
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg_param,
@@ -42,33 +52,31 @@ def predict_labels(model: PipelineModel, df: DataFrame, out: str = "predicted_la
     return dec.transform(scored)
 
 
-class MacroF1Evaluator(Evaluator):
-    """Spark ML evaluator for macro-F1 over gold ∪ predicted (Spark's ``f1`` is weighted F1)."""
-
-    def __init__(self, label_col: str = "label_idx", prediction_col: str = "prediction"):
-        super().__init__()
-        self.label_col = label_col
-        self.prediction_col = prediction_col
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        df = dataset.select(F.col(self.label_col).cast("string").alias("g"),
-                            F.col(self.prediction_col).cast("string").alias("p"))
-        row = summary_metrics(df, "g", "p").select("macro_f1").first()
-        return float(row["macro_f1"] or 0.0)
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 def sweep(train: DataFrame, reg_params: Sequence[float], text: str = "utterance", label: str = "label",
-          train_ratio: float = 0.8, seed: int = 42, parallelism: int = 1, max_iter: int = 50):
+          key: str = "example_id", validation_size: float = 0.2, seed: int = 42, max_iter: int = 50):
     """Grid over regularisation chosen on a validation split by macro-F1.
 
-    ``parallelism`` fits that many grid points concurrently (each fit is itself a Spark job).
+    Returns (metrics, model): a row per grid point (reg_param, accuracy, macro_f1,
+    n_train, n_validation, chosen) and the model of the chosen run, the best
+    macro-F1, on ties the smallest regularisation. The split is ``stratified_split``,
+    which depends on the keys alone, so any partitioning gives the same runs.
     """
-    pipe = text_classifier(text, label, max_iter=max_iter)
-    lr = pipe.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=MacroF1Evaluator(),
-                               trainRatio=train_ratio, seed=seed, parallelism=parallelism)
-    return tvs.fit(train)
+    rows = train.select(key, text, label).where(F.col(label).isNotNull())
+    parts = stratified_split(rows, label, key, test_size=validation_size, seed=seed)
+    # training sums floating-point numbers in row order: one order for every layout of the input
+    fit_rows = parts.where(F.col("assigned") == "train").repartitionByRange(8, key).sortWithinPartitions(key).cache()
+    held = parts.where(F.col("assigned") == "validation").cache()
+    names = sorted(r[0] for r in rows.select(label).distinct().collect())
+    n_train, n_held = fit_rows.count(), held.count()
+    runs = []
+    for reg in reg_params:
+        model = text_classifier(text, label, max_iter=max_iter, reg_param=reg, labels=names).fit(fit_rows)
+        m = summary_metrics(predict_labels(model, held), label, "predicted_label").first()
+        runs.append((float(reg), float(m["accuracy"] or 0.0), float(m["macro_f1"] or 0.0), model))
+    fit_rows.unpersist()
+    held.unpersist()
+    best = max(range(len(runs)), key=lambda i: (runs[i][2], -runs[i][0]))
+    table = [(reg, acc, f1, n_train, n_held, i == best) for i, (reg, acc, f1, _) in enumerate(runs)]
+    out = train.sparkSession.createDataFrame(
+        table, "reg_param double, accuracy double, macro_f1 double, n_train bigint, n_validation bigint, chosen boolean")
+    return out, runs[best][3]

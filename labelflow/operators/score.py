@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from labelflow.functions.extract import extract_label
-from labelflow.functions.text import _c
+from labelflow.functions.text import _c, py_strip
 
 # A predictor maps a batch of input strings to a batch of raw output strings.
 Predictor = Callable[[Sequence[str]], Sequence[str]]
@@ -67,20 +67,22 @@ def prediction_records(df: DataFrame, utterance: str = "utterance", gold: str =
 
 def token_count(text, pattern: str = r"\s+") -> Column:
     """Number of whitespace tokens (M04); 0 for empty text."""
-    t = F.trim(_c(text))
+    t = py_strip(_c(text))
     return F.when(F.length(t) == 0, F.lit(0)).otherwise(F.size(F.split(t, pattern)))
 
 
 def truncate_tokens(text, max_tokens: int, pattern: str = r"\s+") -> Column:
     """The first ``max_tokens`` whitespace tokens joined by one space."""
-    return F.array_join(F.slice(F.split(F.trim(_c(text)), pattern), 1, max_tokens), " ")
+    return F.array_join(F.slice(F.split(py_strip(_c(text)), pattern), 1, max_tokens), " ")
 
 
 def tokenizer_udf(tokenize: Callable[[str], Sequence[int]], max_tokens: int | None = None):
-    """Pluggable tokenizer as a pandas UDF returning token counts (M04 with a real tokenizer)."""
-    @F.pandas_udf("int")
-    def count(s: pd.Series) -> pd.Series:
-        n = s.fillna("").map(lambda x: len(tokenize(x)))
-        return n.clip(upper=max_tokens) if max_tokens else n
+    """Pluggable tokenizer (M04): a pandas UDF ``text -> array<int>`` of token ids, the first ``max_tokens`` of them.
 
-    return count
+    NULL counts as empty. ``F.size`` of the result is the token count.
+    """
+    @F.pandas_udf("array<int>")
+    def ids(s: pd.Series) -> pd.Series:
+        return s.fillna("").map(lambda x: list(tokenize(x))[:max_tokens])
+
+    return ids

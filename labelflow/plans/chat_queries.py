@@ -32,28 +32,31 @@ lv AS (
 )"""
 
 
-def _train_labels(spark, sf):
-    return V.collect_labels(V.vocab_from_split(fx.f1_raw_splits(spark, sf), include_oos=False))
+def _label_sets(spark, sf):
+    """(train vocabulary, vocabulary of all prepared rows) from one narrow pass over split, label and a null test."""
+    rows = R.drop_nulls_oos(fx.f1_raw_splits(spark, sf).withColumn("text", F.col("text").isNotNull().cast("string")))
+    sets = rows.groupBy("label_text").agg(F.bool_or(F.col("split") == "train").alias("train"),
+                                          F.bool_or(F.col("text") == "true").alias("prepared")).collect()
+    return sorted(r[0] for r in sets if r["train"]), sorted(r[0] for r in sets if r["prepared"])
 
 
-def _records(spark, sf):
-    raw = fx.f1_raw_splits(spark, sf)
-    return R.prepare_records(raw, _train_labels(spark, sf))
+def _train_labels(spark, sf):
+    return _label_sets(spark, sf)[0]
 
 
-def _flat(spark, sf):
-    return R.flatten_records(_records(spark, sf))
+def _records(spark, sf, labels=None):
+    return R.prepare_records(fx.f1_raw_splits(spark, sf), _train_labels(spark, sf) if labels is None else labels)
 
 
-def _eval_labels(spark, sf):
-    """Union vocabulary of all prepared splits (build_label_set)."""
-    flat = _flat(spark, sf)
-    return V.collect_labels(V.vocab_union((flat, "label")))
+def _flat(spark, sf):
+    # the flattened columns don't spell the vocabulary out
+    return R.flatten_records(_records(spark, sf, labels=[]))
 
 
-@register("prepare_records", O.with_(_PREP_SQL) + f"""
+@register("prepare_records", O.with_(_PREP_SQL) + """
 SELECT example_id, split, utterance, label,
-  '{chat.SYSTEM_PROMPT}' AS system_content,
+  'You are an intent classifier. Output exactly one intent label from the allowed label set. Do not explain your answer.'
+    AS system_content,
   'Utterance: "' || utterance || '"' || chr(10) || 'Allowed labels: ' || labels AS user_content,
   label AS assistant_content
 FROM prep, lv""")
@@ -106,18 +109,16 @@ def user_prompt(spark, sf):
     return d.select(F.col("doc_id").alias("example_id"), chat.user_prompt("text", labels).alias("prompt"))
 
 
-def _zs_system_sql() -> str:
-    head = chat.ZERO_SHOT_SYSTEM.rstrip("\n").split("\n")[0]
-    return f"'{head}' || chr(10) || 'Allowed labels: ' || labels"
+_ZS_SYSTEM_SQL = """'You are an intent classifier. Choose exactly one label from the allowed labels. Reply with exactly one label from the allowed labels. Do not explain. Do not add any other words.' || chr(10) || 'Allowed labels: ' || labels"""
 
 
 @register("zero_shot_prompt", O.with_(_PREP_SQL) + f"""
 SELECT example_id,
-  'SYSTEM: ' || {_zs_system_sql()} || {NL2} || 'USER: Utterance: "' || utterance || '"' || {NL2} || 'ASSISTANT:' AS prompt
-FROM prep, lv WHERE split = 'test'""")
+  'SYSTEM: ' || {_ZS_SYSTEM_SQL} || {NL2} || 'USER: Utterance: "' || utterance || '"' || {NL2} || 'ASSISTANT:' AS prompt
+FROM prep, lv""")
 def zero_shot_prompt(spark, sf):
-    labels = _eval_labels(spark, sf)
-    flat = _flat(spark, sf).where(F.col("split") == "test")
+    labels = _label_sets(spark, sf)[1]
+    flat = _flat(spark, sf)
     return flat.select("example_id", chat.render_upper(chat.zero_shot_messages("utterance", labels)).alias("prompt"))
 
 
@@ -136,25 +137,25 @@ supt AS (
                     ORDER BY rn, label) AS txt FROM sup
 )""") + f"""
 SELECT example_id,
-  'SYSTEM: ' || {_zs_system_sql()} || {NL2} || txt || {NL2} ||
+  'SYSTEM: ' || {_ZS_SYSTEM_SQL} || {NL2} || txt || {NL2} ||
   'USER: Utterance: "' || utterance || '"' || {NL2} || 'ASSISTANT:' AS prompt
-FROM prep, lv, supt WHERE split = 'test'""")
+FROM prep, lv, supt""")
 def few_shot_prompt(spark, sf):
-    labels = _eval_labels(spark, sf)
+    labels = _label_sets(spark, sf)[1]
     flat = _flat(spark, sf)
     support = S.collect_support(S.few_shot_support(flat.where(F.col("split") == "train"), n=4), n=4)
     msgs = chat.few_shot_messages("utterance", labels, support)
-    return flat.where(F.col("split") == "test").select("example_id", chat.render_upper(msgs).alias("prompt"))
+    return flat.select("example_id", chat.render_upper(msgs).alias("prompt"))
 
 
 @register("inference_prompt", O.with_(_PREP_SQL) + f"""
 SELECT example_id,
-  '{chat.INFERENCE_SYSTEM.split(chr(10))[0]}' || {NL2} || 'User: Utterance: "' || utterance || '"' || chr(10) ||
+  'System: You are an intent classifier. Choose exactly one label from the allowed labels. Output only the label and nothing else.' || {NL2} || 'User: Utterance: "' || utterance || '"' || chr(10) ||
   'Allowed labels: ' || labels || {NL2} || 'Assistant:' AS prompt
-FROM prep, lv WHERE split = 'test'""")
+FROM prep, lv""")
 def inference_prompt(spark, sf):
-    labels = _eval_labels(spark, sf)
-    flat = _flat(spark, sf).where(F.col("split") == "test")
+    labels = _label_sets(spark, sf)[1]
+    flat = _flat(spark, sf)
     return flat.select("example_id", chat.inference_prompt("utterance", labels).alias("prompt"))
 
 
@@ -193,13 +194,9 @@ def utterance_from_conversations(spark, sf):
 
 
 @register("drop_assistant", """
-SELECT conv_id, position, role FROM (
-  SELECT conv_id, role, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS position
-  FROM conversations)
-WHERE role IS DISTINCT FROM 'assistant'""")
+SELECT conv_id, turn, role FROM conversations WHERE role IS DISTINCT FROM 'assistant'""")
 def drop_assistant(spark, sf):
-    turns = _turns(spark, sf)
-    return R.drop_assistant_turns(turns).select("conv_id", "position", "role")
+    return R.drop_assistant_turns(fx.table(spark, sf, "conversations")).select("conv_id", "turn", "role")
 
 
 @register("flatten_until_assistant", f"""
@@ -222,19 +219,10 @@ def render_upper(spark, sf):
 
 
 @register("trainable_turns", """
-SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS position,
-  role, coalesce(role = 'assistant', FALSE) AS is_target
+SELECT conv_id, turn, role, coalesce(role = 'assistant', FALSE) AS is_target
 FROM conversations""")
 def trainable_turns(spark, sf):
-    return R.turn_targets(_turns(spark, sf)).select("conv_id", "position", "role", "is_target")
-
-
-def _turns(spark, sf):
-    """Conversation turns with their 0-based position (skew-safe ordinal per conversation)."""
-    from labelflow.operators.sampling import group_ordinal
-
-    t = fx.table(spark, sf, "conversations").select("conv_id", "turn", "role")
-    return group_ordinal(t, "conv_id", "turn")
+    return R.turn_targets(fx.table(spark, sf, "conversations")).select("conv_id", "turn", "role", "is_target")
 
 
 # --- sampling -------------------------------------------------------------------------------
@@ -255,9 +243,9 @@ def examples_by_label(spark, sf):
 
 
 @register("first_n_rows", O.with_(_PREP_SQL) + """
-SELECT example_id, utterance, label, split FROM prep WHERE split = 'test' ORDER BY example_id LIMIT 50""")
+SELECT example_id, utterance, label, split FROM prep ORDER BY example_id LIMIT 50""")
 def first_n_rows(spark, sf):
-    return S.first_n_rows(_flat(spark, sf).where(F.col("split") == "test"), 50)
+    return S.first_n_rows(_flat(spark, sf), 50)
 
 
 @register("split_counts", O.with_(_PREP_SQL) + """

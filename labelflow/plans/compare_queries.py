@@ -124,11 +124,11 @@ def predictions_side_by_side(spark, sf):
     return C.side_by_side(fx.f2_stacked(spark, sf, _G), _MODELS)
 
 
-@register("model_agreement", O.with_(_WIDE_SQL) + f"""
+@register("model_agreement", O.with_(_WIDE_SQL) + """
 SELECT example_id, guesser_a, guesser_b, guesser_c, guesser_d,
   CAST(len(list_distinct([guesser_a, guesser_b, guesser_c, guesser_d])) AS INTEGER) AS n_distinct,
   CASE len(list_distinct([guesser_a, guesser_b, guesser_c, guesser_d]))
-    WHEN 1 THEN '{C.AGREE_ALL.format(n=4)}' WHEN 2 THEN '{C.AGREE_PARTIAL}' ELSE '{C.AGREE_NONE}' END AS note
+    WHEN 1 THEN '✅ All 4 models agree' WHEN 2 THEN '⚠️ Models partially disagree' ELSE '❌ Models mostly disagree' END AS note
 FROM wide""")
 def model_agreement(spark, sf):
     d = fx.table(spark, sf, "documents")

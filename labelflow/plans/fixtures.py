@@ -145,9 +145,8 @@ def f4_loss_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run"), "event_id", "ts",
         F.when(_mod("event_id", 6), F.lit(None).cast("double")).otherwise(F.col("value")).alias("train_mean_nll"))
-    counts = ev.groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
-    pos = group_ordinal(ev, "run", ["ts", "event_id"], out="_pos")
-    return (pos.join(counts, "run")
+    pos = group_ordinal(ev, "run", ["ts", "event_id"], out="_pos", total="_n")
+    return (pos
             .select("run", "event_id", "ts", "train_mean_nll",
                     ((F.col("_pos") + 1) / F.col("_n")).alias("progress")))
 

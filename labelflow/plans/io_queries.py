@@ -29,9 +29,26 @@ D = 10
 def jsonl_roundtrip(spark, sf):
     path = scratch_dir(spark, "records")
     io.write_jsonl(_records(spark, sf), path)
-    back = io.read_jsonl(spark, path, "example_id bigint, " + io.RECORD_SCHEMA)
-    io.require_columns(back, ["messages", "meta"])
-    return R.flatten_records(back)
+    io.require_keys(spark, path, ["messages", "meta"])
+    return R.flatten_records(io.read_jsonl(spark, path, "example_id bigint, " + io.RECORD_SCHEMA))
+
+
+# S06 for every table whose rows could pass as predictions: which of the columns a job reads are missing.
+_CHECKED = {"labels": ("doc_id", "toxic"), "benchmark": ("item_id", "label"), "conversations": ("conv_id", "gold_label", "role")}
+
+
+@register("required_columns", "SELECT * FROM (VALUES ('benchmark', 'label'), ('conversations', 'gold_label'), ('labels', '')) t(table_name, lacking)")
+def required_columns(spark, sf):
+    rows = []
+    for name, wanted in _CHECKED.items():
+        path = scratch_dir(spark, f"check_{name}")
+        io.write_jsonl(fx.table(spark, sf, name), path)
+        try:
+            io.require_keys(spark, path, wanted)
+            rows.append((name, ""))
+        except ValueError:
+            rows.append((name, ",".join(sorted(set(wanted) - io.json_keys(spark, path)))))
+    return spark.createDataFrame(rows, "table_name string, lacking string")
 
 
 @register("csv_multiline_roundtrip", O.with_(O.F3_CTE, _F3_VOCAB, f"""
@@ -70,13 +87,13 @@ def split_csv_snapshot(spark, sf):
 
 
 @register("split_union_scan", O.with_(_PREP_SQL) + """
-SELECT example_id, utterance, label, split FROM prep WHERE split IN ('train', 'val')""")
+SELECT example_id, utterance, label, split FROM prep""")
 def split_union_scan(spark, sf):
     base = scratch_dir(spark, "split_files")
     recs = _records(spark, sf)
-    for name in ("train", "val"):
+    for name in ("train", "val", "test"):
         io.write_jsonl(recs.where(F.col("meta.split") == name), f"{base}/{name}.jsonl")
-    paths = {name: f"{base}/{name}.jsonl" for name in ("train", "val", "test")}  # test is absent
+    paths = {name: f"{base}/{name}.jsonl" for name in ("train", "val", "test", "extra")}  # there is no extra file
     rows = io.read_splits(spark, paths, "example_id bigint, " + io.RECORD_SCHEMA)
     return rows.select("example_id", "meta.utterance", "meta.label", "split")
 
@@ -87,7 +104,7 @@ lg AS (
     CASE WHEN event_id % 6 = 0 THEN NULL ELSE value END AS train_mean_nll,
     (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id))::DOUBLE
       / count(*) OVER (PARTITION BY event_type) AS progress
-  FROM events WHERE event_type IN ('click', 'purchase')
+  FROM events
 )"""
 
 
@@ -97,8 +114,8 @@ SELECT run, event_id, round(progress, 10) AS progress, train_mean_nll,
     AS smoothed
 FROM lg WHERE train_mean_nll IS NOT NULL""")
 def training_log_scan(spark, sf):
-    """One log per event type, written in (ts, event_id) order; 'view' lacks progress (skipped),
-    'error' has no file (skipped); rolling loss in file order."""
+    """One log per event type, written in (ts, event_id) order; of two further runs one has no file and the
+    other no progress (both skipped); rolling loss in file order."""
     from labelflow.operators.sampling import group_ordinal
 
     base = scratch_dir(spark, "run_logs")
@@ -106,13 +123,14 @@ def training_log_scan(spark, sf):
         F.col("event_type").alias("run"), "event_id", "ts",
         F.when((F.col("event_id") % 6) == 0, F.lit(None).cast("double")).otherwise(F.col("value"))
          .alias("train_mean_nll"))
-    counts = ev_.groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
-    logs = (group_ordinal(ev_, "run", ["ts", "event_id"], out="_pos").join(counts, "run")
+    logs = (group_ordinal(ev_, "run", ["ts", "event_id"], out="_pos", total="_n")
             .withColumn("progress", (F.col("_pos") + 1) / F.col("_n")))
-    for run in ("click", "purchase", "view"):
-        cols = ["event_id", "ts", "train_mean_nll"] + ([] if run == "view" else ["progress"])
-        io.write_jsonl(logs.where(F.col("run") == run).orderBy("ts", "event_id").select(*cols), f"{base}/{run}")
-    runs = {r: f"{base}/{r}" for r in ("click", "purchase", "view", "error")}
+    names = [r[0] for r in ev_.select("run").distinct().orderBy("run").collect()]
+    for run in names:
+        io.write_jsonl(logs.where(F.col("run") == run).orderBy("ts", "event_id")
+                       .select("event_id", "ts", "train_mean_nll", "progress"), f"{base}/{run}")
+    io.write_jsonl(ev_.select("event_id", "ts", "train_mean_nll"), f"{base}/bare")
+    runs = {r: f"{base}/{r}" for r in (*names, "bare", "absent")}
     back = io.read_training_logs(spark, runs, schema="event_id bigint, progress double, train_mean_nll double")
     sm = C.rolling_mean(back, "run", list(io.ORDER_COLS), "train_mean_nll", window=5)
     return sm.select("run", "event_id", F.round("progress", D).alias("progress"), "train_mean_nll",

@@ -112,7 +112,61 @@ GROUP BY u.label"""
 
 @register("confusion_wide", O.with_(O.f2_cte("a"), O.metric_ctes()) + _wide_sql(_F2_LABELS))
 def confusion_wide(spark, sf):
-    return ev.confusion_wide(fx.f2_predictions(spark, sf, "a"))
+    return _columns(ev.confusion_wide(fx.f2_predictions(spark, sf, "a"), _F2_LABELS), _F2_LABELS)
+
+
+def _columns(wide, labels):
+    """A column per label, for labels that are plain names."""
+    return wide.select("gold", *[F.col("counts")[i].alias(x) for i, x in enumerate(labels)])
+
+
+# A05, A06, J03 on raw model text: case variants, dots, quotes, newlines, 'gold' and ''.
+@register("confusion_any_labels", O.with_(O.F3_CTE, """
+prs AS (
+  SELECT gold_label AS gold, CASE WHEN example_id % 24 = 0 THEN 'gold' WHEN example_id % 24 = 6 THEN 'a.`b`' ELSE raw_prediction END AS pred
+  FROM src
+),
+u AS (SELECT gold AS label FROM prs UNION SELECT pred FROM prs),
+cells AS (SELECT gold, pred, count(*) AS n FROM prs GROUP BY gold, pred)""") + """
+SELECT g.label AS gold, string_agg(CAST(coalesce(c.n, 0) AS VARCHAR), ',' ORDER BY p.label) AS counts
+FROM u g CROSS JOIN u p LEFT JOIN cells c ON c.gold = g.label AND c.pred = p.label
+GROUP BY g.label""")
+def confusion_any_labels(spark, sf):
+    raw = F.when(F.col("example_id") % 24 == 0, "gold").when(F.col("example_id") % 24 == 6, "a.`b`").otherwise(F.col("raw_prediction"))
+    rows = fx.f3_raw_outputs(spark, sf).select("gold_label", raw.alias("predicted_label"))
+    pairs = ev.pair_counts(rows)
+    wide = ev.confusion_wide(None, ev.label_universe(pairs), pairs=pairs)
+    return wide.select("gold", F.array_join(F.col("counts").cast("array<string>"), ",").alias("counts"))
+
+
+# A04 with a fixed label list: 'it' and 'zh' have no rows, 'xx' is not listed.
+_FIXED = ("de", "en", "es", "fr", "it", "zh")
+
+
+@register("full_report_fixed_labels", O.with_(O.f2_cte("a"), f"""
+l AS (SELECT unnest({list(_FIXED)}) AS label),
+st AS (
+  SELECT l.label, (SELECT count(*) FROM src WHERE gold_label = l.label) AS s,
+    (SELECT count(*) FROM src WHERE predicted_label = l.label) AS p,
+    (SELECT count(*) FROM src WHERE gold_label = l.label AND predicted_label = l.label) AS t
+  FROM l
+),
+m AS (
+  SELECT label, s, CASE WHEN p > 0 THEN t::DOUBLE / p ELSE 0 END AS precision, CASE WHEN s > 0 THEN t::DOUBLE / s ELSE 0 END AS recall,
+    CASE WHEN s + p > 0 THEN 2 * t::DOUBLE / (s + p) ELSE 0 END AS f1_score
+  FROM st
+),
+a AS (SELECT avg(CASE WHEN gold_label = predicted_label THEN 1.0 ELSE 0.0 END)::DOUBLE AS acc, count(*)::DOUBLE AS n FROM src),
+r AS (
+  SELECT 'label' AS row_type, label, precision, recall, f1_score, s::DOUBLE AS support FROM m
+  UNION ALL SELECT 'accuracy', 'accuracy', acc, acc, acc, acc FROM a
+  UNION ALL SELECT 'macro avg', 'macro avg', avg(precision), avg(recall), avg(f1_score), (SELECT n FROM a) FROM m
+  UNION ALL SELECT 'weighted avg', 'weighted avg', sum(precision * s) / sum(s), sum(recall * s) / sum(s), sum(f1_score * s) / sum(s), (SELECT n FROM a) FROM m
+)""") + """
+SELECT row_type, label, round(precision, 10) AS precision, round(recall, 10) AS recall, round(f1_score, 10) AS f1_score,
+  round(support, 10) AS support FROM r""")
+def full_report_fixed_labels(spark, sf):
+    return ev.full_report(fx.f2_predictions(spark, sf, "a"), decimals=D, labels=_FIXED)
 
 
 @register("top_confused_pairs", O.with_(O.f2_cte("a"), O.metric_ctes()) + """
@@ -138,7 +192,7 @@ def lineitem_summary(spark, sf):
 
 @register("lineitem_confusion_wide", O.with_(O.F5_CTE, O.metric_ctes()) + _wide_sql(("A", "N", "R")))
 def lineitem_confusion_wide(spark, sf):
-    return ev.confusion_wide(fx.f5_lineitem_pairs(spark, sf))
+    return _columns(ev.confusion_wide(fx.f5_lineitem_pairs(spark, sf), ("A", "N", "R")), ("A", "N", "R"))
 
 
 @register("lineitem_report", O.with_(O.F5_CTE, O.metric_ctes()) + "\n" + O.full_report_sql())
@@ -185,7 +239,7 @@ def confusion_dense(spark, sf):
     from labelflow.operators import vocab as V
 
     labels = V.collect_labels(fx.table(spark, sf, "documents").select(F.col("lang").alias("label")))
-    return ev.confusion_wide(fx.f2_predictions(spark, sf, "a"), labels=labels)
+    return _columns(ev.confusion_wide(fx.f2_predictions(spark, sf, "a"), labels), labels)
 
 
 _LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

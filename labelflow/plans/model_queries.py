@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from labelflow.operators import evaluate as ev
@@ -12,7 +13,7 @@ from labelflow.operators import score as sc
 from labelflow.operators import vocab as V
 from labelflow.plans import fixtures as fx
 from labelflow.plans import oracle_sql as O
-from labelflow.plans.chat_queries import _flat
+from labelflow.plans.chat_queries import _PREP_SQL, _flat
 from labelflow.plans.registry import register
 from labelflow.plans.text_queries import _CASCADE, _F3_VOCAB, _f3
 from labelflow.session import scratch_dir
@@ -69,9 +70,8 @@ def stub_model_metrics(spark, sf):
 
 @register("truncate_tokens", """
 SELECT doc_id AS example_id,
-  CAST(CASE WHEN length(trim(text)) = 0 THEN 0 ELSE len(string_split_regex(trim(text), '\\s+')) END AS INTEGER)
-    AS n_tokens,
-  array_to_string(list_slice(string_split_regex(trim(text), '\\s+'), 1, 64), ' ') AS truncated
+  CAST(len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) AS INTEGER) AS n_tokens,
+  array_to_string(list_slice(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''), 1, 64), ' ') AS truncated
 FROM documents""")
 def truncate_tokens(spark, sf):
     d = fx.table(spark, sf, "documents")
@@ -79,23 +79,41 @@ def truncate_tokens(spark, sf):
                     sc.truncate_tokens("text", 64).alias("truncated"))
 
 
-@register("train_text_classifier")
+_SPLITS_SQL = O.with_(_PREP_SQL)
+
+
+@register("train_text_classifier", _SPLITS_SQL + """
+SELECT split, count(*) AS n_rows, count(DISTINCT label) AS n_labels, TRUE AS good
+FROM prep WHERE split IN ('val', 'test') GROUP BY split""")
 def train_text_classifier(spark, sf):
-    """Spark ML baseline trained on the train split, scored on the test split (rows-only check)."""
+    """Spark ML baseline trained on the train split and scored on validation and test; ``good``: more than half are right."""
     flat = _flat(spark, sf)
-    model = ml.text_classifier(max_iter=30).fit(flat.where(F.col("split") == "train"))
-    pred = ml.predict_labels(model, flat.where(F.col("split") == "test"))
-    return ev.summary_metrics(pred, gold="label", pred="predicted_label", decimals=10)
+    labels = V.collect_labels(flat.select("label"))
+    model = ml.text_classifier(max_iter=30, labels=labels).fit(flat.where(F.col("split") == "train"))
+    pred = ml.predict_labels(model, flat.where(F.col("split") != "train"))
+    return pred.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("label").alias("n_labels"),
+        (F.avg((F.col("label") == F.col("predicted_label")).cast("double")) > 0.5).alias("good"))
+
+
+_GRID = (0.0, 0.01, 0.1)
 
 
-@register("sweep_regularisation")
+@register("sweep_regularisation", O.with_(_PREP_SQL, """
+b AS (SELECT example_id, label, md5('42' || '|' || CAST(example_id AS VARCHAR)) AS h FROM prep WHERE split = 'train'),
+c AS (SELECT label, count(*) AS n FROM b GROUP BY label),
+r AS (SELECT b.*, n, row_number() OVER (PARTITION BY label ORDER BY h, example_id) - 1 AS pos FROM b JOIN c USING (label)),
+v AS (SELECT count(*) FILTER (WHERE pos >= round(CAST(0.2 AS DOUBLE) * n)) AS n_train, count(*) FILTER (WHERE pos < round(CAST(0.2 AS DOUBLE) * n)) AS n_validation FROM r)""") + f"""
+SELECT g.reg_param, n_train, n_validation, TRUE AS good, CAST(1 AS BIGINT) AS n_chosen, TRUE AS chosen_is_best
+FROM v, (SELECT unnest({[float(x) for x in _GRID]})::DOUBLE AS reg_param) g""")
 def sweep_regularisation(spark, sf):
-    """Regularisation sweep chosen on validation macro-F1 (rows-only check)."""
-    flat = _flat(spark, sf).where(F.col("split") == "train")
-    grid = (0.0, 0.01, 0.1)
-    tvs = ml.sweep(flat, grid, parallelism=3, max_iter=20)
-    rows = [(float(r), float(m)) for r, m in zip(grid, tvs.validationMetrics)]
-    return spark.createDataFrame(rows, "reg_param double, validation_macro_f1 double")
+    """Regularisation sweep; one run is chosen, by validation macro-F1."""
+    train = _flat(spark, sf).where(F.col("split") == "train")
+    runs, _ = ml.sweep(train, _GRID, max_iter=20)
+    every = Window.partitionBy()  # one row per grid point
+    return runs.select("reg_param", "n_train", "n_validation", (F.col("accuracy") > 0.5).alias("good"),
+                       F.sum(F.col("chosen").cast("bigint")).over(every).alias("n_chosen"),
+                       (F.max(F.when(F.col("chosen"), F.col("macro_f1"))).over(every) == F.max("macro_f1").over(every)).alias("chosen_is_best"))
 
 
 # --- streams ----------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from labelflow.operators import evaluate as ev
 from labelflow.plans import fixtures as fx
@@ -44,12 +45,13 @@ def test_properties(spark):
     assert full["accuracy"]["precision"] == pytest.approx(acc)
     assert full["weighted avg"]["recall"] == pytest.approx(acc)
     assert full["macro avg"]["support"] == 300.0
-    wide = ev.confusion_wide(df).collect()
-    diag = sum(r[r["gold"]] for r in wide if r["gold"] in r.asDict())
-    assert diag / 300 == pytest.approx(acc)
+    names = ev.label_universe(ev.pair_counts(df))
+    wide = ev.confusion_wide(df, names).collect()
+    assert [r["gold"] for r in wide] == names
+    assert sum(r["counts"][i] for i, r in enumerate(wide)) / 300 == pytest.approx(acc)
     sup = {r["label"]: r["support"] for r in rep}
     for r in wide:
-        assert sum(v for k, v in r.asDict().items() if k != "gold") == sup[r["gold"]]
+        assert sum(r["counts"]) == sup[r["gold"]]
 
 
 def test_sorted_report_and_topk(spark):
@@ -104,11 +106,34 @@ def test_grouped_metrics_equal_separate(spark):
         assert by[f"guesser_{g}"]["macro_f1"] == pytest.approx(one["macro_f1"])
 
 
-def test_wide_confusion_guard(spark):
-    df = _df(spark, [str(i) for i in range(30)], ["x"] * 30)
-    with pytest.raises(ValueError):
-        ev.confusion_wide(df, max_labels=10)
-    assert ev.confusion_pairs(df).count() == 30
+ODD = ["a", "A", "a.b", "gold", "`", 'q"q', "n\nn", "", "x,y", "é", " "]
+
+
+def test_wide_confusion_of_any_labels(spark):
+    gold, pred = ODD * 2, ODD + ODD[1:] + ODD[:1]
+    wide = {r["gold"]: r["counts"] for r in ev.confusion_wide(_df(spark, gold, pred), ODD).collect()}
+    assert wide == {g: [sum(1 for x, y in zip(gold, pred) if (x, y) == (g, p)) for p in ODD] for g in ODD}
+
+
+def test_wide_confusion_of_many_labels(spark):
+    names = [f"l{i:05d}" for i in range(5000)]
+    df = _df(spark, names, names[1:] + names[:1])
+    rows = ev.confusion_wide(df, names).where(F.col("gold").isin("l00000", "l04999")).collect()
+    assert [r["counts"].index(1) for r in rows] == [1, 0] and all(len(r["counts"]) == 5000 for r in rows)
+
+
+def test_unlabelled_rows_are_counted(spark):
+    df = spark.createDataFrame([("a", "a"), (None, "a"), (None, None)], "gold_label string, predicted_label string")
+    assert tuple(ev.unlabelled_rows(df).first()) == (2, 3)
+
+
+def test_full_report_with_a_label_list(spark):
+    df = _df(spark, ["a", "a", "b", "c"], ["a", "b", "b", "z"])
+    rep = {r["label"]: r for r in ev.full_report(df, labels=["a", "b", "c", "never"]).collect()}
+    assert "z" not in rep and rep["never"]["support"] == 0 and rep["never"]["f1_score"] == 0
+    assert rep["macro avg"]["recall"] == pytest.approx((0.5 + 1 + 0 + 0) / 4) and rep["accuracy"]["precision"] == pytest.approx(0.5)
+    by = ev.full_report(df.withColumn("m", F.lit(1)), by="m", labels=["a", "b", "c", "never"]).drop("m").collect()
+    assert {r["label"]: tuple(r) for r in by} == {k: tuple(v) for k, v in rep.items()}
 
 
 def test_argmax_first_index_on_ties(spark):
