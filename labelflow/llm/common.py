@@ -32,7 +32,7 @@ def ship_package(spark: SparkSession) -> None:
     context._labelflow_shipped = True
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage: later jobs reread files, also after an executor is lost, and
@@ -40,7 +40,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

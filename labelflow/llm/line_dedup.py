@@ -107,11 +107,12 @@ def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of ``docs`` with later copies deleted from ``text_col``, then __n_lines and __deleted (line numbers)."""
-    kept = materialise(with_row_id(docs), "line-docs")
+    kept = materialise(with_row_id(docs), "line-docs", "zstd")
     rows = kept.select(ROW_ID, kept[id_col].alias("id"), kept[text_col].cast("string").alias("text"))
     gone = materialise(later_copies(rows, min_words), "deleted-lines")
-    # split below the join: above it the array is a column, not an expression repeated for each line
-    both = kept.withColumn("__lines", F.split(text_col, "\n")).join(gone, ROW_ID, "left")
+    # the lines pass through a generator after the join: texts move once, and are split once per row
+    # (the deletions grow with the corpus: both sides are shuffled at any size)
+    both = kept.join(gone.hint("merge"), ROW_ID, "left").select("*", F.explode(F.array(F.split(text_col, "\n"))).alias("__lines"))
     n = F.coalesce(F.size("__lines"), F.lit(0))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "deleted")
     text = F.when(F.col("deleted").isNull(), F.col(text_col)).otherwise(
