@@ -3,7 +3,6 @@ used as test oracles for the Spark expressions."""
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 
@@ -20,11 +19,6 @@ def _first_line(s: str) -> str:
     return parts[0] if parts else ""
 
 
-def _words_hit(text: str, labels):
-    ordered = sorted(set(labels), key=lambda x: (-len(x), x))
-    return next((lab for lab in ordered if re.search(r"\b" + re.escape(lab.lower()) + r"\b", text)), None)
-
-
 def first_line(t: str) -> str:
     return _first_line(t.strip()).strip()
 
@@ -54,38 +48,6 @@ def strict(t: str, labels) -> str:
     return cleaned or text
 
 
-def cascade_plain(t: str, labels) -> str:
-    ordered = sorted(set(labels), key=lambda x: (-len(x), x))
-    by_lower = {}
-    for lab in ordered:
-        by_lower.setdefault(lab.lower(), lab)
-    low = t.strip().lower()
-    if low in by_lower:
-        return by_lower[low]
-    for chunk in re.split(r"[\n,;:]+", low):
-        if chunk.strip() in by_lower:
-            return by_lower[chunk.strip()]
-    hit = _words_hit(low, labels)
-    if hit is not None:
-        return hit
-    return first_line(t) if t.strip() else ""
-
-
-def cascade(t: str, labels) -> str:
-    by_lower = {}
-    for lab in sorted(set(labels)):
-        by_lower.setdefault(lab.lower(), lab)
-    text = t.strip()
-    keys = [_norm(text), _norm(_unquote(text))] + [_norm(_unquote(c)) for c in re.split(r"[\n,;:]+", text)]
-    for key in keys:
-        if key in by_lower:
-            return by_lower[key]
-    hit = _words_hit(_norm(text), labels)
-    if hit is not None:
-        return hit
-    return _first_line(text).strip() if text else ""
-
-
 def metrics(gold, pred):
     """accuracy, macro-F1 over gold ∪ pred, per-label (p, r, f1, support)."""
     labels = sorted(set(gold) | set(pred))
@@ -100,20 +62,3 @@ def metrics(gold, pred):
         rep[lab] = (p, r, f, sup[lab])
     acc = sum(tp.values()) / len(gold)
     return acc, sum(v[2] for v in rep.values()) / len(labels), rep
-
-
-def cascade_set(t: str, labels) -> str:
-    """The cascade with both quote characters stripped as one set."""
-    by_lower = {}
-    for lab in sorted(set(labels)):
-        by_lower.setdefault(lab.lower(), lab)
-    text = t.strip()
-    keys = [_norm(text), _norm(text.strip("\"'").strip())] + \
-        [_norm(c.strip("\"'").strip()) for c in re.split(r"[\n,;:]+", text)]
-    for key in keys:
-        if key in by_lower:
-            return by_lower[key]
-    hit = _words_hit(_norm(text), labels)
-    if hit is not None:
-        return hit
-    return _first_line(text).strip() if text else ""

@@ -1,4 +1,4 @@
-"""Extraction strategies against the plain-Python statements in pyref (hand-made rows)."""
+"""Extraction strategies on hand-made rows, against written answers and the statements in pyref."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +17,16 @@ TEXTS = [
     'He said "hi" there', "flight_status\r\nsecond", "  \n  ", "book_flight book_flight",
 ]
 
+# What the cascades answer for each of TEXTS.
+ANSWERS = [
+    "book_flight", "book_flight", "balance", "balance", "balance",
+    "balance", "pay_bill", "flight_status",
+    "balance", "", "", "unknown", "Transfer", "Transfer",
+    "pay_bill", "pay_bill", "bill", "billing", "a.b", "xa.b",
+    "oos", "balance", "balance", "balance", "balance",
+    'He said "hi" there', "flight_status", "", "book_flight",
+]
+
 
 @pytest.fixture(scope="module")
 def rows(spark):
@@ -27,8 +37,6 @@ def rows(spark):
     ("first_line", lambda t, labs: pyref.first_line(t)),
     ("canonical", pyref.canonical),
     ("strict", pyref.strict),
-    ("cascade_plain", pyref.cascade_plain),
-    ("cascade", pyref.cascade),
 ])
 def test_strategy_matches_python(rows, strategy, oracle):
     got = dict(rows.select("i", X.extract_label("t", LABELS, strategy).alias("p")).collect())
@@ -60,7 +68,16 @@ def test_unknown_strategy(spark):
         X.extract_label(F.col("t"), LABELS, "nope")
 
 
-def test_cascade_quote_set_variant(rows):
-    got = dict(rows.select("i", X.extract_cascade("t", LABELS, quote_mode="set").alias("p")).collect())
-    for i, t in enumerate(TEXTS):
-        assert got[i] == pyref.cascade_set(t, LABELS), repr(t)
+@pytest.mark.parametrize("strategy", ["cascade_plain", "cascade", "set"])
+def test_cascades_give_the_written_answers(rows, strategy):
+    column = X.extract_cascade("t", LABELS, quote_mode="set") if strategy == "set" else X.extract_label("t", LABELS, strategy)
+    got = dict(rows.select("i", column.alias("p")).collect())
+    assert [got[i] for i in range(len(TEXTS))] == ANSWERS
+
+
+def test_stages_of_the_cascade_in_order(spark):
+    """Whole text before chunks, chunks before words, first chunk before later ones, longest word, then the first line."""
+    cases = {"bill, balance": "bill", "my balance, bill": "bill", "my bill and my balance": "balance", "say 'oos', please": "oos", "'x', \"bill\"": "bill",
+             "pay bill": "bill", "no label\nhere": "no label", " Book_Flight;": "book_flight"}
+    got = dict(spark.createDataFrame([(t,) for t in cases], "t string").select("t", X.extract_label("t", LABELS, "cascade")).collect())
+    assert got == cases
