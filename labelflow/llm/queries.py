@@ -103,3 +103,48 @@ def op6_embedding_dedup(spark, sf_dir):
 @_register
 def op9_html_text(spark, sf_dir):
     return html_text.extract(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+# Twins that need no approximation: all 10-word windows of the items, and all pairs of a label.
+ORACLE["op8_decontaminate"] = r"""
+WITH lower_d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+d AS (SELECT row_number() OVER () AS rid, doc_id, w FROM lower_d),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+wins AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, k, k + least(len(w), 10) - 1), ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0)
+),
+grams AS (
+  SELECT rid, k, n, array_to_string(list_slice(w, k, k + n - 1), ' ') AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)
+),
+found AS (SELECT rid, k, n, item FROM grams JOIN wins USING (n, g)),
+hit AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS place FROM found) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)"""
+
+ORACLE["op6_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+),
+ok AS (
+  SELECT vec_id, label, e, len(e) AS dim FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.label = b.label AND a.dim = b.dim AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach AS (SELECT vec_id AS u, vec_id AS r FROM v UNION SELECT l.w, reach.r FROM reach JOIN link l ON l.u = reach.u WHERE reach.r < l.w),
+root AS (SELECT u, min(r) AS r FROM reach GROUP BY u)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE u = v.vec_id) AS n_links, root.r AS component_id, v.vec_id = root.r AS kept
+FROM v JOIN root ON root.u = v.vec_id"""
