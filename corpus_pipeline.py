@@ -36,18 +36,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the smallest doc_id, of each group of linked fingerprints."""
     ship_package(spark)
-    rows = materialise(with_row_id(docs), "simhash-docs")
+    rows = materialise(with_row_id(docs), "simhash-docs", "zstd")
     kept = simhash.near_duplicates(rows, shingle=3, max_bits=2).where("keep").select(ROW_ID)
-    return rows.join(kept, ROW_ID, "left_semi").select(*docs.columns)
+    return rows.join(kept.hint("merge"), ROW_ID, "left_semi").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that share a window of words with a benchmark item."""
     ship_package(spark)
-    rows = materialise(with_row_id(docs), "benchmark-docs")
+    rows = materialise(with_row_id(docs), "benchmark-docs", "zstd")
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     bad = decontaminate.contaminated_words(rows, items).where("n_hit > 0").select(ROW_ID)
-    return rows.join(bad, ROW_ID, "left_anti").select(*docs.columns)
+    return rows.join(bad.hint("merge"), ROW_ID, "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
