@@ -18,6 +18,7 @@ order of their texts' hashes. An empty table gives no documents. Other columns a
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from functools import lru_cache
@@ -29,18 +30,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelflow.llm.common import field, file_bytes, id_text, materialise, parts
+from labelflow.llm.common import file_bytes, id_text, materialise, parts
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 128
 _CACHE = 300_000
+#: Of a line: letters of Latin-1, then ASCII punctuation but the apostrophe, which can start a contraction.
+_LATIN_WORD = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$", re.M)
 
 
 class WordEncoder:
     """Ids of a text by its space-delimited pieces, which the vocabulary's white-space splitting keeps apart.
 
     Only spaces and line feeds separate here; everything else is left to the tokenizers library.
-    Plain lower- and upper-case ASCII words are looked up case-folded. A bounded number of pieces is remembered.
+    A bounded number of pieces is remembered.
     """
 
     def __init__(self, spec: bytes):
@@ -59,35 +62,51 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        # words may be joined and case-folded if the tokenizer marks their ends and folds case itself
+        self.folds = bool(suffix) and self.tokenizer.encode("AbÉ", add_special_tokens=False).ids == self.tokenizer.encode("abé", add_special_tokens=False).ids
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isascii() and w.isalpha()] if self.ends.any() else []
-        for at in range(0, len(plain), 512):
-            some = plain[at:at + 512]
-            ids = np.asarray(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=self.dtype)
+    def _encode_words(self, words: list[str]) -> None:
+        """Learns words that are one pre-token each, many to a call; their last tokens tell them apart."""
+        for at in range(0, len(words), 1024):
+            some = words[at:at + 1024]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=self.dtype)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(some):  # a word was split into several: learn them one by one
-                plain = plain[:at]
-                break
-            starts = np.concatenate([[0], stops[:-1]])
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            self.young.update(zip(some, [raw[a:z] for a, z in zip((starts * width).tolist(), (stops * width).tolist(), strict=True)], strict=True))
-        rest = [w for w in words if w not in self.young]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            if len(stops) != len(some):
+                self._encode_one_by_one(some)
+                continue
+            raw, edges = ids.tobytes(), (stops * self.dtype.itemsize).tolist()
+            self.young.update(zip(some, [raw[a:z] for a, z in zip([0, *edges[:-1]], edges, strict=True)], strict=True))
+
+    def _encode_one_by_one(self, pieces: list[str]) -> None:
+        for w, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
             self.young[w] = np.asarray(e.ids, dtype=self.dtype).tobytes()
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Remembers the ids of new pieces. A Latin word followed by punctuation is two pre-tokens whose ids are joined."""
+        if not pieces:
+            return
+        if not self.folds:
+            self._encode_one_by_one(pieces)
+            return
+        found = [(p, w.lower(), mark) for p, (w, mark) in zip(pieces, _LATIN_WORD.findall("\n".join(pieces)), strict=True)]
+        known = self.young
+        needed = {w for _, w, _ in found}.union([mark for _, _, mark in found]).difference(known, [""])
+        self._encode_words(list(needed))
+        known.update([(p, known[w] + known[mark] if mark else known[w]) for p, w, mark in found if w])
+        self._encode_one_by_one([p for p, w, _ in found if not w])
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         pieces = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         wanted = set().union(*pieces)
-        known = {w: self.old[w] for w in wanted if w not in self.young and w in self.old}
-        new = [w for w in wanted if w not in self.young and w not in known]
-        if len(self.young) + len(known) + len(new) > _CACHE:
-            keep = {w: self.young[w] for w in wanted if w in self.young}
-            self.old, self.young = self.young, keep
-        self.young.update(known)
-        self._learn(new)
+        missing = wanted.difference(self.young)
+        if len(self.young) + len(missing) > _CACHE:
+            self.old, self.young = self.young, {w: self.young[w] for w in wanted.intersection(self.young)}
+        old = self.old
+        again = missing.intersection(old)
+        self.young.update([(w, old[w]) for w in again])
+        self._learn(list(missing.difference(again)))
         get = self.young.__getitem__
         return [b"".join(map(get, p)) for p in pieces]
 
@@ -224,18 +243,20 @@ class Shard:
 
 def read(manifest: DataFrame, folder: str, id_col: str, id_type: str) -> DataFrame:
     """Per document, from the files: id_col, start (tokens of all documents before it), n_tokens, ids_crc32."""
-    shards = manifest.select("shard", "path")
+    # one row per shard: their number, not their content, meets in one task
+    before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    shards = manifest.select("path", F.coalesce(before, F.lit(0)).alias("base"))
 
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
     key_type = to_arrow_type(_parse_datatype_string(id_type))
-    out_schema = pa.schema([("shard", pa.int64()), ("id", key_type), ("first", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    out_schema = pa.schema([("id", key_type), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
         fs, _ = _filesystem(folder)
-        for numbers, paths in parts(batches):
-            for shard, path in zip(numbers, paths, strict=True):
+        for bases, paths in parts(batches):
+            for base, path in zip(bases, paths, strict=True):
                 ids = Shard(fs, f"{path}.arrow")
                 with fs.open_input_file(f"{path}.index.arrow") as f:
                     index = pa.ipc.open_file(f)
@@ -243,12 +264,9 @@ def read(manifest: DataFrame, folder: str, id_col: str, id_type: str) -> DataFra
                         b = index.get_batch(k)
                         firsts, sizes = b.column(1).to_pylist(), b.column(2).to_pylist()
                         crc = [zlib.crc32(ids.tokens(a, n).astype("<u4").tobytes()) for a, n in zip(firsts, sizes, strict=True)]
-                        yield pa.RecordBatch.from_arrays([pa.array([shard] * len(firsts), pa.int64()), b.column(0), b.column(1), b.column(2),
+                        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([base + a for a in firsts], pa.int64()), b.column(2),
                                                           pa.array(crc, pa.int64())], schema=out_schema)
 
-    found = (shards.repartition("path").mapInArrow(run, f"shard bigint, id {id_type}, first bigint, n_tokens bigint, ids_crc32 bigint"))
-    # one row per shard: their number, not their content, meets in one task
-    before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    bases = manifest.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
-    return (found.join(bases, "shard")
-            .select(F.col("id").alias(id_col), (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"))
+    # as many tasks as shards
+    dealt = shards.repartitionByRange(max(1, manifest.count()), "path")
+    return dealt.select("base", "path").mapInArrow(run, f"id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint").withColumnRenamed("id", id_col)
