@@ -2,14 +2,16 @@
 
 The base patterns (email, ip, card, phone) find the seeds. Seeds and candidates (texts of a
 kind's shape that the base patterns do not cover) are instances; the words around them are
-lexical patterns. Spark scores the pattern-instance graph in rounds: a pattern's confidence
+lexical patterns. Spark scores the pattern-instance graph in rounds until nothing changes: a pattern's confidence
 for a kind is the summed score of that kind's instances among all identifier-like instances
 seen in it, and a candidate's score is the best confidence of its accepted patterns. Patterns
 need ``min_support`` different instances that are seeds or accepted, and ``min_confidence``.
 Occurrences of candidates inside accepted patterns are added to the base spans.
 
-What a base pattern matched and its check refused (a card that fails Luhn, an address part over
-255) is never added, nor is anything that overlaps a base match.
+What a base pattern matched and its check refused (a card of 16 digits or more that fails Luhn, an
+address part over 255) is never added, nor is anything that overlaps a base match. Each match
+decides this for its own place only. Shorter digit runs are no cards to the base patterns: three
+groups with 12 to 15 digits are candidates for cards.
 
 Only DataFrame functions run. Offsets are code points, ends exclusive. Null text counts as
 empty; it and texts without identifiers have no spans. Repeated rows are handled one by one
@@ -43,6 +45,8 @@ SHAPES = {
     "phone": r"(?<![0-9+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])",
     "other": r"(?<![^\s])[^\s0-9]*+[0-9][^\s]*+",
 }
+#: Fewest digits of a card by the base patterns; a candidate has fewer (12 and up, as its shape says).
+CARD_DIGITS = 16
 _CONTEXT = 60
 
 
@@ -79,7 +83,7 @@ def _valid(kind: str, value: Column) -> Column:
             return total + F.when(i % 2 == 0, twice).otherwise(d)
 
         luhn = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), digit)
-        return F.when(n.between(16, 19), luhn % 10 == 0).otherwise(False)
+        return F.when(n.between(CARD_DIGITS, 19), luhn % 10 == 0).otherwise(False)
     return F.lit(True)
 
 
@@ -101,17 +105,17 @@ def _apart(spans: Column, others: Column) -> Column:
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Row id, id, base (all base matches, ``ok`` where the check holds) and more (candidates and other tokens)."""
+    """Row id, id, base (base matches, ``ok`` where the check holds) and more (candidates and other tokens)."""
     rows = with_row_id(id_text(docs, id_col, text_col)).withColumn("text", F.coalesce("text", F.lit("")))
     has_digit = F.rlike("text", F.lit("[0-9@]|[\\[(]at[\\])]"))
+    # matches refused keep their place, but for digits too few for a card: no card was refused there
+    digits = lambda x: F.char_length(F.regexp_replace(x["value"], "[^0-9]", ""))
+    base = F.filter(_spans(F.col("text"), BASE, NEEDED, True), lambda x: x["ok"] | (x["kind"] != "card") | (digits(x) >= CARD_DIGITS))
     # each array passes through a generator, so it is built once however often it is used below
-    based = rows.where(has_digit).select(ROW_ID, "id", "text", F.explode(F.array(_spans(F.col("text"), BASE, NEEDED, True))).alias("base"))
-    # matches refused or outgrown by the quick filters still claim their place
-    claimed = _spans(F.col("text"), {k: BASE[k] for k in ("ip", "card", "phone")}, {"ip": r"\.[0-9]++\.", "card": r"[0-9](?:[ -]?[0-9]){11}", "phone": r"\+[0-9]"}, False)
+    based = rows.where(has_digit).select(ROW_ID, "id", "text", F.explode(F.array(base)).alias("base"))
     shapes = {k: SHAPES[k] for k in SHAPES if k != "other"}
     at = {"email": r"@|[\[(]at[\])]", "ip": r":[0-9A-Fa-f]+:", "card": "[0-9]{4}[ -][0-9]{4}", "phone": "[0-9]{3}[ .-][0-9]{4}"}
-    seen = based.select(ROW_ID, "id", "text", "base", F.explode(F.array(F.filter(claimed, lambda x: F.char_length(x["value"]) > 7))).alias("claimed"))
-    near = seen.select(ROW_ID, "id", "text", "base", F.explode(F.array(_apart(_apart(_spans(F.col("text"), shapes, at, False), F.col("base")), F.col("claimed")))).alias("near"))
+    near = based.select(ROW_ID, "id", "text", "base", F.explode(F.array(_apart(_spans(F.col("text"), shapes, at, False), F.col("base")))).alias("near"))
     other = _apart(_apart(_spans(F.col("text"), {"other": SHAPES["other"]}, {"other": "[0-9]"}, False), F.col("base")), F.col("near"))
     found = near.select(ROW_ID, "id", "base", F.concat("near", other).alias("more"))
     none = rows.where(~has_digit).select(ROW_ID, "id", F.array().cast(_SPANS).alias("base"), F.array().cast(_SPANS).alias("more"))
@@ -127,8 +131,11 @@ def _patterns(left: Column, right: Column) -> Column:
                     lambda p: p.isNotNull())
 
 
-def bootstrap(spans: DataFrame, rounds: int = 3, min_support: int = 3, min_confidence: float = 0.8) -> DataFrame:
-    """(kind, pattern): accepted patterns of ``find_spans``' result."""
+def bootstrap(spans: DataFrame, rounds: int | None = None, min_support: int = 3, min_confidence: float = 0.8) -> DataFrame:
+    """(kind, pattern): accepted patterns of ``find_spans``' result, after ``rounds`` or as many as it takes.
+
+    Scores and confidences never fall from round to round, so they settle.
+    """
     seeds = spans.select(F.inline("base")).where("ok").withColumn("seed", F.lit(True))
     rest = spans.select(F.inline("more")).withColumn("seed", F.lit(False))
     edges = materialise(seeds.unionByName(rest).select("kind", "value", "seed", F.explode(_patterns(F.col("left"), F.col("right"))).alias("pattern"))
@@ -137,20 +144,25 @@ def bootstrap(spans: DataFrame, rounds: int = 3, min_support: int = 3, min_confi
     # only patterns that a seed induced can be accepted in the end, directly or through candidates they share
     useful = edges.where("kind <> 'other'")
     scores = useful.where("seed").select("kind", "value", F.lit(1.0).alias("score")).distinct()
-    accepted = None
-    for _ in range(rounds):
+    accepted, mark, done = None, None, 0
+    while rounds is None or done < rounds:
         held = useful.join(scores, ["kind", "value"])
         accepted = materialise(held.groupBy("kind", "pattern").agg(F.sum("score").alias("mass"), F.count("*").alias("support"))
                                .join(total, "pattern").withColumn("confidence", F.col("mass") / F.col("total"))
                                .where((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
                                .select("kind", "pattern", "confidence"), "pii-patterns")
+        done += 1
+        after = accepted.agg(F.count("*"), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        if mark is not None and after[0] == mark[0] and after[1] - mark[1] < 1e-6:
+            break
+        mark = after
         scores = materialise(useful.join(accepted, ["kind", "pattern"], "left").groupBy("kind", "value")
                              .agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("confidence"))).alias("score"))
                              .where("score is not null"), "pii-scores")
     return accepted.select("kind", "pattern")
 
 
-def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, min_support: int = 3,
+def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None, min_support: int = 3,
             min_confidence: float = 0.8) -> DataFrame:
     """Per row: id_col, base and added spans (arrays of kind, start, end, value), both in order of kind and start."""
     spans = materialise(find_spans(docs, id_col, text_col), "pii-spans")

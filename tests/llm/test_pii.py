@@ -53,6 +53,23 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert by[100].added[0]["start"] == 18 and by[103].base == [] and by[104].base == []
 
 
+def test_candidates_do_not_depend_on_the_rest_of_the_text(spark):
+    rows = [(k, f"please call me at +1 202 555 {1000 + k} after noon") for k in range(12)]
+    rows += [(20 + k, f"now charge card number {c} today") for k, c in enumerate(("4111 1111 1111 1111", "5105 1051 0510 5100", "4012 8888 8888 1881", "5555 5555 5555 4444"))]
+    rows += [(100, "please call me at (202) 555-0199 after noon, or else +44 20 7946 0958, 4111 1111 1111 1111"),
+             (101, "now charge card number 3782 822463 10005 today"), (102, "now charge card number 4111 1111 1111 1112 today")]
+    added = {(r.doc_id, x["kind"], x["value"]) for r in pii.extract(table(spark, rows)).collect() for x in r.added}
+    assert added == {(100, "phone", "(202) 555-0199"), (101, "card", "3782 822463 10005")}
+
+
+def test_rounds_go_on_until_patterns_settle(spark):
+    rows = [(k, f"p0 q0 +1 202 555 {1000 + k} z") for k in range(5)]
+    for step in range(6):  # each context is accepted through the candidates of the one before
+        rows += [(100 * (step + 1) + k, f"p{side} q{side} (20{step}) 555-{1000 + k} z") for k in range(5) for side in (step, step + 1)]
+    added = {x["value"] for r in pii.extract(table(spark, rows), min_confidence=0.3).collect() for x in r.added}
+    assert added == {f"(20{step}) 555-{1000 + k}" for step in range(6) for k in range(5)}
+
+
 def test_too_little_support_adds_nothing(spark):
     rows = [(1, "call me at +1 202 555 1000 now"), (2, "call me at (202) 555-0199 now")]
     assert all(r.added == [] for r in pii.extract(table(spark, rows)).collect())
