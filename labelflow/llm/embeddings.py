@@ -6,9 +6,11 @@ with the next few. Rounds of NN-descent follow: at every node, the nodes that li
 lists are compared with each other (neighbours of neighbours) and better neighbours enter lists.
 Pairs at the threshold or above are verified in double precision and kept.
 
-A list is saturated if all its entries reach the threshold: more neighbours may be waiting. The
-list of a saturated node, and of every node linked with one, is enlarged to its whole component,
-whose links are counted block by block, so that no block holds more than its share of a group.
+A list is saturated if all its entries reach the threshold: more neighbours may be waiting, also
+in other components. Components with a saturated node are compared with each other within their
+label and merged where any pair links. The list of each of their nodes is then enlarged to the
+whole component, whose links are counted block by block, so that no block holds more than its
+share of a group.
 An audit compares ``audit`` nodes, chosen by hash, with all rows and measures the share of true
 links found; below ``recall`` the descent goes on with twice the list length and trees, and the
 call raises if that doesn't help either.
@@ -196,6 +198,88 @@ def _count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
     return paired.groupBy("root", "i", "j").applyInPandas(count, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
 
 
+def _roots_in(pairs: np.ndarray, n: int) -> list[int]:
+    """The smallest position reachable from each of ``n`` positions over ``pairs``."""
+    root = list(range(n))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in pairs.tolist():
+        i, j = find(i), find(j)
+        root[max(i, j)] = min(i, j)
+    return [find(i) for i in range(n)]
+
+
+def _merged(members: DataFrame, threshold: float) -> DataFrame:
+    """(u, v): roots of components of ``members`` (root, node, label, dim, vec) that some pair at the threshold links.
+
+    Components are cut into pieces of about BLOCK members, each known by one member and the widest
+    angle to it. Pieces of a label are compared by blocks of these members: at the threshold they
+    link; where the angles leave it open, all members of both pieces are compared.
+    """
+    import pandas as pd
+
+    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    laid = materialise(members.join(sizes, "root").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                       .select("root", "mine", "node", "label", "dim", "vec"), "saturated-pieces")
+
+    def span(pdf):
+        x = np.frombuffer(b"".join(pdf["vec"]), "<f8").reshape(len(pdf), -1)
+        head = int(pdf["node"].to_numpy().argmin())
+        wide = float(np.arccos(np.clip(x @ x[head], -1.0, 1.0)).max())
+        return pdf.iloc[[head]][["root", "mine", "label", "dim", "vec"]].assign(wide=wide)
+
+    heads = materialise(laid.groupBy("root", "mine").applyInPandas(span, "root bigint, mine int, label string, dim int, vec binary, wide double"), "piece-heads")
+    per_label = heads.groupBy("label", "dim").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.countDistinct("root").alias("n")).where("n > 1").drop("n")
+    dealt = heads.join(per_label, ["label", "dim"]).withColumn("at", F.pmod(F.xxhash64("root", "mine"), F.col("blocks")).cast("int"))
+    paired = (dealt.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("label", "dim", F.least("at", "x").alias("i"), F.greatest("at", "x").alias("j"), "at", "root", "mine", "vec", "wide"))
+
+    def compare(pdf):
+        pdf = pdf.drop_duplicates(["root", "mine"]).reset_index(drop=True)
+        root, mine, wide = pdf["root"].to_numpy(), pdf["mine"].to_numpy(), pdf["wide"].to_numpy()
+        x = np.frombuffer(b"".join(pdf["vec"]), "<f8").reshape(len(pdf), -1)
+        sims = np.clip(x @ x.T, -1.0, 1.0)
+        apart = np.triu(root[:, None] != root[None, :], 1)
+        sure = np.argwhere(apart & (sims >= threshold))
+        group = np.array(_roots_in(np.concatenate([sure, _same(root)]), len(pdf)))
+        first = np.flatnonzero(group != np.arange(len(pdf)))
+        links = pd.DataFrame({"u": root[first], "v": root[group[first]], "p": 0, "q": 0, "sure": True})
+        links = links[links["u"] != links["v"]]
+        room = np.arccos(sims) <= np.arccos(threshold) + wide[:, None] + wide[None, :] + _TOLERANCE
+        i, j = np.nonzero(apart & room & (group[:, None] != group[None, :]))
+        maybe = pd.DataFrame({"u": root[i], "v": root[j], "p": mine[i], "q": mine[j], "sure": False})
+        return pd.concat([links, maybe], ignore_index=True)
+
+    found = materialise(paired.groupBy("label", "dim", "i", "j").applyInPandas(compare, "u bigint, v bigint, p int, q int, sure boolean"), "piece-pairs")
+    sure = found.where("sure").select("u", "v")
+    now = connected_components(sure)
+    at_u, at_v = now.toDF("u", "x"), now.toDF("v", "y")
+    open_ = (found.where("not sure").distinct().join(at_u, "u", "left").join(at_v, "v", "left")
+             .where(F.coalesce("x", "u") != F.coalesce("y", "v")).select("u", "p", "v", "q"))
+    ends = materialise(open_.withColumn("pair", F.monotonically_increasing_id()), "open-pairs")
+    both = (ends.select("pair", F.col("u").alias("root"), F.col("p").alias("mine")).union(ends.select("pair", "v", "q"))
+            .join(laid.select("root", "mine", "vec"), ["root", "mine"]))
+
+    def decide(pdf):
+        x, y = (np.frombuffer(b"".join(g["vec"]), "<f8").reshape(len(g), -1) for _, g in pdf.groupby("root"))
+        u, v = sorted(set(pdf["root"].tolist()))
+        return pd.DataFrame({"u": [u], "v": [v]}).iloc[: int(((x @ y.T) >= threshold).any())]
+
+    return sure.union(both.groupBy("pair").applyInPandas(decide, "u bigint, v bigint")).distinct()
+
+
+def _same(root: np.ndarray) -> np.ndarray:
+    """Pairs of positions that chain equal values of ``root``."""
+    order = np.argsort(root, kind="stable")
+    equal = root[order][1:] == root[order][:-1]
+    return np.stack([order[:-1][equal], order[1:][equal]], axis=1)
+
+
 def _audit(nodes: DataFrame, counts: DataFrame, threshold: float, audit: int) -> float:
     """Share of the true links of about ``audit`` nodes that ``counts`` (node, n) has; compares them with all rows."""
     total = nodes.count()
@@ -257,6 +341,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
             (F.col("c") >= k) & (F.col("least") >= threshold - _TOLERANCE)).select(F.col("a").alias("node"))
         crowded = materialise(roots.join(full, "node", "left_semi").select("root").distinct(), "saturated-components")
         inside = materialise(roots.join(crowded, "root", "left_semi"), "saturated-members")
+        over = connected_components(_merged(inside.join(nodes, "node").select("root", "node", "label", "dim", "vec"), threshold))
+        over = over.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        roots, inside = (materialise(r.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root")), name)
+                         for r, name in ((roots, "merged-roots"), (inside, "merged-members")))
         dense = _count_in_blocks(inside.join(nodes, "node").select("root", "node", "vec", "copies"), threshold)
         ends = edges.select(F.col("u").alias("node"), F.col("v").alias("other")).union(edges.select("v", "u"))
         sparse = (ends.join(inside.select("node"), "node", "left_anti")

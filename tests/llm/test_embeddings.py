@@ -84,3 +84,13 @@ def test_query(spark):
     data = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = QUERIES["op6_embedding_dedup"](spark, sf).collect()
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(data)
+
+
+def test_links_between_saturated_families(spark):
+    rng = np.random.default_rng(11)
+    hub = rng.standard_normal(24)
+    out = [(i, near(rng, hub, 0.04), 0) for i in range(160)]  # most of the links, so that a sum hides the others
+    a, b = np.linalg.qr(rng.standard_normal((24, 2)))[0].T
+    for side, v in enumerate((a, 0.945 * a + np.sqrt(1 - 0.945**2) * b)):
+        out += [(1000 + 100 * side + i, near(rng, v, 0.004), 1) for i in range(12)]
+    assert run(spark, out) == brute(out)
