@@ -4,8 +4,10 @@ Texts up to ``chunk_chars`` are one chunk and are encoded where they are read. A
 text is cut into chunks that overlap; chunks are pre-tokenised independently, neighbours
 are stitched at the first pre-token boundary both of them saw in their overlap, and the
 stitched spans are encoded. Pre-tokenising is a left-to-right scan without memory, so two
-scans that share a boundary agree from there on. A text with a seam that has no shared
-boundary (a single run longer than the overlap) is encoded whole.
+scans that share a boundary agree from there on. No seam follows white space, whose pre-token
+depends on the next character, or lies in the last ``LOOKAHEAD`` characters of a chunk, where a
+pre-token may be cut short. A text with a seam that has no shared boundary (a single run longer
+than the overlap) is encoded whole.
 
 Null text counts as empty: no ids. Repeated rows give repeated rows. An empty table gives
 an empty result. Only the id and text columns are read; other columns are ignored.
@@ -27,6 +29,7 @@ from labelflow.llm.common import field, file_bytes, id_text, materialise, parts
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
+LOOKAHEAD = 4
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -57,6 +60,13 @@ def _pretokens(pattern: str):
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+@lru_cache(maxsize=1)
+def _white():
+    import regex
+
+    return regex.compile(r"\p{White_Space}")
+
+
 def _ids(encoding, text: str) -> bytes:
     return np.asarray(encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
@@ -96,13 +106,13 @@ def _encode_long(rows: DataFrame, ranks, pattern: str, size: int, overlap: int)
               .repartition("key", "k"))
 
     def pretokenise(batches):
-        pat = _pretokens(pattern)
+        pat, white = _pretokens(pattern), _white()
         for key, k, piece in parts(batches, 16):
             heads, tails = [], []
             for n, text in zip(k, piece, strict=True):
                 starts = np.fromiter((m.start() for m in pat.finditer(text)), dtype=np.int64)
                 heads.append((starts[starts <= overlap] + n * size).tolist())
-                tails.append((starts[starts >= size] + n * size).tolist())
+                tails.append([s + n * size for s in starts[(starts >= size) & (starts <= len(text) - LOOKAHEAD)].tolist() if not white.match(text, s - 1)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key, pa.string()), pa.array(k, pa.int32()), pa.array(piece, pa.string()),
                  pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))],

@@ -36,6 +36,12 @@ def test_runs_longer_than_the_overlap_and_white_space(spark, library):
     assert Counter((r.doc_id, bytes(r.ids)) for r in out) == Counter((i, b) for i, b, _ in expected(library, rows).elements())
 
 
+def test_cuts_at_every_offset_around_blank_lines_and_tabs(spark, library):
+    rows = [(100 * n + k, "x" * k + f"foo{gap}bar\t\tend  of{gap}'re 12 {gap}" * 6) for n, gap in enumerate(("\n\n", "\t\t", " \n\n ", "\u3000\n")) for k in range(24)]
+    out = bpe.encode(table(spark, rows), RANKS, public_tokenizers.PATTERN, chunk_chars=24, overlap_chars=12).collect()
+    assert Counter((r.doc_id, bytes(r.ids)) for r in out) == Counter((i, b) for i, b, _ in expected(library, rows).elements())
+
+
 def test_empty_table(no_docs):
     assert bpe.decode(bpe.encode(no_docs, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
 
