@@ -6,7 +6,9 @@ apart best (by chi-square) are kept; each is scaled by the log ratio of its smoo
 in the two classes, and Spark ML's logistic regression is fitted on the scaled features.
 
 Training reads a sample of about ``docs_per_class`` labelled rows of each class, chosen by a
-hash of the id; that and the number of features are the only bounds. Every whole text is scored.
+hash of the id; that and the number of features are the only bounds. A sampled row stands for as
+many labelled rows of its class as were there for each one chosen, in the choice of features and in
+the fit, so scores follow the classes' shares in all labelled rows. Every whole text is scored.
 
 A null or empty text has no features and scores the intercept. Rows of ``labels`` with a null
 label are ignored; a document labelled twice is toxic if either says so. With only one class,
@@ -99,6 +101,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = materialise(labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"))
                         .where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label")), "toxicity-labels")
     chosen = materialise(sample_per_group(marks, "label", F.col("id").cast("string"), docs_per_class), "toxicity-sample")
+    there, taken = ({r[0]: r[1] for r in x.groupBy("label").count().collect()} for x in (marks, chosen))
+    weight = {label: there[label] / n for label, n in taken.items()}
     rows = id_text(docs, id_col, text_col).join(chosen, "id").select("label", "text")
 
     def extract(batches):
@@ -114,7 +118,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(none, np.empty(0), 30.0 if 1 in n else -30.0)
     n1, n0 = n[1], n[0]
     t, c = F.col("toxic"), F.col("clean")
-    apart = (t * F.lit(n0) - c * F.lit(n1)) ** 2 / ((t + c) * (n1 + n0 - t - c + 1))  # chi-square but for a constant
+    all1, all0 = n1 * weight[1], n0 * weight[0]
+    wt, wc = t * weight[1], c * weight[0]
+    apart = (wt * F.lit(all0) - wc * F.lit(all1)) ** 2 / ((wt + wc) * (all1 + all0 - wt - wc + 1))  # chi-square but for a constant
     best = (found.select(F.explode("grams").alias("gram"), "label").groupBy("gram")
             .agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
             .where(t + c >= min_docs).orderBy(F.desc(apart), "gram").limit(n_features).toArrow())
@@ -122,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     hashes, toxic, clean = (best.column(x).to_numpy()[order] for x in ("gram", "toxic", "clean"))
     ratio = log_count_ratios(toxic, clean, n1, n0)
     if not len(hashes):
-        return Model(none, np.empty(0), float(np.log(n1 / n0)))
+        return Model(none, np.empty(0), float(np.log(all1 / all0)))
     shared = spark.sparkContext.broadcast((hashes, ratio))
 
     # the stored form of an ML vector, read back as one
@@ -134,12 +140,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for label, grams in parts(batches):
             at = [_known(known, np.array(g, dtype=np.int64)) for g in grams]
             out = [{"type": 0, "size": len(known), "indices": a.astype(np.int32), "values": r[a]} for a in at]
-            yield pa.RecordBatch.from_arrays([pa.array(label, pa.float64()), pa.array(out, stored)], ["label", "features"])
+            yield pa.RecordBatch.from_arrays([pa.array(label, pa.float64()), pa.array(out, stored)], ["label", "features"]).append_column(
+                "weight", pa.array([weight[x] for x in label], pa.float64()))
 
     path = scratch_dir(spark, "toxicity-vectors")
-    found.mapInArrow(scale, f"label double, features {vector}").write.parquet(path)
-    schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
-    fit = LogisticRegression(regParam=regularisation, maxIter=iterations, standardization=False).fit(spark.read.schema(schema).parquet(path))
+    found.mapInArrow(scale, f"label double, features {vector}, weight double").write.parquet(path)
+    schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT()), T.StructField("weight", T.DoubleType())])
+    fit = LogisticRegression(regParam=regularisation, maxIter=iterations, standardization=False, weightCol="weight").fit(spark.read.schema(schema).parquet(path))
     return Model(hashes, fit.coefficients.toArray() * ratio, float(fit.intercept))
 
 

@@ -45,6 +45,16 @@ def test_scores_are_the_linear_model_over_distinct_ngrams(spark, trained):
         assert got == pytest.approx(1 / (1 + np.exp(-(sum(weight.get(f, 0.0) for f in found) + model.intercept))))
 
 
+def test_scores_keep_the_share_of_the_classes_when_the_sample_is_bounded(spark):
+    rng = np.random.default_rng(3)
+    labels = [(k, int(rng.random() < 0.1)) for k in range(900)]
+    texts = [(k, " ".join(rng.choice(["red", "green", "blue", "grey"], 6)) + (" idiot" if toxic and k % 2 else "")) for k, toxic in labels]
+    docs, marks = table(spark, texts), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    whole, bounded = ({r.doc_id: r.score for r in X.score(docs, X.train(docs, marks, docs_per_class=n, regularisation=0.01)).collect()} for n in (1000, 150))
+    assert abs(np.mean(list(whole.values())) - 0.1) < 0.03
+    assert abs(np.mean(list(bounded.values())) - np.mean(list(whole.values()))) < 0.03
+
+
 def test_log_count_ratios():
     r = X.log_count_ratios(np.array([8.0, 0.0, 1.0]), np.array([0.0, 8.0, 1.0]), 10, 10)
     assert r[0] > 0 > r[1] and r[2] == 0
