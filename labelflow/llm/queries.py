@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, embeddings, html_text, langid, line_dedup, pii, simhash, token_files, toxicity
+from labelflow.llm import bpe, decontaminate, embeddings, html_text, langid, line_dedup, periodic_runs, pii, simhash, token_files, toxicity
 from labelflow.llm.common import ROW_ID, held_out, ship_package
 from labelflow.session import scratch_dir
 
@@ -105,6 +105,26 @@ def op9_html_text(spark, sf_dir):
     return html_text.extract(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``documents`` as op13 takes them: in every tenth text by crc32(doc_id) a period is planted from word a on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size(words).cast("long"), F.floor(h / 10).cast("long")
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    planted = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@_register
+def op13_periodic_runs(spark, sf_dir):
+    out = periodic_runs.find(with_planted_periods(_read(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                      F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                      F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 # Twins that need no approximation: all 10-word windows of the items, and all pairs of a label.
 ORACLE["op8_decontaminate"] = r"""
 WITH lower_d AS (
