@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, embeddings, html_text, langid, line_dedup, periodic_runs, pii, simhash, token_files, toxicity
+from labelflow.llm import bpe, decontaminate, embeddings, html_text, langid, line_dedup, periodic_runs, pii, simhash, suffix_dedup, token_files, toxicity
 from labelflow.llm.common import ROW_ID, held_out, ship_package
 from labelflow.session import scratch_dir
 
@@ -105,6 +105,17 @@ def op9_html_text(spark, sf_dir):
     return html_text.extract(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@_register
+def op12_suffix_dedup(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = docs.select("doc_id", *suffix_dedup.text_key(text), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("own"))
+    cut = suffix_dedup.removed(docs).select("k1", "k2", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    zero = F.lit(0).cast("long")
+    return rows.join(cut, ["k1", "k2"], "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
+                                                       F.coalesce("kept_sha256", "own").alias("kept_sha256"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``documents`` as op13 takes them: in every tenth text by crc32(doc_id) a period is planted from word a on."""
     h = F.crc32(F.col("doc_id").cast("string"))
