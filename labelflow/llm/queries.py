@@ -119,12 +119,19 @@ def op12_suffix_dedup(spark, sf_dir):
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``documents`` as op13 takes them: in every tenth text by crc32(doc_id) a period is planted from word a on."""
     h = F.crc32(F.col("doc_id").cast("string"))
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n, g = F.size(words).cast("long"), F.floor(h / 10).cast("long")
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
-    planted = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
-    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(words):
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        return F.concat(F.slice(words, F.lit(1), a.cast("int")),
+                        F.slice(F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int")))
+
+    # a lambda's argument is evaluated once a row, however often it is named
+    words = F.array(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    text = F.transform(words, lambda w: F.when(F.size(w) > 0, F.array_join(planted(w), " ")).otherwise(F.col("text")))[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, text).otherwise(F.col("text")).alias("text"))
 
 
 @_register
