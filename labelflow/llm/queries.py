@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelflow.llm import bpe, decontaminate, embeddings, html_text, langid, line_dedup, periodic_runs, pii, simhash, suffix_dedup, token_files, toxicity
+from labelflow.llm import bpe, collocations, decontaminate, embeddings, html_text, langid, line_dedup, periodic_runs, pii, simhash, suffix_dedup, token_files, toxicity
 from labelflow.llm.common import ROW_ID, held_out, ship_package
 from labelflow.session import scratch_dir
 
@@ -105,6 +105,11 @@ def op9_html_text(spark, sf_dir):
     return html_text.extract(_read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@_register
+def op11_collocations(spark, sf_dir):
+    return collocations.top(collocations.mine(_read(spark, sf_dir, "documents")), 2000)
+
+
 @_register
 def op12_suffix_dedup(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents")
@@ -186,3 +191,29 @@ reach AS (SELECT vec_id AS u, vec_id AS r FROM v UNION SELECT l.w, reach.r FROM
 root AS (SELECT u, min(r) AS r FROM reach GROUP BY u)
 SELECT v.vec_id, (SELECT count(*) FROM link WHERE u = v.vec_id) AS n_links, root.r AS component_id, v.vec_id = root.r AS kept
 FROM v JOIN root ON root.u = v.vec_id"""
+
+# All n-grams of up to three words, their cuts and what contains them.
+ORACLE["op11_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents
+),
+gram AS (
+  SELECT lang, size, w[k : k + size - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM piece, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)
+  GROUP BY ALL
+),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, g, f FROM gram WHERE size > 1 AND f >= 10),
+cut AS (SELECT lang, size, g, f, k, g[1 : k] AS lp, g[k + 1 :] AS rp FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)),
+scored AS (
+  SELECT cut.lang, cut.g, cut.f AS a, l.f AS l, r.f AS r, cut.k, CAST((1000000::HUGEINT * cut.f * cut.f) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cut JOIN gram l ON l.lang = cut.lang AND l.g = cut.lp JOIN gram r ON r.lang = cut.lang AND r.g = cut.rp
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+longer AS (SELECT lang, g, max(f) AS f FROM (
+  SELECT lang, g[1 : 2] AS g, f FROM cand WHERE size = 3 UNION ALL SELECT lang, g[2 : 3], f FROM cand WHERE size = 3) GROUP BY ALL),
+stays AS (SELECT w.* FROM weakest w LEFT JOIN longer x ON x.lang = w.lang AND x.g = w.g WHERE x.f IS NULL OR 100 * x.f < 50 * w.a),
+ranked AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score,
+  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM stays)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
