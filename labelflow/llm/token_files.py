@@ -35,15 +35,21 @@ from labelflow.llm.common import file_bytes, id_text, materialise, parts
 SEQUENCE = 2048
 BATCH_SEQUENCES = 128
 _CACHE = 300_000
-#: Of a line: letters of Latin-1, then ASCII punctuation but the apostrophe, which can start a contraction.
-_LATIN_WORD = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$", re.M)
+#: The splitting of words that ``WordEncoder`` knows, as the tokenizer file states it.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of these characters fold case and split alike in Python and in the tokenizers library.
+_PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
+#: ``_SPLIT`` for such texts, lower-cased.
+_PLAIN_WORD = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
 
 
 class WordEncoder:
-    """Ids of a text by its space-delimited pieces, which the vocabulary's white-space splitting keeps apart.
+    """Ids of a text by its pre-tokens, as ``tokenizers`` gives them without special tokens.
 
-    Only spaces and line feeds separate here; everything else is left to the tokenizers library.
-    A bounded number of pieces is remembered.
+    Texts of ASCII and Latin letters are split here, if the tokenizer folds case, splits as ``_SPLIT`` says
+    and marks the ends of words; others at spaces and line feeds, which every pre-token ends at, and the library
+    does the rest. A text that holds an added token as it is written goes to the library whole. A bounded
+    number of words is remembered.
     """
 
     def __init__(self, spec: bytes):
@@ -54,19 +60,32 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        suffix = json.loads(spec)["model"].get("end_of_word_suffix")
+        told = json.loads(spec)
+        self.added = [t["content"].lower() for t in told.get("added_tokens") or ()]
+        suffix = told["model"].get("end_of_word_suffix")
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        # words may be joined and case-folded if the tokenizer marks their ends and folds case itself
-        self.folds = bool(suffix) and self.tokenizer.encode("AbÉ", add_special_tokens=False).ids == self.tokenizer.encode("abé", add_special_tokens=False).ids
+        split = ((told.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        folds = [x.get("type") for x in (told.get("normalizer") or {}).get("normalizers") or ()] == ["NFC", "Replace", "Lowercase"]
+        self.plain = bool(suffix) and folds and split.get("pattern") == {"Regex": _SPLIT} and split.get("invert") is True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _words(self, text: str | None) -> list[str]:
+        """Parts of a text that are encoded separately."""
+        if not text:
+            return []
+        low = text.lower()
+        if any(t in low for t in self.added):
+            return [text]
+        if self.plain and _PLAIN.fullmatch(text):
+            return _PLAIN_WORD.findall(low)
+        return text.replace("\n", " ").split(" ")
+
     def _encode_words(self, words: list[str]) -> None:
         """Learns words that are one pre-token each, many to a call; their last tokens tell them apart."""
         for at in range(0, len(words), 1024):
@@ -84,21 +103,15 @@ class WordEncoder:
             self.young[w] = np.asarray(e.ids, dtype=self.dtype).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remembers the ids of new pieces. A Latin word followed by punctuation is two pre-tokens whose ids are joined."""
-        if not pieces:
-            return
-        if not self.folds:
+        if not self.plain:
             self._encode_one_by_one(pieces)
             return
-        found = [(p, w.lower(), mark) for p, (w, mark) in zip(pieces, _LATIN_WORD.findall("\n".join(pieces)), strict=True)]
-        known = self.young
-        needed = {w for _, w, _ in found}.union([mark for _, _, mark in found]).difference(known, [""])
-        self._encode_words(list(needed))
-        known.update([(p, known[w] + known[mark] if mark else known[w]) for p, w, mark in found if w])
-        self._encode_one_by_one([p for p, w, _ in found if not w])
+        whole = [bool(_PLAIN_WORD.fullmatch(p)) for p in pieces]
+        self._encode_words([p for p, one in zip(pieces, whole) if one])
+        self._encode_one_by_one([p for p, one in zip(pieces, whole) if not one])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        pieces = [self._words(t) for t in texts]
         wanted = set().union(*pieces)
         missing = wanted.difference(self.young)
         if len(self.young) + len(missing) > _CACHE:

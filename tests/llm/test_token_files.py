@@ -14,9 +14,7 @@ SPEC = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(SPEC)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(SPEC)
 
 
 def ids_of(library, text):
@@ -60,7 +58,7 @@ def test_documents_longer_than_a_batch(spark, library, tmp_path):
 def test_word_lookup_is_the_library(library):
     with open(SPEC, "rb") as f:
         enc = T.WordEncoder(f.read())
-    texts = ["O'Brien's can't 'll", "ÀÉ's, ok!? naïve...end", "ﬁne ǅ İI ſ K Å", "a b\tc\x1cd\x85e\r\nf", "été", "<|endoftext|> hi<|startoftext|>", "ß. ẞ, µm ª, ½ x² ١٢",
+    texts = ["O'Brien's can't 'll", "ÀÉ's, ok!? naïve...end", "ﬁne ǅ İI ſ K Å", "a b\tc\x1cd\x85e\r\nf", "été", "<|endoftext|> hi<|startoftext|>", "hello <|endoftext|> world", "A <|EndOfText|>", "x<|endoftext|", "don't 'S .\"'s 'tis 'll'll x'", "a\x0bb\x1cc\td\x7fe", "×÷ÀÿÞ ß Schß", "ß. ẞ, µm ª, ½ x² ١٢",
              "日本語 \U0001f600!! a​b", "", "   \n\n ", "Word. word, WORD; (word) word's word'S 'word' a.b,c", "12abc a1 1,000.50 ***&&& $$$"]
     for _ in range(2):
         assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
