@@ -398,11 +398,12 @@ def removed(docs: DataFrame, text_col: str = "text") -> DataFrame:
     copies = materialise(texts.groupBy(*_KEY).agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("bytes")).where("n > 1"), "suffix-copies")
 
     found = texts.select(*_KEY, "text").mapInArrow(_anchor_rows, _ANCHOR)
-    again = found.groupBy("h").count().where("count > 1").select("h")
+    # written first: Spark splits a hot gram's rows in a join of two plain shuffles, but not next to an aggregate
+    again = materialise(found.groupBy("h").count().where("count > 1").select("h"), "suffix-again")
     found = materialise(found.join(again.hint("merge"), "h"), "suffix-anchors")
 
     classes = materialise(found.groupBy(*_CLASS).agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("first")), "suffix-classes")
-    grams = classes.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
+    grams = materialise(classes.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "suffix-grams")
     asked = classes.join(grams.hint("merge"), "h").groupBy("first.k1", "first.k2").agg(F.collect_list(F.struct(*_CLASS, F.col("first.at").alias("at"))).alias("asked"))
     distinct = texts.dropDuplicates(_KEY)
     contexts = (distinct.join(asked.hint("merge"), _KEY).select("text", "asked")
