@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-A feature is a character n-gram of a lower-cased word with its boundaries, present or not,
-known by a 64-bit hash. The ``n_features`` n-grams whose document frequencies tell the classes
-apart best (by chi-square) are kept; each is scaled by the log ratio of its smoothed frequencies
+A feature is a character n-gram of a lower-cased word with its boundaries, present or not; in
+training it is known by a 64-bit hash. N-grams whose document frequencies differ between the classes beyond chance
+(chi-square of at least ``SIGNIFICANT``) are features; should more pass than ``n_features``, a bound on
+the size of the model, those that tell the classes apart best. Each is scaled by the log ratio of its smoothed frequencies
 in the two classes, and Spark ML's logistic regression is fitted on the scaled features.
 
 Training reads a sample of about ``docs_per_class`` labelled rows of each class, chosen by a
@@ -34,50 +35,76 @@ from labelflow.session import scratch_dir
 
 SIZES = (3, 4, 5)
 _WORDS = re.compile(r"\w+")
-_CACHE = 100_000
+_CACHE = 200_000
+#: A feature's chi-square is at least this: 0.1 % of features that tell nothing pass.
+SIGNIFICANT = 10.83
+
+
+def grams(word: str) -> set[str]:
+    """A word's distinct character n-grams."""
+    padded = f" {word} "
+    return {padded[i:i + n] for n in SIZES for i in range(len(padded) - n + 1)}
 
 
 def gram_hashes(word: str) -> np.ndarray:
     """Hashes of a word's distinct character n-grams, ascending."""
+    found = grams(word)
+    return np.sort(np.fromiter(map(gram_hash, found), dtype=np.uint64, count=len(found)).view(np.int64))
+
+
+def gram_hash(gram: str) -> int:
     import xxhash
 
-    padded = f" {word} "
-    found = {xxhash.xxh64_intdigest(padded[i:i + n].encode("utf-8", "surrogatepass"), 1) for n in SIZES for i in range(len(padded) - n + 1)}
-    return np.sort(np.fromiter(found, dtype=np.uint64, count=len(found)).view(np.int64))
+    return xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"), 1)
 
 
 class _Remembered(dict):
-    """Word to ``make(word)``, remembered for a bounded number of words."""
+    """Word to ``make(word)``; when full, words that weren't used since the last time are forgotten."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, word: str) -> np.ndarray:
         if len(self) >= _CACHE:
+            self.old = dict(self)
             self.clear()
-        out = self[word] = self.make(word)
+        out = self.old.get(word)
+        out = self[word] = self.make(word) if out is None else out
         return out
 
 
+def _words(text: str | None) -> set[str]:
+    return set(_WORDS.findall(text.lower())) if text else set()
+
+
 def distinct_over_words(text: str | None, of_word: _Remembered) -> np.ndarray:
     """Distinct values over the words of a text, ascending."""
-    words = set(_WORDS.findall(text.lower())) if text else ()
-    arrays = [a for w in words if len(a := of_word[w])]
+    arrays = [a for w in _words(text) if len(a := of_word[w])]
     return np.unique(np.concatenate(arrays)) if arrays else np.empty(0, dtype=np.int64)
 
 
 class Model:
-    """Sorted n-gram hashes, their weights and an intercept."""
+    """Sorted n-gram hashes, their weights and an intercept; and the n-grams themselves with their places."""
 
-    def __init__(self, hashes: np.ndarray, weights: np.ndarray, intercept: float):
-        self.hashes, self.weights, self.intercept = hashes, weights, intercept
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray, intercept: float, places: dict[str, int] | None = None):
+        self.hashes, self.weights, self.intercept, self.places = hashes, weights, intercept, places or {}
 
     def positions(self, word: str) -> np.ndarray:
-        return _known(self.hashes, gram_hashes(word))
+        place = self.places.get
+        found = [k for g in grams(word) if (k := place(g)) is not None]
+        return np.array(found, dtype=np.int32)
 
     def scores(self, texts: list[str | None], of_word: _Remembered) -> np.ndarray:
-        z = np.array([self.weights[distinct_over_words(t, of_word)].sum() + self.intercept for t in texts])
+        z = np.full(len(texts), self.intercept)
+        mark = np.zeros(len(self.weights))
+        for i, text in enumerate(texts):
+            arrays = [of_word[w] for w in _words(text)]
+            if arrays:
+                there = np.concatenate(arrays)
+                mark[there] = 1.0
+                z[i] += mark @ self.weights
+                mark[there] = 0.0
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -95,7 +122,7 @@ def log_count_ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          docs_per_class: int = 3000, n_features: int = 1 << 15, min_docs: int = 3, regularisation: float = 1e-5, iterations: int = 60) -> Model:
+          docs_per_class: int = 3000, n_features: int = 1 << 15, min_docs: int = 3, regularisation: float = 1e-4, iterations: int = 60) -> Model:
     """Learns from the documents in ``labels``, which holds only rows that may be learned from."""
     spark = docs.sparkSession
     marks = materialise(labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"))
@@ -121,9 +148,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     all1, all0 = n1 * weight[1], n0 * weight[0]
     wt, wc = t * weight[1], c * weight[0]
     apart = (wt * F.lit(all0) - wc * F.lit(all1)) ** 2 / ((wt + wc) * (all1 + all0 - wt - wc + 1))  # chi-square but for a constant
+    all_ = n1 + n0
+    significant = (t * n0 - c * n1) ** 2 * all_ >= SIGNIFICANT * (t + c) * (all_ - t - c) * n1 * n0
     best = (found.select(F.explode("grams").alias("gram"), "label").groupBy("gram")
             .agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
-            .where(t + c >= min_docs).orderBy(F.desc(apart), "gram").limit(n_features).toArrow())
+            .where((t + c >= min_docs) & significant).orderBy(F.desc(apart), "gram").limit(n_features).toArrow())
     order = np.argsort(best.column("gram").to_numpy())
     hashes, toxic, clean = (best.column(x).to_numpy()[order] for x in ("gram", "toxic", "clean"))
     ratio = log_count_ratios(toxic, clean, n1, n0)
@@ -147,7 +176,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found.mapInArrow(scale, f"label double, features {vector}, weight double").write.parquet(path)
     schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT()), T.StructField("weight", T.DoubleType())])
     fit = LogisticRegression(regParam=regularisation, maxIter=iterations, standardization=False, weightCol="weight").fit(spark.read.schema(schema).parquet(path))
-    return Model(hashes, fit.coefficients.toArray() * ratio, float(fit.intercept))
+
+    def spell(batches):
+        known = set(shared.value[0].tolist())
+        seen = set()
+        for (texts,) in parts(batches):
+            new = {w for t in texts for w in _words(t)} - seen
+            seen = (seen | new) if len(seen) < _CACHE else new
+            named = {g: np.uint64(gram_hash(g)).astype(np.int64).item() for w in new for g in grams(w)}
+            kept = [(g, h) for g, h in named.items() if h in known]
+            yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in kept], pa.string()), pa.array([h for _, h in kept], pa.int64())], ["gram", "hash"])
+
+    # of equal hashes, should there be any, one n-gram: at most as many rows as features
+    spelled = rows.select("text").mapInArrow(spell, "gram string, hash bigint").groupBy("hash").agg(F.min("gram").alias("gram")).toArrow()
+    places = dict(zip(spelled.column("gram").to_pylist(), np.searchsorted(hashes, spelled.column("hash").to_numpy()).tolist(), strict=True))
+    return Model(hashes, fit.coefficients.toArray() * ratio, float(fit.intercept), places)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
