@@ -2,8 +2,8 @@
 
 An automaton is deterministic and minimal: states with the same weight and the same arcs are one.
 A word sequence that leads to a state of weight w > 0 has count w. Sorted n-grams are added one prefix after
-another: once the input has passed a prefix, its state can't change any more, and is looked up among
-the states made so far. Words are numbered in byte order, so n-grams in order are integers in order.
+another, longer prefixes first: once all that continues a prefix has been seen, its state can't change any more,
+and is looked up among the states made so far. Words are numbered in byte order, so n-grams in order are integers in order.
 """
 
 from __future__ import annotations
@@ -76,45 +76,41 @@ class Automaton:
         own = [words[i - 1] for i in used.tolist()]
         a, b, c = number[a], number[b], number[c]
 
-        register: dict[tuple, int] = {}
-        state_weight: list[int] = []
-        spans: list[tuple[np.ndarray, np.ndarray]] = []  # arcs of each state
-
-        def state(weight: int, labels: np.ndarray, targets: np.ndarray) -> int:
-            key = (weight, labels.tobytes(), targets.tobytes())
-            found = register.get(key)
-            if found is None:
-                found = register[key] = len(state_weight)
-                state_weight.append(weight)
-                spans.append((labels, targets))
-            return found
-
-        none = np.zeros(0, np.uint32)
+        register: dict[tuple[int, bytes], int] = {}
+        arcs: list[bytes] = []  # of each state: word number and target, four bytes each
+
+        def states(own: np.ndarray, low: np.ndarray, high: np.ndarray, label: np.ndarray, target: np.ndarray) -> np.ndarray:
+            """The states of prefixes in order, each with its own weight and the arcs low..high."""
+            raw = np.stack((label, target), 1).astype(np.uint32).tobytes()
+            made = []
+            for w, i, j in zip(own.tolist(), (8 * low).tolist(), (8 * high).tolist()):
+                key = (w, raw[i:j])
+                found = register.get(key)
+                if found is None:
+                    found = register[key] = len(arcs)
+                    arcs.append(key[1])
+                made.append(found)
+            return np.asarray(made, np.int64)
+
+        none = np.zeros(0, np.int64)
         full, pair = c > 0, b > 0
         # n-grams of full length end in states without arcs, one for each weight
         values, leaf = np.unique(weights[full], return_inverse=True)
-        leaves = np.asarray([state(int(w), none, none) for w in values.tolist()], np.uint32)
-        label3, target3 = c[full].astype(np.uint32), leaves[leaf] if len(values) else none
+        nil = np.zeros(len(values), np.int64)
+        leaves = states(values, nil, nil, none, none)
 
         ab = (a << bits) | b
         heads2, heads1 = np.unique(ab[pair]), np.unique(a)
-        weight2, weight1 = np.zeros(len(heads2), np.int64), np.zeros(len(heads1), np.int64)
-        weight2[np.searchsorted(heads2, ab[pair & ~full])] = weights[pair & ~full]
-        weight1[np.searchsorted(heads1, a[~pair])] = weights[~pair]
-        low3, high3 = (np.searchsorted(ab[full], heads2, side).tolist() for side in ("left", "right"))
-        high2 = np.searchsorted(heads2 >> bits, heads1, "right").tolist()
-        label2 = (heads2 & ((1 << bits) - 1)).astype(np.uint32)
-        made2, made1, weight2, at = np.zeros(len(heads2), np.uint32), np.zeros(len(heads1), np.uint32), weight2.tolist(), 0
-        for k, w in enumerate(weight1.tolist()):
-            begin, end = at, high2[k]
-            for at in range(begin, end):
-                made2[at] = state(weight2[at], label3[low3[at] : high3[at]], target3[low3[at] : high3[at]])
-            made1[k] = state(w, label2[begin:end], made2[begin:end])
-            at = end
-        state_weight.append(0)
-        spans.append((heads1.astype(np.uint32), made1))
-        return cls(own, np.asarray(state_weight, np.int64), np.asarray([len(x) for x, _ in spans], np.int64),
-                   np.concatenate([x for x, _ in spans]).astype(np.int64), np.concatenate([x for _, x in spans]).astype(np.int64))
+        own2, own1 = np.zeros(len(heads2), np.int64), np.zeros(len(heads1), np.int64)
+        own2[np.searchsorted(heads2, ab[pair & ~full])] = weights[pair & ~full]
+        own1[np.searchsorted(heads1, a[~pair])] = weights[~pair]
+        made2 = states(own2, np.searchsorted(ab[full], heads2, "left"), np.searchsorted(ab[full], heads2, "right"), c[full], leaves[leaf] if len(values) else none)
+        firsts = heads2 >> bits
+        made1 = states(own1, np.searchsorted(firsts, heads1, "left"), np.searchsorted(firsts, heads1, "right"), heads2 & ((1 << bits) - 1), made2)
+        weight = np.fromiter((w for w, _ in register), np.int64, len(register))
+        arcs.append(np.stack((heads1, made1), 1).astype(np.uint32).tobytes())
+        every = np.frombuffer(b"".join(arcs), np.uint32).reshape(-1, 2).astype(np.int64)
+        return cls(own, np.append(weight, 0), np.fromiter(map(len, arcs), np.int64, len(arcs)) // 8, every[:, 0], every[:, 1])
 
     @cached_property
     def numbers(self) -> dict[bytes, int]:
