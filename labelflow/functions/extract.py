@@ -8,30 +8,23 @@ scan's stage. The vocabulary is a model parameter; callers obtain it with
 ``extract_label_join``, which gives the same labels.
 
 The whole-word stage is rewritten from "one regex per label, longest first" to
-"split the text into maximal word runs, look each up, keep the longest label
-(ties alphabetical)": for labels made only of word characters a whole-word hit
-is exactly a label equal to one of the text's word runs. Labels with other
-characters keep a per-label boundary regex.
+"cut the text into runs, look up the windows that start like a label, keep the
+longest label (ties alphabetical)", see ``labelflow.functions.phrases``.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from labelflow.functions import phrases
 from labelflow.functions.text import _c, first_line, match_normalize, py_strip, strip_chars
 
 STRATEGIES = ("first_line", "canonical", "strict", "cascade_plain", "cascade")
 # The chunk separators of the cascade strategies (newline, comma, semicolon, colon).
 CHUNK_SPLIT = r"[\n,;:]+"
-# Word characters as Python's re has them: letters, numbers of any kind and the underscore.
-WORD = r"\p{L}\p{N}_"
-NON_WORD = rf"[^{WORD}]+"
-_WORD_ONLY = re.compile(r"\w+")
-_WORD_START = re.compile(r"\w")
 
 
 class _Resolver:
@@ -50,10 +43,13 @@ class _Resolver:
         for k, v in pairs:
             seen.setdefault(k, v)
         self.same = [k for k, v in seen.items() if k == v]
-        other = {k: v for k, v in seen.items() if k != v}
+        self.other = other = {k: v for k, v in seen.items() if k != v}
         self.map = (F.map_from_arrays(F.lit(list(other.keys())), F.lit(list(other.values())))
                     if other else None)
 
+    def keys(self) -> list[str]:
+        return [*self.same, *self.other]
+
     def get(self, key: Column) -> Column:
         parts = []
         if self.same:
@@ -64,19 +60,6 @@ class _Resolver:
             return F.lit(None).cast("string")
         return parts[0] if len(parts) == 1 else F.coalesce(*parts)
 
-    def contains(self, key: Column) -> Column:
-        parts = []
-        if self.same:
-            parts.append(key.isin(*self.same))
-        if self.map is not None:
-            parts.append(F.map_contains_key(self.map, key))
-        if not parts:
-            return F.lit(False)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out | p
-        return F.coalesce(out, F.lit(False))
-
 
 def by_length(labels: Sequence[str]) -> list[str]:
     """Longest first, ties alphabetical (L03 with a total order)."""
@@ -95,33 +78,15 @@ def _strip_quotes(c: Column, quote_mode: str) -> Column:
     raise ValueError("quote_mode must be 'sequential' or 'set'")
 
 
-def bounded(label: str) -> str:
-    """Pattern of a label between word boundaries: its ends must differ in kind from what is around them."""
-    if not label:
-        return r"(?!)"
-    before = rf"(?<![{WORD}])" if _WORD_START.match(label[0]) else rf"(?<=[{WORD}])"
-    after = rf"(?![{WORD}])" if _WORD_START.match(label[-1]) else rf"(?=[{WORD}])"
-    return before + re.escape(label) + after
-
-
 def whole_word_label(text: Column, labels: Sequence[str]) -> Column:
     """Longest label (ties alphabetical) occurring as a whole word in ``text``.
 
     ``text`` is matched as given; labels are lowered, as in the reference.
     NULL when no label occurs.
     """
-    ordered = by_length(labels)
-    word = [x for x in ordered if _WORD_ONLY.fullmatch(x.lower())]
-    other = [x for x in ordered if not _WORD_ONLY.fullmatch(x.lower())]
-    m = _Resolver([(x.lower(), x) for x in word])
-    toks = F.split(text, NON_WORD)
-    hits = F.transform(F.filter(toks, lambda t: m.contains(t)),
-                       lambda t: F.struct((-F.length(m.get(t))).alias("k"), m.get(t).alias("label")))
-    if other:
-        extra = F.array(*[F.when(text.rlike(bounded(x.lower())),
-                                 F.struct(F.lit(-len(x)).alias("k"), F.lit(x).alias("label")))
-                          for x in other])
-        hits = F.concat(hits, F.filter(extra, lambda s: s.isNotNull()))
+    m = _Resolver([(x.lower(), x) for x in by_length(labels)])
+    found = phrases.PhraseIndex(m.keys()).occurring(text)
+    hits = F.transform(found, lambda p: phrases.bound(m.get(p), lambda x: F.struct((-F.length(x)).alias("k"), x.alias("label"))))
     return F.array_min(hits).getField("label")
 
 
@@ -239,29 +204,19 @@ def _stages(text: Column, strategy: str, quote_mode: str = "sequential"):
     raise ValueError(f"strategy {strategy!r} has no join form")
 
 
-def _bounded(text: Column, label: Column) -> Column:
-    """Whether ``label`` occurs in ``text`` between word boundaries, both columns; see ``bounded``."""
-    quoted = F.concat(F.lit(r"\Q"), F.replace(label, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    before = F.when(label.rlike(rf"^[{WORD}]"), F.lit(rf"(?<![{WORD}])")).otherwise(F.lit(rf"(?<=[{WORD}])"))
-    after = F.when(label.rlike(rf"[{WORD}]\z"), F.lit(rf"(?![{WORD}])")).otherwise(F.lit(rf"(?=[{WORD}])"))
-    return F.rlike(text, F.concat(before, quoted, after))
-
-
 def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade",
                        out: str = "predicted_label", label: str = "label", quote_mode: str = "sequential"):
     """X02-X05 for any vocabulary size, by joins instead of an inlined map (exact, same results).
 
-    Every row emits, in one pass, its lookup keys with a priority, the words and
-    separators of its text, and itself; these join the vocabulary (Spark
+    Every row emits, in one pass, its lookup keys with a priority, the phrases of its
+    text that could be a label (``phrases.windows``), and itself; these join the vocabulary (Spark
     broadcasts it when small, otherwise shuffles both sides on the key, and AQE
     splits a key that many rows share); the best hit per row is a min over
     (stage, position, label), an aggregate keyed by the unique row key that also
-    brings the row's columns back. The input is evaluated once.
+    brings the row's columns back. The input is evaluated once, and its text moves once.
 
-    A label with word characters occurs between word boundaries only where its
-    first run of word characters is a whole word of the text, one without any
-    only as a whole run of separators: that run is its key, and labels that are
-    more than their key are then looked for in the text.
+    A phrase that joins is an occurrence, so nothing is looked for in the text again. The
+    vocabulary's numbers of runs and, if they are few, its first runs decide which phrases are cut.
     """
     t = F.col(text)
     arr, words_text, fallback, dedupe = _stages(t, strategy, quote_mode)
@@ -273,7 +228,7 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
     else:
         agg = F.min("_label")
     keyed = v.groupBy(F.lower("_label").alias("_k")).agg(agg.alias("_label"))
-    lookup = keyed.select("_k", F.lit(0).alias("_kind"), F.lit(None).cast("string").alias("_low"), "_label")
+    lookup = keyed.select("_k", F.lit(0).alias("_kind"), "_label")
     found = "struct<p:int,s:int,k:string,kind:int,row:boolean>"
 
     def entry(p, s_, k, kind):
@@ -282,29 +237,25 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
     emitted = F.transform(F.filter(arr, lambda c: c["k"].isNotNull()), lambda c: entry(c["p"], c["s"], c["k"], F.lit(0)))
     emitted = F.coalesce(emitted, F.array().cast(f"array<{found}>"))
     if words_text is not None:
-        runs = F.array_distinct(F.regexp_extract_all(words_text, F.lit(rf"([{WORD}]+|[^{WORD}]+)"), F.lit(1)))
-        emitted = F.concat(emitted, F.coalesce(F.transform(runs, lambda w: entry(F.lit(9), F.lit(0), w, F.lit(1))),
-                                               F.array().cast(f"array<{found}>")))
-        first = F.when(F.col("_k").rlike(rf"[{WORD}]"), F.regexp_extract("_k", rf"([{WORD}]+)", 1)).otherwise(F.col("_k"))
-        words = keyed.where(F.col("_k") != "").select(first.alias("_w"), F.col("_k").alias("_low"), "_label")
-        lookup = lookup.unionByName(words.select(F.col("_w").alias("_k"), F.lit(1).alias("_kind"), "_low", "_label"))
+        sizes = phrases.sizes_of(keyed.select("_k"), "_k")
+
+        def cut(parts):
+            found = [phrases.windows(parts, n, None if firsts is None else phrases.among(firsts)) for n, firsts in sizes]
+            return found[0] if len(found) == 1 else F.concat(*found)
+
+        if sizes:
+            inside = F.transform(phrases.bound(phrases.runs(words_text), cut), lambda w: entry(F.lit(9), F.lit(0), w, F.lit(1)))
+            emitted = F.concat(emitted, F.coalesce(inside, F.array().cast(f"array<{found}>")))
+        lookup = lookup.unionByName(keyed.where(F.col("_k") != "").select("_k", F.lit(1).alias("_kind"), "_label"))
     # the row itself travels under a key of its own
     itself = F.array(F.struct(F.lit(99).alias("p"), F.lit(0).alias("s"), F.concat(F.lit("\u0000"), F.col(key).cast("string")).alias("k"),
                               F.lit(2).alias("kind"), F.lit(True).alias("row")).cast(found))
     wide = df.select(F.struct(*df.columns).alias("_row"), F.explode(F.concat(emitted, itself)).alias("_c"))
-    low = words_text if words_text is not None else F.lit(None).cast("string")
     slim = wide.select(F.col(f"_row.{key}").alias("_key"), F.col("_c.p").alias("_p"), F.col("_c.s").alias("_s"), F.col("_c.k").alias("_k"),
-                       F.col("_c.kind").alias("_kind"), F.when(F.col("_c.row"), F.col("_row")).alias("_row"),
-                       F.when(F.col("_c.kind") == 1, F.col(f"_row.{text}")).alias("_text"))
+                       F.col("_c.kind").alias("_kind"), F.when(F.col("_c.row"), F.col("_row")).alias("_row"))
     hits = slim.join(lookup, ["_k", "_kind"], "left")
-    if words_text is not None:
-        low = _stages(F.col("_text"), strategy, quote_mode)[1]
-        inside = (F.col("_kind") == 1) & F.col("_label").isNotNull()
-        rank = F.when(inside, -F.length("_label")).otherwise(F.col("_s"))
-        fits = F.when(inside & (F.col("_low") != F.col("_k")), _bounded(low, F.col("_low"))).otherwise(F.lit(True))
-        # a label that is one run of separators must stand between words
-        fits = F.when(inside & (F.col("_low") == F.col("_k")) & ~F.col("_k").rlike(rf"[{WORD}]"), _bounded(low, F.col("_low"))).otherwise(fits)
-        hits = hits.withColumn("_s", rank).withColumn("_label", F.when(fits, F.col("_label")))
+    # inside the text the longest label is best
+    hits = hits.withColumn("_s", F.when(F.col("_kind") == 1, -F.length("_label")).otherwise(F.col("_s")))
     best = hits.groupBy("_key").agg(F.min(F.when(F.col("_label").isNotNull(), F.struct("_p", "_s", "_label"))).alias("_b"),
                                     F.first("_row", ignorenulls=True).alias("_row"))
     back = best.select("_row.*", F.col("_b._label").alias("_best"))

@@ -255,3 +255,50 @@ def extract_cascade_plain_join(spark, sf):
     rows = fx.f3_raw_outputs(spark, sf)
     vocab = fx.table(spark, sf, "documents").select(F.col("source").alias("label"))
     return X.extract_label_join(rows, "example_id", "raw_prediction", vocab, "cascade_plain")
+
+
+# --- labels of several words ------------------------------------------------------
+
+_PART_TEXT = "concat('order: ', lower(p_name), ' (', lower(p_type), ')\n', lower(p_brand), '-x, ', lower(p_brand))"
+
+
+@register("extract_phrases", f"""
+WITH v AS (
+  SELECT list(label ORDER BY length(label) DESC, label) AS VL FROM (
+    SELECT lower(p_name || ' (' || p_type) AS label FROM part WHERE p_partkey % 3 = 0 UNION SELECT lower(p_name) FROM part UNION SELECT lower(p_brand) FROM part
+    UNION SELECT string_split(lower(p_name), ' ')[2] FROM part)
+  WHERE label IS NOT NULL AND label <> ''
+)
+SELECT p_partkey, 
+  list_filter(VL, lambda l: CASE WHEN contains(t, l) THEN regexp_matches(t, '(^|[^a-z0-9_])' || replace(l, '(', '\\(') || '($|[^a-z0-9_])') ELSE FALSE END)[1] AS label
+FROM (SELECT p_partkey, {_PART_TEXT} AS t FROM part), v""")
+def extract_phrases(spark, sf):
+    """X06 with a label list of one to three words, and texts that hold several of them."""
+    p = fx.table(spark, sf, "part")
+    words = F.split(F.lower("p_name"), " ")
+    labels = (p.where(F.col("p_partkey") % 3 == 0).select(F.lower(F.concat("p_name", F.lit(" ("), "p_type")).alias("label")).union(p.select(F.lower("p_name")))
+              .union(p.select(F.lower("p_brand"))).union(p.select(F.get(words, F.lit(1)))).where("label <> ''"))
+    text = F.concat(F.lit("order: "), F.lower("p_name"), F.lit(" ("), F.lower("p_type"), F.lit(")\n"), F.lower("p_brand"), F.lit("-x, "), F.lower("p_brand"))
+    return p.select("p_partkey", X.whole_word_label(text, V.collect_labels(labels)).alias("label"))
+
+
+_OPENING = "regexp_extract(lower(text), '^([a-z]+ [a-z]+)[ .]', 1)"
+
+
+@register("extract_phrases_join", f"""
+WITH labels AS (SELECT DISTINCT {_OPENING} AS label FROM documents WHERE {_OPENING} <> ''),
+v AS (SELECT list(label) AS V FROM labels),
+src AS (SELECT doc_id, text AS raw_prediction, lower({s_strip("text")}) AS low FROM documents),
+inside AS (
+  -- separators other than spaces are set off, so that a label's words are neighbours only as they are written
+  SELECT doc_id, label FROM (SELECT doc_id, ' ' || regexp_replace(low, '([^\\p{{L}}\\p{{N}}_ ])', ' \\1 ', 'g') || ' ' AS t FROM src) x
+  JOIN labels ON contains(t, ' ' || label || ' ')
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(label) DESC, label) = 1
+)
+SELECT doc_id, {_PLAIN.replace(s_words_best("VL", _LOW), "inside.label")} AS predicted_label FROM v, src LEFT JOIN inside USING (doc_id)""")
+def extract_phrases_join(spark, sf):
+    """J04 with a vocabulary table that grows with the documents: their first two words, looked for in all texts."""
+    d = fx.table(spark, sf, "documents")
+    vocab = d.select(F.regexp_extract(F.lower("text"), "^([a-z]+ [a-z]+)[ .]", 1).alias("label")).where("label <> ''")
+    out = X.extract_label_join(d.select("doc_id", "text"), "doc_id", "text", vocab, "cascade_plain")
+    return out.select("doc_id", "predicted_label")
