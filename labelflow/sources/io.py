@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from labelflow.operators.evaluate import require_columns  # noqa: F401  (S06, re-exported)
+from labelflow.sources import blocks
 
 # Part number, path, split offset and row: the order of lines in a folder written by Spark.
 ORDER_COLS = ("_part", "_file", "_block", "_row")
@@ -52,7 +53,7 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: str | Str
     if not with_order:
         return spark.read.schema(schema).option("mode", mode).json(path)
     lines = spark.read.text(path).select(
-        "value", _part_number(F.col("_metadata.file_path")).alias("_part"), F.col("_metadata.file_path").alias("_file"),
+        "value", blocks.part_number(F.col("_metadata.file_path")).alias("_part"), F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"))
     lines = lines.where(F.length(F.regexp_replace("value", r"(?U)[\s\x1c-\x1f]", "")) > 0)
@@ -60,9 +61,14 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: str | Str
     return parsed.select("r.*", *ORDER_COLS)
 
 
-def _part_number(path: Column) -> Column:
-    """Number of a Spark part file, 0 for any other file."""
-    return F.coalesce(F.try_to_number(F.regexp_extract(path, r"part-(\d{1,18})[^/]*$", 1), F.lit("9" * 18)).cast("bigint"), F.lit(0).cast("bigint"))
+def read_jsonl_numbered(spark: SparkSession, path: str, schema: str | StructType | DataType, first: int | None = None, fail_fast: bool = True) -> DataFrame:
+    """JSON-lines scan with ``line``: exact positions in file order, from 0, blank lines not counted.
+
+    ``first`` keeps that many lines and opens only the files they stand in (O03).
+    """
+    lines = blocks.numbered_lines(spark, path) if first is None else blocks.first_lines(spark, path, first)
+    mode = "FAILFAST" if fail_fast else "PERMISSIVE"
+    return lines.select(F.from_json("value", schema, {"mode": mode}).alias("r"), "line").select("r.*", "line")
 
 
 def json_keys(spark: SparkSession, path: str | Sequence[str]) -> set[str]:
@@ -153,12 +159,20 @@ _NO_NULL = "\u0000"
 def read_csv(spark: SparkSession, path: str, schema: str | StructType, empty_as_null: bool = True) -> DataFrame:
     """CSV scan that survives quoted multi-line values.
 
-    ``empty_as_null=False`` reads empty fields as ``''`` (report labels may be empty strings).
+    ``empty_as_null=False`` reads empty fields as ``''`` (report labels may be empty strings). Files
+    larger than Spark's block are read by several tasks, see ``blocks.read_quoted_csv``; smaller ones, and
+    folders partitioned by a column, by a task each. Both give the same rows.
     """
+    null_value = None if empty_as_null else _NO_NULL
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    largest = files.agg(F.max("length")).first()[0] or 0
+    block = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if largest > block and spark.read.text(path).columns == ["value"]:
+        return blocks.read_quoted_csv(spark, path, schema, null_value)
     r = (spark.read.schema(schema).option("header", True).option("multiLine", True)
          .option("quote", '"').option("escape", '"'))
-    if not empty_as_null:
-        r = r.option("nullValue", _NO_NULL)
+    if null_value is not None:
+        r = r.option("nullValue", null_value)
     return r.csv(path)
 
 
