@@ -131,9 +131,37 @@ def split_counts(df: DataFrame, split: str = "split", label: str = "label") -> D
                                  F.count_distinct(F.col(label)).alias("n_labels"))
 
 
+def apportion(counts: DataFrame, share: float, label: str = "label", n: str = "n", total: str = "round") -> DataFrame:
+    """Largest-remainder quotas: ``quota`` of each label, together exactly round(share * N) or, as
+    scikit-learn counts, ceil(share * N).
+
+    Every label gets the whole part of its share; what is missing goes to the largest remainders,
+    ties to the larger label, then alphabetically. Shares are compared as exact decimals.
+    """
+    if total not in ("round", "ceil"):
+        raise ValueError("total must be 'round' or 'ceil'")
+    if not 0 <= share <= 1:
+        raise ValueError("share must be between 0 and 1")
+    exact = F.lit(repr(float(share))).cast("decimal(18,17)" if share < 1 else "decimal(18,0)")
+    part = F.col(n).cast("decimal(20,0)") * exact
+    parts = counts.select(F.col(label), F.col(n), F.floor(part).cast("bigint").alias("_whole"), (part - F.floor(part)).cast("decimal(18,17)").alias("_rest"))
+    rows, whole = parts.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.sum("_whole"), F.lit(0))).first()
+    from decimal import ROUND_CEILING, ROUND_HALF_UP, Decimal
+
+    wanted = int((Decimal(rows) * Decimal(repr(float(share)))).to_integral_value(ROUND_HALF_UP if total == "round" else ROUND_CEILING))
+    # the labels in order of remainder, without a sort in one task
+    order = parts.select("*", (-F.col("_rest")).alias("_least"), (-F.col(n)).alias("_most"), (F.col(n) < 0).alias("_all"))
+    placed = group_ordinal(order, "_all", ["_least", "_most", label], out="_place")
+    return placed.select(label, n, (F.col("_whole") + (F.col("_place") < wanted - whole).cast("bigint")).alias("quota"))
+
+
 def stratified_split(df: DataFrame, label: str = "label", key: str = "example_id", test_size: float = 0.1,
-                     seed: int = 42, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Per-label split: the round(test_size * n) rows with the smallest md5(seed|key) go to validation.
+                     seed: int = 42, bucket_rows: int = BUCKET_ROWS, quota: str = "label") -> DataFrame:
+    """Per-label split: the rows of each label with the smallest md5(seed|key) go to validation.
+
+    ``quota="label"`` takes round(test_size * n) rows of each label on its own; ``"round"`` and
+    ``"ceil"`` share out that part of all rows by largest remainders (``apportion``), so that the validation
+    set has exactly the size asked for and labels of a few rows aren't all left out.
 
     Deterministic and identical across engines; not bit-equal to scikit-learn's
     shuffle. Positions and per-label totals both come from ``group_ordinal``, so
@@ -142,6 +170,13 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "example_id
     """
     h = F.md5(F.concat(F.lit(str(seed)), F.lit("|"), F.col(key).cast("string")))
     pos = group_ordinal(df.withColumn("_h", h), label, ["_h", key], out="_pos", total="_n", bucket_rows=bucket_rows)
-    quota = F.round(F.lit(test_size) * F.col("_n"))
+    if quota == "label":
+        most = F.round(F.lit(test_size) * F.col("_n"))
+    else:
+        from labelflow.operators.vocab import lookup
+
+        counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_rows"))
+        quotas = apportion(counts, test_size, label, "_rows", quota).select(label, F.col("quota").alias("_quota"))
+        pos, most = lookup(pos, quotas, label), F.col("_quota")
     return pos.select(*df.columns, F.when(F.col(label).isNull(), F.lit(None).cast("string"))
-                      .when(F.col("_pos") < quota, F.lit("validation")).otherwise(F.lit("train")).alias("assigned"))
+                      .when(F.col("_pos") < most, F.lit("validation")).otherwise(F.lit("train")).alias("assigned"))

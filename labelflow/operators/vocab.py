@@ -78,7 +78,7 @@ def vocab_by_length(vocab: DataFrame, label: str = "label") -> DataFrame:
         "label", "length", F.col("position").cast("int").alias("position"))
 
 
-def _lookup(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def lookup(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Left join of facts with a small table on a few-valued key, without gathering a key in one task."""
     if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return df.join(F.broadcast(ids), key, "left")
@@ -89,12 +89,12 @@ def _lookup(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 def encode_labels(df: DataFrame, ids: DataFrame, label: str = "label", out: str = "label_id",
                   on_unknown: str = "error") -> DataFrame:
-    """label -> id by equi-join on the id table (L05, J01); see ``_lookup`` for skew.
+    """label -> id by equi-join on the id table (L05, J01); see ``lookup`` for skew.
 
     ``on_unknown="error"`` raises at run time on a label outside the vocabulary,
     like the reference's ``label2id[label]``; ``"null"`` keeps the row with a NULL id.
     """
-    joined = _lookup(df, ids.select(F.col("label").alias(label), F.col("label_id").alias(out)), label)
+    joined = lookup(df, ids.select(F.col("label").alias(label), F.col("label_id").alias(out)), label)
     if on_unknown == "error":
         joined = joined.withColumn(out, F.when(F.col(out).isNull() & F.col(label).isNotNull(),
                                                F.raise_error(F.concat(F.lit("unknown label: "), F.col(label))))
@@ -106,4 +106,4 @@ def encode_labels(df: DataFrame, ids: DataFrame, label: str = "label", out: str
 
 def decode_labels(df: DataFrame, ids: DataFrame, id_col: str = "label_id", out: str = "label") -> DataFrame:
     """id -> label by equi-join on the id table."""
-    return _lookup(df, ids.select(F.col("label_id").alias(id_col), F.col("label").alias(out)), id_col)
+    return lookup(df, ids.select(F.col("label_id").alias(id_col), F.col("label").alias(out)), id_col)

@@ -264,3 +264,18 @@ FROM r JOIN c USING (label)""")
 def stratified_split(spark, sf):
     train = _flat(spark, sf).where(F.col("split") == "train").select("example_id", "label")
     return S.stratified_split(train, test_size=0.1, seed=42)
+
+
+@register("stratified_split_total", O.with_(_PREP_SQL, """
+b AS (SELECT example_id, label, md5('42' || '|' || CAST(example_id AS VARCHAR)) AS h FROM prep WHERE split = 'train'),
+c AS (SELECT label, count(*) AS n, CAST(count(*) * 15 // 100 AS BIGINT) AS whole, count(*) * 15 % 100 AS rest FROM b GROUP BY label),
+q AS (
+  SELECT label, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, n DESC, label)
+    <= (SELECT floor((sum(n) * 15 + 50) / 100) - sum(whole) FROM c) THEN 1 ELSE 0 END AS quota FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, example_id) - 1 AS pos FROM b)""") + """
+SELECT r.example_id, r.label, CASE WHEN pos < quota THEN 'validation' ELSE 'train' END AS assigned
+FROM r JOIN q USING (label)""")
+def stratified_split_total(spark, sf):
+    """W03 with largest remainders: exactly round(15 %) of all rows, and each label within a row of its share."""
+    train = _flat(spark, sf).where(F.col("split") == "train").select("example_id", "label")
+    return S.stratified_split(train, test_size=0.15, seed=42, quota="round")

@@ -20,7 +20,7 @@ from labelflow.plans.chat_queries import _PREP_SQL, _records
 from labelflow.plans.registry import register
 from labelflow.plans.text_queries import _F3_VOCAB, _STRICT, _f3, _union_vocab, _UNION_SQL
 from labelflow.session import scratch_dir
-from labelflow.sources import io
+from labelflow.sources import blocks, io
 
 D = 10
 
@@ -135,3 +135,29 @@ def training_log_scan(spark, sf):
     sm = C.rolling_mean(back, "run", list(io.ORDER_COLS), "train_mean_nll", window=5)
     return sm.select("run", "event_id", F.round("progress", D).alias("progress"), "train_mean_nll",
                      F.round("smoothed", D).alias("smoothed"))
+
+
+@register("csv_blocks_roundtrip", "SELECT doc_id, text, lang, source FROM documents")
+def csv_blocks_roundtrip(spark, sf):
+    """Multi-line quoted texts, each file read by as many tasks as it has blocks."""
+    path = scratch_dir(spark, "texts_csv")
+    io.write_csv(fx.table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), path)
+    return blocks.read_quoted_csv(spark, path, "doc_id bigint, text string, lang string, source string")
+
+
+def _ordered_jsonl(spark, sf):
+    path = scratch_dir(spark, "ordered_lines")
+    io.write_jsonl(fx.table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy("o_totalprice", "o_orderkey"), path)
+    return path
+
+
+@register("line_ordinals", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS line FROM orders")
+def line_ordinals(spark, sf):
+    """Exact positions of lines in file order."""
+    return io.read_jsonl_numbered(spark, _ordered_jsonl(spark, sf), "o_orderkey bigint").select("o_orderkey", "line")
+
+
+@register("first_lines", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS line FROM orders QUALIFY line < 50")
+def first_lines(spark, sf):
+    """O03 on files: the first 50 lines, from the files they stand in."""
+    return io.read_jsonl_numbered(spark, _ordered_jsonl(spark, sf), "o_orderkey bigint", first=50).select("o_orderkey", "line")

@@ -107,3 +107,35 @@ def test_label_ids_dense_in_code_point_order(spark):
     got = sorted((r["label_id"], r["label"]) for r in V.label_ids(df).collect())
     assert [i for i, _ in got] == list(range(len(labels)))
     assert [x for _, x in got] == sorted(labels)
+
+
+def _quotas(counts, share, total):
+    """Largest remainders in exact fractions."""
+    from fractions import Fraction
+    from math import ceil, floor
+
+    share = Fraction(str(share))
+    n = sum(counts.values())
+    wanted = floor(n * share + Fraction(1, 2)) if total == "round" else ceil(n * share)
+    quota = {k: floor(v * share) for k, v in counts.items()}
+    order = sorted(counts, key=lambda k: (-(counts[k] * share - quota[k]), -counts[k], k))
+    for k in order[: wanted - sum(quota.values())]:
+        quota[k] += 1
+    return quota
+
+
+@pytest.mark.parametrize("share, total", [(0.1, "round"), (0.1, "ceil"), (0.15, "round"), (0.333, "ceil"), (0.0, "round"), (1.0, "ceil")])
+def test_apportion(spark, share, total):
+    counts = {f"l{k}": (k * k) % 13 + 1 for k in range(40)} | {"big": 5000}
+    got = S.apportion(spark.createDataFrame(list(counts.items()), "label string, n bigint"), share, total=total)
+    assert {r["label"]: r["quota"] for r in got.collect()} == _quotas(counts, share, total)
+    assert S.apportion(spark.createDataFrame([], "label string, n bigint"), share, total=total).count() == 0
+
+
+def test_split_of_small_labels_has_the_size_asked_for(spark):
+    rows = [(i, f"l{i % 60}") for i in range(180)] + [(1000 + i, None) for i in range(5)]
+    df = spark.createDataFrame(rows, "example_id int, label string")
+    whole = S.stratified_split(df, quota="round", bucket_rows=20).groupBy("assigned").count().collect()
+    assert {r["assigned"]: r["count"] for r in whole} == {"train": 162, "validation": 18, None: 5}
+    alone = S.stratified_split(df).where("assigned = 'validation'").count()
+    assert alone == 0  # three rows a label: a tenth of each rounds to none
