@@ -64,18 +64,22 @@ def prepare(a) -> None:
     for split, path in (("train", a.train), ("validation", a.validation), ("test", a.test)):
         if path and io.path_exists(spark, path):
             df = _read_table(spark, path, a.format)
-            if a.id_col in df.columns:
-                key = F.col(a.id_col)
-            else:  # ids made here must not be made again by a later read
-                numbered = scratch_dir(spark, f"{split}-numbered")
-                df.withColumn(a.id_col, F.monotonically_increasing_id()).write.parquet(numbered)
-                df, key = spark.read.parquet(numbered), F.col(a.id_col)
-            parts.append(df.select(key.cast("bigint").alias("example_id"), F.lit(split).alias("split"),
+            key = F.col(a.id_col) if a.id_col in df.columns else F.lit(None)
+            parts.append(df.select(key.cast("bigint").alias("example_id"), F.lit(split).alias("split"), F.lit(a.id_col in df.columns).alias("_has"),
                                    F.col(a.text_col).cast("string").alias("text"),
                                    F.col(a.label_col).cast("string").alias("label_text")))
     raw = parts[0]
     for p in parts[1:]:
         raw = raw.unionByName(p)
+    lacking = [r[0] for r in raw.where(~F.col("_has")).select("split").distinct().collect()]
+    if lacking:
+        # ids made here differ between the splits, lie above those that are given, and are written: a later read must not make others
+        most = raw.agg(F.coalesce(F.max("example_id"), F.lit(-1))).first()[0]
+        numbered = scratch_dir(spark, "numbered")
+        made = F.monotonically_increasing_id() + F.lit(max(0, most + 1))
+        raw.withColumn("example_id", F.when(F.col("_has"), F.col("example_id")).otherwise(made)).write.parquet(numbered)
+        raw = spark.read.parquet(numbered)
+    raw = raw.drop("_has")
     vocab = V.vocab_from_split(raw, include_oos=include_oos)
     labels = V.collect_labels(vocab)
     io.write_label_metadata(V.label_ids(vocab), f"{a.out}/metadata/label_map")
@@ -160,6 +164,18 @@ def _load_factory(spec: str):
     return getattr(importlib.import_module(mod), attr)
 
 
+def _prediction_stem(spark: SparkSession, model_name: str, mode: str) -> str:
+    return spark.range(1).select(F.concat(name_slug(F.lit(model_name)), F.lit("_"), F.lit(mode.replace("-", "_")), F.lit("_predictions"))).first()[0]
+
+
+def _wave_folder(spark: SparkSession, model_name: str, a) -> str:
+    """Where finished waves are kept: one folder for each model, mode, input and strategy."""
+    import hashlib
+
+    what = hashlib.sha256("\0".join([a.input, a.train or "", a.strategy, str(a.max_few_shot)]).encode()).hexdigest()[:12]
+    return f"{_prediction_stem(spark, model_name, a.mode)}.{what}.progress"
+
+
 def score(a) -> None:
     """Records -> prompts -> predictor -> extracted labels -> predictions + metrics."""
     spark = job_session()
@@ -183,11 +199,14 @@ def score(a) -> None:
     else:
         msgs = chat.zero_shot_messages("utterance", labels)
     prompts = flat.withColumn("prompt", chat.render_upper(msgs))
-    scored = SC.score(prompts, _load_factory(a.predictor), "prompt", labels, a.strategy, a.batch_size)
     model_name = a.model_name or a.predictor
+    if a.waves > 1:  # results are kept wave by wave; run the same command again after a failure
+        progress = f"{a.out}/{_wave_folder(spark, model_name, a)}"
+        scored = SC.score_in_waves(prompts, _load_factory(a.predictor), "prompt", progress, waves=a.waves, labels=labels, strategy=a.strategy, batch_size=a.batch_size)
+    else:
+        scored = SC.score(prompts, _load_factory(a.predictor), "prompt", labels, a.strategy, a.batch_size)
     recs = SC.prediction_records(scored, mode=a.mode, model_name=model_name)
-    stem = spark.range(1).select(F.concat(name_slug(F.lit(model_name)), F.lit("_"),
-                                          F.lit(a.mode.replace("-", "_")), F.lit("_predictions"))).first()[0]
+    stem = _prediction_stem(spark, model_name, a.mode)
     path = f"{a.out}/{stem}.jsonl"
     io.write_jsonl(recs, path)
     back = io.read_jsonl(spark, path, PRED_SCHEMA)
@@ -211,7 +230,7 @@ def baseline(a) -> None:
     if a.validation and io.path_exists(spark, a.validation):
         val = load(a.validation)
     else:
-        split = S.stratified_split(train, label="label", key="example_id", test_size=0.1, seed=a.seed)
+        split = S.stratified_split(train, label="label", key="example_id", test_size=0.1, seed=a.seed, quota="ceil")
         split = split.checkpoint(eager=True)
         val = split.where(F.col("assigned") == "validation").drop("assigned")
         train = split.where(F.col("assigned") == "train").drop("assigned")
@@ -283,6 +302,7 @@ def main(argv=None) -> None:
     p.add_argument("--limit", type=int)
     p.add_argument("--max-few-shot", type=int, default=4)
     p.add_argument("--batch-size", type=int, default=64)
+    p.add_argument("--waves", type=int, default=1, help="jobs to score in; finished ones are kept for a restart")
     p.add_argument("--out", required=True)
     p.set_defaults(fn=score)
 

@@ -9,7 +9,9 @@ operators score its predictions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer, StringIndexerModel
@@ -20,6 +22,8 @@ from labelflow.operators.evaluate import summary_metrics
 from labelflow.operators.sampling import stratified_split
 
 
+# Rows of a training set that one task of a sweep holds.
+FIT_ROWS = 50_000
 # Runs of letters, digits and underscores of any script are words.
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -53,7 +57,7 @@ def predict_labels(model: PipelineModel, df: DataFrame, out: str = "predicted_la
 
 
 def sweep(train: DataFrame, reg_params: Sequence[float], text: str = "utterance", label: str = "label",
-          key: str = "example_id", validation_size: float = 0.2, seed: int = 42, max_iter: int = 50):
+          key: str = "example_id", validation_size: float = 0.2, seed: int = 42, max_iter: int = 50, parallelism: int = 4):
     """Grid over regularisation chosen on a validation split by macro-F1.
 
     Returns (metrics, model): a row per grid point (reg_param, accuracy, macro_f1,
@@ -63,17 +67,29 @@ def sweep(train: DataFrame, reg_params: Sequence[float], text: str = "utterance"
     """
     rows = train.select(key, text, label).where(F.col(label).isNotNull())
     parts = stratified_split(rows, label, key, test_size=validation_size, seed=seed)
-    # training sums floating-point numbers in row order: one order for every layout of the input
-    fit_rows = parts.where(F.col("assigned") == "train").repartitionByRange(8, key).sortWithinPartitions(key).cache()
-    held = parts.where(F.col("assigned") == "validation").cache()
     names = sorted(r[0] for r in rows.select(label).distinct().collect())
-    n_train, n_held = fit_rows.count(), held.count()
-    runs = []
-    for reg in reg_params:
-        model = text_classifier(text, label, max_iter=max_iter, reg_param=reg, labels=names).fit(fit_rows)
+    counts = {r["assigned"]: r["count"] for r in parts.groupBy("assigned").count().collect()}
+    n_train, n_held = counts.get("train", 0), counts.get("validation", 0)
+    # training sums floating-point numbers in row order: the rows' hashes and number alone give one
+    # order for every layout of the input, in as many parts as there are rows for
+    buckets = max(1, -(-n_train // FIT_ROWS))
+    fit_rows = parts.where(F.col("assigned") == "train").repartition(buckets, key).sortWithinPartitions(key)
+    # words are cut and weighed once for all runs
+    *prepare, _ = text_classifier(text, label, labels=names).getStages()
+    ready = Pipeline(stages=prepare).fit(fit_rows)
+    vectors = ready.transform(fit_rows).select("label_idx", "features").persist()
+    held = parts.where(F.col("assigned") == "validation").persist()
+
+    def run(reg: float) -> tuple:
+        lr = text_classifier(text, label, max_iter=max_iter, reg_param=reg, labels=names).getStages()[-1]
+        model = PipelineModel(stages=[*ready.stages, lr.fit(vectors)])
         m = summary_metrics(predict_labels(model, held), label, "predicted_label").first()
-        runs.append((float(reg), float(m["accuracy"] or 0.0), float(m["macro_f1"] or 0.0), model))
-    fit_rows.unpersist()
+        return float(reg), float(m["accuracy"] or 0.0), float(m["macro_f1"] or 0.0), model
+
+    # runs share the cached vectors; their jobs are interleaved
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        runs = list(pool.map(inheritable_thread_target(train.sparkSession)(run), reg_params))
+    vectors.unpersist()
     held.unpersist()
     best = max(range(len(runs)), key=lambda i: (runs[i][2], -runs[i][0]))
     table = [(reg, acc, f1, n_train, n_held, i == best) for i, (reg, acc, f1, _) in enumerate(runs)]

@@ -9,16 +9,18 @@ extraction, metrics) stays in JVM expressions.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from labelflow.functions.extract import extract_label
-from labelflow.functions.text import _c, py_strip
+from labelflow.functions.text import WS, _c
+from labelflow.session import scratch_dir
 
 # A predictor maps a batch of input strings to a batch of raw output strings.
 Predictor = Callable[[Sequence[str]], Sequence[str]]
@@ -65,15 +67,72 @@ def prediction_records(df: DataFrame, utterance: str = "utterance", gold: str =
     return df.select(*cols)
 
 
-def token_count(text, pattern: str = r"\s+") -> Column:
-    """Number of whitespace tokens (M04); 0 for empty text."""
-    t = py_strip(_c(text))
-    return F.when(F.length(t) == 0, F.lit(0)).otherwise(F.size(F.split(t, pattern)))
+def token_count(text, pattern: str | None = None) -> Column:
+    """Number of whitespace tokens (M04), or of the parts between matches of ``pattern``; 0 for empty text."""
+    if pattern is None:
+        return F.regexp_count(_c(text), F.lit(rf"(?U)[^{WS[1:-1]}]+"))
+    return F.size(F.filter(F.split(_c(text), pattern), lambda t: t != ""))
 
 
-def truncate_tokens(text, max_tokens: int, pattern: str = r"\s+") -> Column:
-    """The first ``max_tokens`` whitespace tokens joined by one space."""
-    return F.array_join(F.slice(F.split(py_strip(_c(text)), pattern), 1, max_tokens), " ")
+def truncate_tokens(text, max_tokens: int, pattern: str | None = None) -> Column:
+    """The first ``max_tokens`` whitespace tokens joined by one space (M04); the rest of the text isn't cut up."""
+    space = rf"(?U){WS}+" if pattern is None else pattern
+    # one part more than wanted for the rest, and one for what stands before a leading separator
+    parts = F.split(_c(text), space, max_tokens + 2)
+    return F.array_join(F.slice(F.filter(parts, lambda t: t != ""), 1, max_tokens), " ")
+
+
+# --- scoring that survives a failed job -----------------------------------------------------
+
+
+def _ledger(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(folder, rows) of the finished waves under ``path``: a row for each wave."""
+    from labelflow.sources.io import path_exists
+
+    at = f"{path}/ledger"
+    if not path_exists(spark, at):
+        return []
+    return sorted((r["folder"], r["n"]) for r in spark.read.schema("folder string, n bigint").json(at).collect())
+
+
+def read_scored(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of all finished waves; half-written ones don't count."""
+    done = [folder for folder, _ in _ledger(spark, path)]
+    return spark.read.schema(schema).parquet(*[f"{path}/{x}" for x in done]) if done else spark.createDataFrame([], schema)
+
+
+def score_in_waves(df: DataFrame, make_predictor: Callable[[], Predictor], text: str, path: str, key: str = "example_id", waves: int = 20,
+                   most_waves: int | None = None, **score_args) -> DataFrame:
+    """``score`` in several jobs whose results are kept as they finish, so that a restart only scores the rest.
+
+    Rows are dealt to ``waves`` by a hash of ``key``, the rows' identity, and each wave is scored and
+    written under ``path`` by a job of its own; a line in the ledger then says that it counts. A
+    later call with the same ``path`` leaves out the rows whose keys have been scored (an anti join)
+    and deals the others anew: rows that have come since are scored too. ``most_waves`` stops after so many.
+    Rows with one key are in one wave. Returns the scored rows so far.
+    """
+    if waves < 1:
+        raise ValueError("waves must be at least 1")
+    spark = df.sparkSession
+    wanted = score(df.limit(0), make_predictor, text, **score_args).schema
+    done = _ledger(spark, path)
+    todo = df
+    if done:
+        seen = read_scored(spark, path, wanted).select(F.col(key).alias("__key")).distinct()
+        todo = df.join(seen, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    # dealt and written once, so that a wave reads its own rows only
+    staged = scratch_dir(spark, "waves")
+    wave = F.pmod(F.xxhash64(F.col(key)), F.lit(waves))
+    todo.withColumn("__wave", wave).write.partitionBy("__wave").parquet(staged)
+    rows = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, __wave bigint").parquet(staged)
+    left = sorted(r[0] for r in rows.select("__wave").distinct().collect())
+    for k in left[:most_waves]:
+        folder = f"wave-{uuid.uuid4().hex[:12]}"
+        part = rows.where(F.col("__wave") == int(k)).drop("__wave")
+        score(part, make_predictor, text, **score_args).write.parquet(f"{path}/{folder}")
+        n = spark.read.schema(wanted).parquet(f"{path}/{folder}").count()
+        spark.createDataFrame([(folder, n)], "folder string, n bigint").coalesce(1).write.mode("append").json(f"{path}/ledger")
+    return read_scored(spark, path, wanted)
 
 
 def tokenizer_udf(tokenize: Callable[[str], Sequence[int]], max_tokens: int | None = None):

@@ -184,3 +184,35 @@ def stream_score_with_stub_model(spark, sf):
     out, ckpt = scratch_dir(spark, "scored_out"), scratch_dir(spark, "scored_ckpt")
     st.append_to_files(recs, out, ckpt).awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("score_in_waves", O.with_(O.F2_GUESS_B_CTE) + f"""
+SELECT d.doc_id AS example_id, d.text AS utterance, d.lang AS gold_label,
+  CASE WHEN g.guess IN {_LANGS_SQL} THEN g.guess ELSE 'label: ' || g.guess END AS predicted_label,
+  'label: ' || g.guess AS raw_prediction, 'zero-shot' AS mode, 'stub/keyword-v1' AS model_name
+FROM documents d JOIN guess_b g USING (doc_id)""")
+def score_in_waves(spark, sf):
+    """M01 stopped after two of five waves and taken up again: the same records as in one go."""
+    d = fx.table(spark, sf, "documents")
+    labels = V.collect_labels(d.select(F.col("lang").alias("label")))
+    rows = d.select(F.col("doc_id").alias("example_id"), F.col("text").alias("utterance"), F.col("lang").alias("gold_label"))
+    path = scratch_dir(spark, "scored_waves")
+    sc.score_in_waves(rows, keyword_model, "utterance", path, waves=5, most_waves=2, labels=labels)
+    scored = sc.score_in_waves(rows, keyword_model, "utterance", path, waves=5, labels=labels)
+    return sc.prediction_records(scored, mode="zero-shot", model_name="stub/keyword-v1")
+
+
+@register("stream_confusion_replayed", _STREAM_PAIRS_SQL + "\nSELECT gold, pred, CAST(cnt AS BIGINT) AS count FROM pairs")
+def stream_confusion_replayed(spark, sf):
+    """T02 by each batch's counts: a batch that comes again counts once."""
+    s, labels = _f3_stream(spark, sf)
+    counts = st.PairCounts(spark, scratch_dir(spark, "pair_counts"), merge_every=3)
+
+    def add(batch, number):
+        counts.add(batch, number)
+        counts.add(batch, number)  # as after a failure between the write and its checkpoint
+
+    labelled = st.extract_stream(s, labels).where(F.col("gold_label").isNotNull())
+    pairs = labelled.select(F.col("gold_label").alias(ev.GOLD), F.coalesce("predicted_label", F.lit("")).alias(ev.PRED))
+    pairs.writeStream.option("checkpointLocation", scratch_dir(spark, "pair_ckpt")).foreachBatch(add).trigger(availableNow=True).start().awaitTermination()
+    return counts.read()
