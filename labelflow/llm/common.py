@@ -44,9 +44,17 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, or with underscores added until no column is called so."""
+    taken = {x.lower() for x in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
     """Adds a unique long; stable only once the result has been written."""
-    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def parts(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[list[list]]:
@@ -62,9 +70,9 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row id, id, text); row ids the table already has are kept, so that results can be joined back."""
-    rid = docs[ROW_ID] if ROW_ID in docs.columns else F.monotonically_increasing_id()
+def numbered(docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
+    """(row id, id, text); ``row_col`` names unique longs of the table itself, so that results can be joined back."""
+    rid = F.monotonically_increasing_id() if row_col is None else docs[row_col]
     return docs.select(rid.alias(ROW_ID), docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
 
 

@@ -158,8 +158,11 @@ def _bitmap(bench: DataFrame) -> np.ndarray:
 
 
 def contaminated_words(docs: DataFrame, items: DataFrame, window: int = 10, k: int = K, id_col: str = "doc_id",
-                       text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per document row: id_col, n_words, n_hit (words inside a shared window), items (sorted ids of such items)."""
+                       text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """Per document row: id_col, n_words, n_hit (words inside a shared window), items (sorted ids of such items), __row_id.
+
+    ``row_col`` names a column of unique longs to return as __row_id; no other column is taken for one.
+    """
     if not 0 < k <= window:
         raise ValueError("k must lie between 1 and window")
     spark = docs.sparkSession
@@ -167,7 +170,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = 10, k: i
                                    window, k), "bench-fingerprints")
     lengths = sorted(r[0] for r in bench.where("whole").select("k").distinct().collect())  # at most ``window`` values
     bitmap = spark.sparkContext.broadcast(_bitmap(bench))
-    rows = numbered(docs, id_col, text_col)
+    rows = numbered(docs, id_col, text_col, row_col)
 
     from pyspark.sql.pandas.types import to_arrow_type
 

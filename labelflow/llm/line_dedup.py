@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelflow.llm.common import ROW_ID, materialise, with_row_id
+from labelflow.llm.common import ROW_ID, fresh, materialise, with_row_id
 
 MIN_WORDS = 50
 
@@ -106,17 +106,23 @@ def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs`` with later copies deleted from ``text_col``, then __n_lines and __deleted (line numbers)."""
-    kept = materialise(with_row_id(docs), "line-docs", "zstd")
-    rows = kept.select(ROW_ID, kept[id_col].alias("id"), kept[text_col].cast("string").alias("text"))
+    """All columns of ``docs`` with later copies deleted from ``text_col``, then __n_lines and __deleted (line numbers).
+
+    The last two get further underscores if ``docs`` has columns of these names.
+    """
+    # columns go by position inside, so that any names may come in
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    text_at = names[docs.columns.index(text_col)]
+    kept = materialise(with_row_id(docs.toDF(*names)), "line-docs", "zstd")
+    rows = kept.select(ROW_ID, kept[names[docs.columns.index(id_col)]].alias("id"), kept[text_at].cast("string").alias("text"))
     gone = materialise(later_copies(rows, min_words), "deleted-lines")
     # the lines pass through a generator after the join: texts move once, and are split once per row
     # (the deletions grow with the corpus: both sides are shuffled at any size)
-    both = kept.join(gone.hint("merge"), ROW_ID, "left").select("*", F.explode(F.array(F.split(text_col, "\n"))).alias("__lines"))
-    n = F.coalesce(F.size("__lines"), F.lit(0))
-    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "deleted")
-    text = F.when(F.col("deleted").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform(left, lambda i: F.col("__lines")[i]), "\n"))
-    return both.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-                       F.when(F.col(text_col).isNull(), 0).otherwise(n).alias("__n_lines"),
-                       F.coalesce("deleted", F.array().cast("array<int>")).alias("__deleted"))
+    both = kept.join(gone.hint("merge"), ROW_ID, "left").select("*", F.explode(F.array(F.split(text_at, "\n"))).alias("lines"))
+    n = F.coalesce(F.size("lines"), F.lit(0))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "deleted")
+    text = F.when(F.col("deleted").isNull(), F.col(text_at)).otherwise(
+        F.array_join(F.transform(left, lambda i: F.col("lines")[i]), "\n"))
+    out = both.select(*[text.alias(c) if c == text_at else F.col(c) for c in names], F.when(F.col(text_at).isNull(), 0).otherwise(n).alias("n_lines"),
+                      F.coalesce("deleted", F.array().cast("array<int>")).alias("deleted"))
+    return out.toDF(*docs.columns, fresh("__n_lines", docs.columns), fresh("__deleted", docs.columns))

@@ -67,9 +67,9 @@ def fingerprint(text: str | None, shingle: int, seed: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, seed: int, id_col: str, text_col: str) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int, seed: int, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
     """(row id, id, fp) per row."""
-    rows = numbered(docs, id_col, text_col)
+    rows = numbered(docs, id_col, text_col, row_col)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -261,9 +261,12 @@ def links(fps: DataFrame, max_bits: int, partitions: int = PARTITIONS) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, max_bits: int = 2, seed: int = 42, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """Per row: id_col, fingerprint (hex), component_id (smallest id reachable), __row_id, keep (one row per component)."""
-    rows = materialise(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
+                    text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """Per row: id_col, fingerprint (hex), component_id (smallest id reachable), __row_id, keep (one row per component).
+
+    ``row_col`` names a column of unique longs to return as __row_id; no other column is taken for one.
+    """
+    rows = materialise(fingerprints(docs, shingle, seed, id_col, text_col, row_col), "fingerprints")
     fps = materialise(rows.groupBy("fp").agg(F.min("id").alias("id"), F.min(F.when(F.col("id").isNull(), F.col(ROW_ID))).alias("bare")),
                       "distinct-fingerprints")
     roots = connected_components(links(fps, max_bits))
