@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.llm import bpe, decontaminate, langid, line_dedup, simhash
-from labelflow.llm.common import ROW_ID, held_out, materialise, ship_package, with_row_id
+from labelflow.llm.common import ROW_ID, fresh, held_out, materialise, ship_package, with_row_id
 
 MIN_LANGUAGE_SCORE = 0.5
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,26 +28,29 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes later copies of repeated line runs; a document of which nothing is left goes."""
     ship_package(spark)
     out = line_dedup.dedup_rows(docs)
-    emptied = (F.size("__deleted") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    n_lines, deleted = out.columns[-2:]
+    emptied = (F.size(deleted) > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     return out.where(~F.coalesce(emptied, F.lit(False))).withColumn(
-        "n_chars", F.when(F.size("__deleted") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+        "n_chars", F.when(F.size(deleted) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).drop(n_lines, deleted)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the smallest doc_id, of each group of linked fingerprints."""
     ship_package(spark)
-    rows = materialise(with_row_id(docs), "simhash-docs", "zstd")
-    kept = simhash.near_duplicates(rows, shingle=3, max_bits=2).where("keep").select(ROW_ID)
-    return rows.join(kept.hint("merge"), ROW_ID, "left_semi").select(*docs.columns)
+    row = fresh(ROW_ID, docs.columns)
+    rows = materialise(with_row_id(docs, row), "simhash-docs", "zstd")
+    kept = simhash.near_duplicates(rows, shingle=3, max_bits=2, row_col=row).where("keep").select(F.col(ROW_ID).alias(row))
+    return rows.join(kept.hint("merge"), row, "left_semi").drop(row)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that share a window of words with a benchmark item."""
     ship_package(spark)
-    rows = materialise(with_row_id(docs), "benchmark-docs", "zstd")
+    row = fresh(ROW_ID, docs.columns)
+    rows = materialise(with_row_id(docs, row), "benchmark-docs", "zstd")
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    bad = decontaminate.contaminated_words(rows, items).where("n_hit > 0").select(ROW_ID)
-    return rows.join(bad.hint("merge"), ROW_ID, "left_anti").select(*docs.columns)
+    bad = decontaminate.contaminated_words(rows, items, row_col=row).where("n_hit > 0").select(F.col(ROW_ID).alias(row))
+    return rows.join(bad.hint("merge"), row, "left_anti").drop(row)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
