@@ -27,6 +27,10 @@ STRATEGIES = ("first_line", "canonical", "strict", "cascade_plain", "cascade")
 CHUNK_SPLIT = r"[\n,;:]+"
 
 
+#: Largest vocabulary, in bytes with 64 for each label, that a join on labels broadcasts.
+BROADCAST_BYTES = 32 << 20
+
+
 class _Resolver:
     """Lowered key -> canonical label with O(1) membership.
 
@@ -209,9 +213,9 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
     """X02-X05 for any vocabulary size, by joins instead of an inlined map (exact, same results).
 
     Every row emits, in one pass, its lookup keys with a priority, the phrases of its
-    text that could be a label (``phrases.windows``), and itself; these join the vocabulary (Spark
-    broadcasts it when small, otherwise shuffles both sides on the key, and AQE
-    splits a key that many rows share); the best hit per row is a min over
+    text that could be a label (``phrases.windows``), and itself; these join the vocabulary. One of at most
+    BROADCAST_BYTES is read once and broadcast, so that only hits and rows move; beyond, both sides are
+    shuffled on the key, and AQE splits a key that many rows share. The best hit per row is a min over
     (stage, position, label), an aggregate keyed by the unique row key that also
     brings the row's columns back. The input is evaluated once, and its text moves once.
 
@@ -228,6 +232,10 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
     else:
         agg = F.min("_label")
     keyed = v.groupBy(F.lower("_label").alias("_k")).agg(agg.alias("_label"))
+    size = keyed.agg(F.sum(F.octet_length("_k") + F.octet_length("_label") + 64)).first()[0] or 0
+    small = size <= BROADCAST_BYTES
+    if small:
+        keyed = df.sparkSession.createDataFrame(keyed.collect(), keyed.schema)
     lookup = keyed.select("_k", F.lit(0).alias("_kind"), "_label")
     found = "struct<p:int,s:int,k:string,kind:int,row:boolean>"
 
@@ -253,7 +261,7 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
     wide = df.select(F.struct(*df.columns).alias("_row"), F.explode(F.concat(emitted, itself)).alias("_c"))
     slim = wide.select(F.col(f"_row.{key}").alias("_key"), F.col("_c.p").alias("_p"), F.col("_c.s").alias("_s"), F.col("_c.k").alias("_k"),
                        F.col("_c.kind").alias("_kind"), F.when(F.col("_c.row"), F.col("_row")).alias("_row"))
-    hits = slim.join(lookup, ["_k", "_kind"], "left")
+    hits = slim.join(F.broadcast(lookup) if small else lookup, ["_k", "_kind"], "left").where(F.col("_label").isNotNull() | F.col("_row").isNotNull())
     # inside the text the longest label is best
     hits = hits.withColumn("_s", F.when(F.col("_kind") == 1, -F.length("_label")).otherwise(F.col("_s")))
     best = hits.groupBy("_key").agg(F.min(F.when(F.col("_label").isNotNull(), F.struct("_p", "_s", "_label"))).alias("_b"),
