@@ -61,6 +61,32 @@ def early_stop_epoch(spark, sf):
     return C.early_stop_epoch(_epochs(spark, sf), patience=2)
 
 
+@register("stream_early_stop", _EPOCH_SQL + """,
+f AS (
+  SELECT run, epoch, row_number() OVER w AS rn,
+    macro_f1 > coalesce(max(macro_f1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1e308) AS imp
+  FROM em WINDOW w AS (PARTITION BY run ORDER BY epoch)
+),
+s AS (
+  SELECT run, epoch,
+    rn - max(CASE WHEN imp THEN rn END) OVER (PARTITION BY run ORDER BY epoch
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak
+  FROM f
+)
+SELECT run, CAST(min(epoch) AS INTEGER) AS stop_epoch FROM s WHERE streak >= 1 GROUP BY run""")
+def stream_early_stop(spark, sf):
+    """A14 as evaluations come in, epoch by epoch in two runs of the stream over one checkpoint; patience 1."""
+    from labelflow.session import scratch_dir
+    from labelflow.streaming import stream as st
+
+    epochs = _epochs(spark, sf).select("run", F.col("epoch").cast("int").alias("epoch"), "macro_f1").checkpoint(eager=True)
+    src, out, ckpt = (scratch_dir(spark, f"stop_{x}") for x in ("incoming", "out", "ckpt"))
+    for some in (F.col("epoch") <= 2, F.col("epoch") > 2):
+        epochs.where(some).write.mode("append").parquet(src)
+        st.append_to_files(st.early_stop_stream(st.read_stream(spark, src, "run string, epoch int, macro_f1 double"), patience=1), out, ckpt).awaitTermination()
+    return spark.read.schema("run string, stop_epoch int").parquet(out)
+
+
 # --- model comparison over metric records -------------------------------------------------
 
 _BY = ("model_name",)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -113,6 +114,41 @@ class PairCounts:
         return (rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.add).trigger(availableNow=True).start())
 
 
+_STOP_STATE = "best double, streak int, seen int, stopped boolean"
+
+
+def early_stop_stream(epochs: DataFrame, patience: int = 2, run: str = "run", epoch: str = "epoch", metric: str = "macro_f1") -> DataFrame:
+    """(run, stop_epoch): for each run of a stream of evaluations, once, the first epoch at which ``metric`` has
+    not improved on its best for ``patience`` evaluations in a row (A14).
+
+    State per run: the best value, evaluations since then, the last epoch and whether it has
+    stopped. Epochs of one batch are taken in order; an epoch that comes again or after a later
+    one is left out. Runs that don't stop give no row; a null metric is no improvement.
+    """
+    kind = epochs.schema[run].dataType.simpleString()
+
+    def stop(key, frames, state):
+        best, streak, seen, stopped = state.get if state.exists else (float("-inf"), 0, -(2**31), False)
+        rows = pd.concat(list(frames))
+        found = None
+        for e, value in sorted(zip(rows["epoch"].tolist(), rows["metric"].tolist()), key=lambda x: x[0]):
+            if stopped or e <= seen:
+                continue
+            seen = e
+            if value is not None and value > best:
+                best, streak = float(value), 0
+            else:
+                streak += 1
+            if streak >= patience:
+                stopped, found = True, e
+        state.update((best, streak, int(seen), stopped))
+        if found is not None:
+            yield pd.DataFrame({"run": [key[0]], "stop_epoch": [found]})
+
+    rows = epochs.select(F.col(run).alias("run"), F.col(epoch).cast("int").alias("epoch"), F.col(metric).cast("double").alias("metric"))
+    return rows.groupBy("run").applyInPandasWithState(stop, f"run {kind}, stop_epoch int", _STOP_STATE, "append", "NoTimeout")
+
+
 def complete_to_table(agg: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """Run an aggregation stream to completion (availableNow) and return its final result table.
 

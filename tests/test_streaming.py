@@ -18,3 +18,25 @@ def test_stream_confusion_equals_batch(spark):
     streamed = st.complete_to_table(st.confusion_stream(st.extract_stream(s, labels)), spark, "t")
     batch = ev.pair_counts(rows.withColumn("predicted_label", X.extract_cascade("raw_prediction", labels)))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_early_stop_is_told_once_and_equals_batch(spark):
+    """Runs that stop, recover too late, never stop, and have nulls; a restart between batches and a repeated epoch."""
+    import itertools
+
+    from pyspark.sql import functions as F
+
+    from labelflow.operators import compare as C
+
+    curves = {"a": [0.1, 0.3, 0.2, 0.2, 0.9], "b": [0.5, 0.5, 0.6, 0.5, 0.4], "c": [0.1, 0.2, 0.3, 0.4, 0.5], "d": [0.4, 0.3], "e": [0.2, 0.1, 0.3, 0.2, 0.25]}
+    rows = [(r, e + 1, v) for r, values in curves.items() for e, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "run string, epoch int, macro_f1 double")
+    batch = {r["run"]: r["stop_epoch"] for r in C.early_stop_epoch(df, patience=2).collect()}
+    src, out, ckpt = (scratch_dir(spark, f"t-stop-{x}") for x in ("in", "out", "ckpt"))
+    for some in ([1], [2], [2, 3], [4, 5]):  # epoch 2 comes twice
+        df.where(F.col("epoch").isin(some)).coalesce(1).write.mode("append").parquet(src)
+        s = st.read_stream(spark, src, "run string, epoch int, macro_f1 double", max_files_per_trigger=1)
+        st.append_to_files(st.early_stop_stream(s), out, ckpt).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got == sorted((r, e) for r, e in batch.items() if e is not None) and len(got) == len({r for r, _ in got})
+    assert any(batch.values()) and not all(itertools.chain(batch.values()))
