@@ -119,8 +119,9 @@ def confusion(a) -> None:
     preds = _predictions(spark, a.predictions)
     pairs = ev.pair_counts(preds).checkpoint(eager=True)
     stem = a.stem or _stem(a.predictions)
-    labels = ev.label_universe(pairs)
-    io.write_wide_confusion(ev.confusion_wide(None, labels, pairs=pairs), labels, f"{a.out}/{stem}_confusion.csv")
+    seen = pairs.select(F.explode(F.array(ev.GOLD, ev.PRED)).alias("label")).distinct()
+    ids = V.label_ids(seen).checkpoint(eager=True)  # made-up labels count too: the list stays a table
+    io.write_wide_pairs(pairs, ids, f"{a.out}/{stem}_confusion.csv")
     top = ev.top_confused_pairs(None, k=a.top_k, pairs=pairs)
     io.write_csv(top, f"{a.out}/{stem}_top_confused_pairs.csv", single_file=True)
     for r in top.collect():

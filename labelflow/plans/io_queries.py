@@ -161,3 +161,18 @@ def line_ordinals(spark, sf):
 def first_lines(spark, sf):
     """O03 on files: the first 50 lines, from the files they stand in."""
     return io.read_jsonl_numbered(spark, _ordered_jsonl(spark, sf), "o_orderkey bigint", first=50).select("o_orderkey", "line")
+
+
+@register("confusion_wide_files", O.with_(O.f2_cte("a"), O.metric_ctes(), """
+labels AS (SELECT gold AS label FROM pairs UNION SELECT pred FROM pairs)""") + """
+SELECT 'gold,' || string_agg(label, ',' ORDER BY label) AS value FROM labels
+UNION ALL
+SELECT g.label || ',' || string_agg(CAST(coalesce(cnt, 0) AS VARCHAR), ',' ORDER BY p.label)
+FROM labels g CROSS JOIN labels p LEFT JOIN pairs ON pairs.gold = g.label AND pairs.pred = p.label GROUP BY g.label""")
+def confusion_wide_files(spark, sf):
+    """A06 from sparse pairs and a table of labels: the header and a line per label."""
+    pairs = ev.pair_counts(fx.f2_predictions(spark, sf, "a")).checkpoint(eager=True)
+    ids = V.label_ids(pairs.select(F.explode(F.array(ev.GOLD, ev.PRED)).alias("label")))
+    path = scratch_dir(spark, "confusion_lines")
+    io.write_wide_pairs(pairs, ids.checkpoint(eager=True), path)
+    return spark.read.text(path).select("value")

@@ -135,23 +135,62 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
      .csv(path))
 
 
+def _csv_field(c: Column) -> Column:
+    return F.when(c.rlike('[",\n\r]') | (c == ""), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+
+
 def write_wide_confusion(wide: DataFrame, labels: Sequence[str], path: str) -> None:
-    """Wide confusion CSV (A06): a header of labels, then a line per gold label in the order of ``labels``.
+    """Wide confusion CSV (A06) of a given label list: a header of labels, then a line per gold label in the order of ``labels``.
 
     Lines are written as text, so labels that no column could be called (case
-    variants, dots, quotes, newlines) are plain quoted fields.
+    variants, dots, quotes, newlines) are plain quoted fields. For a label list in a table, or one
+    of many thousands, see ``write_wide_pairs``.
     """
-    def field(c: Column) -> Column:
-        return F.when(c.rlike('[",\n\r]') | (c == ""), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
-
     spark = wide.sparkSession
     at = spark.createDataFrame([("gold", -1, list(labels))], "gold string, at int, cells array<string>")
     order = spark.createDataFrame(list(enumerate(labels)), "at int, gold string")
     rows = wide.join(order, "gold").select("gold", "at", F.col("counts").cast("array<string>").alias("cells"))
-    lines = at.unionByName(rows).select("at", F.array_join(F.transform(F.concat(F.array("gold"), "cells"), field), ",").alias("value"))
+    lines = at.unionByName(rows).select("at", F.array_join(F.transform(F.concat(F.array("gold"), "cells"), _csv_field), ",").alias("value"))
     lines.repartition(1).sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
 
 
+#: Cells of a wide confusion table that one file holds.
+CELLS_PER_FILE = 50_000_000
+
+
+def write_wide_pairs(pairs: DataFrame, ids: DataFrame, path: str, cells_per_file: int = CELLS_PER_FILE) -> int:
+    """Wide confusion CSV (A06) from sparse pairs (gold, pred, count) and a table of labels (label, label_id from 0 on).
+
+    A header of labels, then a line per gold label by label_id. The label list stays a table, a line is
+    put together from its own cells and runs of zeros, and lines are dealt to files of about
+    ``cells_per_file`` cells by their place, each with the header: ``file=0``, ``file=1`` and so on if there are
+    several. Pairs whose labels are not in the table are left out. Returns the number of files.
+    """
+    n = ids.count()
+    per_file = max(1, cells_per_file // max(1, n))
+    files = max(1, -(-n // per_file))
+    places = ids.select(F.col("label"), F.col("label_id").cast("int").alias("at"))
+    cells = (pairs.join(places.withColumnsRenamed({"label": "pred", "at": "_col"}), "pred").join(places.withColumnRenamed("label", "gold"), "gold")
+             .groupBy("at").agg(F.array_sort(F.collect_list(F.struct("_col", "count"))).alias("cells")))
+    none = F.lit(",0")
+    # neighbours of a cell by position: the list of places once, then the text of each cell
+    placed = cells.select("at", "cells", F.transform("cells", lambda x: x["_col"]).alias("cols"))
+    text = F.transform("cells", lambda c, i: F.concat(F.repeat(none, c["_col"] - F.coalesce(F.get("cols", i - 1), F.lit(-1)) - 1), F.lit(","), c["count"].cast("string")))
+    tail = F.repeat(none, F.lit(n - 1) - F.element_at("cols", -1))
+    filled = placed.select("at", F.concat(F.array_join(text, ""), tail).alias("cells"))
+    lines = (places.join(filled, "at", "left")
+             .select(F.floor(F.col("at") / per_file).cast("int").alias("file"), "at", F.concat(_csv_field(F.col("label")), F.coalesce("cells", F.repeat(none, F.lit(n)))).alias("value")))
+    heads = places.agg(F.array_sort(F.collect_list(F.struct("at", "label"))).alias("all"))
+    heads = heads.select(F.explode(F.sequence(F.lit(0), F.lit(files - 1))).alias("file"), F.lit(-1).alias("at"),
+                         F.concat_ws(",", F.lit("gold"), F.transform("all", lambda x: _csv_field(x["label"]))).alias("value"))
+    out = lines.unionByName(heads).repartition(files, "file").sortWithinPartitions("file", "at")
+    if files == 1:
+        out.select("value").write.mode("overwrite").text(path)
+    else:
+        out.select("file", "value").write.mode("overwrite").partitionBy("file").text(path)
+    return files
+
+
 # A null marker no CSV field holds: lets empty fields read back as '' instead of NULL.
 _NO_NULL = "\u0000"
 

@@ -55,3 +55,42 @@ def test_metrics_json_rounding(spark):
     io.write_metrics_json(df, base, decimals=10)
     r = spark.read.json(base).first()
     assert r["accuracy"] == 0.4177777778 and r["macro_f1"] == 0.2095731158 and r["n"] == 7
+
+
+def _wide_lines(path):
+    import glob
+
+    return {os.path.dirname(f).removeprefix(path).strip("/"): open(f, newline="").read() for f in sorted(glob.glob(f"{path}/**/part-*", recursive=True)) if not f.endswith(".crc")}
+
+
+def test_wide_pairs_equal_the_given_list_form(spark):
+    from labelflow.operators import evaluate as ev
+
+    labels = sorted(["a", "A", "b.c", 'q"t', "two\nlines", "x,y", "", "zz"])
+    rows = [(g, p) for i, g in enumerate(labels[:-1]) for p in labels[i::3] for _ in range(i + 1)]
+    pairs = ev.pair_counts(spark.createDataFrame(rows, "gold_label string, predicted_label string"))
+    one, two, three = (scratch_dir(spark, f"t-wide-{k}") for k in range(3))
+    io.write_wide_confusion(ev.confusion_wide(None, labels, pairs=pairs), labels, one)
+    ids = spark.createDataFrame([(x, i) for i, x in enumerate(labels)], "label string, label_id int")
+    assert io.write_wide_pairs(pairs, ids, two) == 1
+    assert io.write_wide_pairs(pairs, ids, three, cells_per_file=24) == 3
+    (expected,), (whole,) = _wide_lines(one).values(), _wide_lines(two).values()
+    assert whole == expected
+    import csv
+    import io as sio
+
+    table, parts = list(csv.reader(sio.StringIO(expected))), _wide_lines(three)
+    assert sorted(parts) == ["file=0", "file=1", "file=2"]
+    read = [list(csv.reader(sio.StringIO(parts[f"file={k}"]))) for k in range(3)]
+    assert all(r[0] == table[0] for r in read) and [x for r in read for x in r[1:]] == table[1:]
+
+
+def test_wide_pairs_of_many_labels(spark):
+    n = 3000
+    ids = spark.range(n).select(F.format_string("l%05d", "id").alias("label"), F.col("id").cast("int").alias("label_id"))
+    pairs = ids.select(F.col("label").alias("gold"), F.format_string("l%05d", (F.col("label_id") * 7) % n).alias("pred"), F.lit(5).cast("long").alias("count"))
+    path = scratch_dir(spark, "t-wide-many")
+    assert io.write_wide_pairs(pairs, ids, path, cells_per_file=1_000_000) == 10
+    lines = [x.split(",") for k in range(10) for x in _wide_lines(path)[f"file={k}"].splitlines()[1:]]
+    assert [x[0] for x in lines] == [f"l{k:05d}" for k in range(n)]
+    assert all(len(x) == n + 1 and x[1 + (k * 7) % n] == "5" and x.count("0") == n - 1 for k, x in enumerate(lines))
