@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from labelflow.functions import phrases
-from labelflow.functions.text import _c, first_line, match_normalize, py_strip, strip_chars
+from labelflow.functions.text import WS, _c, first_line, match_normalize, py_strip, strip_chars
 
 STRATEGIES = ("first_line", "canonical", "strict", "cascade_plain", "cascade")
 # The chunk separators of the cascade strategies (newline, comma, semicolon, colon).
@@ -166,12 +166,20 @@ def extract_label(text, labels: Sequence[str] | None = None, strategy: str = "ca
 
 # --- join-based path for vocabularies of any size ----------------------------------------------
 
-def _stages(text: Column, strategy: str, quote_mode: str = "sequential"):
+def _strip_ends(c: Column) -> Column:
+    """``py_strip`` that looks through the text only where an end has white space; ``c`` must be cheap to name again."""
+    return F.when(F.left(c, F.lit(1)).rlike(rf"(?U){WS}") | F.right(c, F.lit(1)).rlike(rf"(?U){WS}"), py_strip(c)).otherwise(c)
+
+
+def _stages(text: Column, strategy: str, quote_mode: str = "sequential", stripped: Column | None = None):
     """(candidate array<struct<p:int, s:int, k:string>>, whole-word text or None, fallback, dedupe)
 
     ``p`` is the stage priority, ``s`` the position inside the stage (first chunk wins),
     ``k`` the lowered lookup key; ``dedupe`` says which label wins a shared lowered key.
+    ``stripped`` is the stripped text where a caller has it already.
     """
+    stripped = py_strip(text) if stripped is None else stripped
+
     def one(p, k):
         return F.array(F.struct(F.lit(p).alias("p"), F.lit(0).alias("s"), k.alias("k")))
 
@@ -189,13 +197,12 @@ def _stages(text: Column, strategy: str, quote_mode: str = "sequential"):
         arr = F.concat(one(0, match_normalize(t)), one(1, match_normalize(cleaned)))
         return arr, None, F.coalesce(F.when(cleaned != "", cleaned), t), "first"
     if strategy == "cascade_plain":
-        t = F.lower(py_strip(text))
-        arr = F.concat(one(0, t), chunks(1, F.split(t, CHUNK_SPLIT), py_strip))
-        stripped = py_strip(text)
+        t = F.lower(stripped)
+        arr = F.concat(one(0, t), chunks(1, F.split(t, CHUNK_SPLIT), _strip_ends))
         fb = F.when(stripped == "", F.lit("")).otherwise(py_strip(first_line(stripped)))
         return arr, t, fb, "length"
     if strategy == "cascade":
-        t = py_strip(text)
+        t = stripped
         if quote_mode == "sequential":
             key = lambda c: match_normalize(py_strip(_strip_quotes(py_strip(c), quote_mode)))
         else:
@@ -212,18 +219,22 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
                        out: str = "predicted_label", label: str = "label", quote_mode: str = "sequential"):
     """X02-X05 for any vocabulary size, by joins instead of an inlined map (exact, same results).
 
-    Every row emits, in one pass, its lookup keys with a priority, the phrases of its
-    text that could be a label (``phrases.windows``), and itself; these join the vocabulary. One of at most
-    BROADCAST_BYTES is read once and broadcast, so that only hits and rows move; beyond, both sides are
-    shuffled on the key, and AQE splits a key that many rows share. The best hit per row is a min over
-    (stage, position, label), an aggregate keyed by the unique row key that also
-    brings the row's columns back. The input is evaluated once, and its text moves once.
+    Rows give their lookup keys with a priority, and the phrases of their text that could be a
+    label (``phrases.occurrences``); both are joined with the vocabulary as narrow rows of (row key, phrase).
+    One of at most BROADCAST_BYTES is read once and broadcast, so that only hits move; beyond, both sides
+    are shuffled on the phrase, and AQE splits one that many rows share. The best hit per row is a min over
+    (stage, position, label) with a partial aggregate, joined back by the row key, so a text moves at
+    most once. ``df`` is read for keys, phrases and rows, each with the columns it needs: its keys must be the
+    same each time. A null key gets no hit, rows that share a key share their hits.
 
     A phrase that joins is an occurrence, so nothing is looked for in the text again. The
-    vocabulary's numbers of runs and, if they are few, its first runs decide which phrases are cut.
+    vocabulary's first runs and numbers of runs decide which phrases are cut.
     """
     t = F.col(text)
-    arr, words_text, fallback, dedupe = _stages(t, strategy, quote_mode)
+    fallback, dedupe = _stages(t, strategy, quote_mode)[2:]
+    # the generator keeps the text from being stripped again for every use below
+    stripped = df.select(F.col(key).alias("_key"), F.explode(F.array(_strip_ends(t))).alias("_t"))
+    arr, words_text = _stages(F.col("_t"), strategy, quote_mode, F.col("_t"))[:2]
     v = vocab.select(F.col(label).alias("_label")).where(F.col("_label").isNotNull()).distinct()
     if dedupe == "last":
         agg = F.max("_label")
@@ -236,36 +247,14 @@ def extract_label_join(df, key: str, text: str, vocab, strategy: str = "cascade"
     small = size <= BROADCAST_BYTES
     if small:
         keyed = df.sparkSession.createDataFrame(keyed.collect(), keyed.schema)
-    lookup = keyed.select("_k", F.lit(0).alias("_kind"), "_label")
-    found = "struct<p:int,s:int,k:string,kind:int,row:boolean>"
-
-    def entry(p, s_, k, kind):
-        return F.struct(p.alias("p"), s_.alias("s"), k.alias("k"), kind.alias("kind"), F.lit(False).alias("row")).cast(found)
-
-    emitted = F.transform(F.filter(arr, lambda c: c["k"].isNotNull()), lambda c: entry(c["p"], c["s"], c["k"], F.lit(0)))
-    emitted = F.coalesce(emitted, F.array().cast(f"array<{found}>"))
+    lookup = F.broadcast(keyed) if small else keyed
+    keys = stripped.select("_key", F.explode(arr).alias("_c")).select("_key", "_c.p", "_c.s", F.col("_c.k").alias("_k"))
+    hits = keys.join(lookup, "_k").select("_key", F.struct("p", "s", "_label").alias("_hit"))
     if words_text is not None:
-        sizes = phrases.sizes_of(keyed.select("_k"), "_k")
-
-        def cut(parts):
-            found = [phrases.windows(parts, n, None if firsts is None else phrases.among(firsts)) for n, firsts in sizes]
-            return found[0] if len(found) == 1 else F.concat(*found)
-
-        if sizes:
-            inside = F.transform(phrases.bound(phrases.runs(words_text), cut), lambda w: entry(F.lit(9), F.lit(0), w, F.lit(1)))
-            emitted = F.concat(emitted, F.coalesce(inside, F.array().cast(f"array<{found}>")))
-        lookup = lookup.unionByName(keyed.where(F.col("_k") != "").select("_k", F.lit(1).alias("_kind"), "_label"))
-    # the row itself travels under a key of its own
-    itself = F.array(F.struct(F.lit(99).alias("p"), F.lit(0).alias("s"), F.concat(F.lit("\u0000"), F.col(key).cast("string")).alias("k"),
-                              F.lit(2).alias("kind"), F.lit(True).alias("row")).cast(found))
-    wide = df.select(F.struct(*df.columns).alias("_row"), F.explode(F.concat(emitted, itself)).alias("_c"))
-    slim = wide.select(F.col(f"_row.{key}").alias("_key"), F.col("_c.p").alias("_p"), F.col("_c.s").alias("_s"), F.col("_c.k").alias("_k"),
-                       F.col("_c.kind").alias("_kind"), F.when(F.col("_c.row"), F.col("_row")).alias("_row"))
-    hits = slim.join(F.broadcast(lookup) if small else lookup, ["_k", "_kind"], "left").where(F.col("_label").isNotNull() | F.col("_row").isNotNull())
-    # inside the text the longest label is best
-    hits = hits.withColumn("_s", F.when(F.col("_kind") == 1, -F.length("_label")).otherwise(F.col("_s")))
-    best = hits.groupBy("_key").agg(F.min(F.when(F.col("_label").isNotNull(), F.struct("_p", "_s", "_label"))).alias("_b"),
-                                    F.first("_row", ignorenulls=True).alias("_row"))
-    back = best.select("_row.*", F.col("_b._label").alias("_best"))
-    return (back.withColumn(out, F.when(t.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(F.col("_best"), fallback)))
-            .drop("_best"))
+        found = phrases.occurrences(stripped.select("_key", words_text.alias("_t")), "_key", "_t", keyed.select("_k"), "_k", BROADCAST_BYTES)
+        # inside the text the longest label is best
+        hits = hits.unionByName(found.join(lookup, "_k").select(
+            "_key", F.struct(F.lit(9).alias("p"), (-F.length("_label")).alias("s"), "_label").alias("_hit")))
+    best = hits.groupBy("_key").agg(F.min("_hit")["_label"].alias("_best"))
+    rows = df.select(*df.columns, F.col(key).alias("_key")).join(best, "_key", "left")
+    return rows.select(*df.columns, F.when(t.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(F.col("_best"), fallback)).alias(out))

@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 WORD = r"\p{L}\p{N}_"
 RUNS = rf"([{WORD}]+|[^{WORD}]+)"
 _PY_RUNS = re.compile(r"\w+|\W+")
-#: Most different first runs that enter a plan as literals; a table with more is joined without them.
-MOST_FIRSTS = 5_000
 
 
 def runs(text: Column) -> Column:
@@ -53,6 +51,31 @@ def windows(parts: Column, size: int, firsts: Callable[[Column], Column] | None
     return F.when(n >= size, F.array_distinct(F.transform(starts, text))).otherwise(F.array().cast("array<string>"))
 
 
+def occurrences(rows: DataFrame, key: str, text: str, labels: DataFrame, label: str, most_bytes: int) -> DataFrame:
+    """(key, label): a row for each place of a text whose runs could be one of ``labels``, a table.
+
+    The plan form of ``windows``: runs are generated as rows that never leave the task and are tested in
+    compiled code, where a function over arrays would be interpreted run by run. The first runs of the
+    labels, with the numbers of runs that follow them, are broadcast if they take up to ``most_bytes``, so a phrase is put
+    together only where some label could start; beyond, wherever a word or separator begins.
+    """
+    cut = labels.where(F.col(label) != "").select(runs(F.col(label)).alias("_runs"))
+    heads = cut.select(F.get("_runs", F.lit(0)).alias("_first"), F.size("_runs").alias("_size")).distinct()
+    # the first generator keeps the runs from being cut again for every use below
+    texts = rows.select(key, F.explode(F.array(runs(F.col(text)))).alias("_runs"))
+    at = texts.select(key, "_runs", F.posexplode("_runs").alias("_i", "_first"))
+    taken = heads.agg(F.sum(F.octet_length("_first") + 64)).first()[0] or 0
+    if taken <= most_bytes:
+        at = at.join(F.broadcast(heads), "_first")
+    else:
+        sizes = [r[0] for r in heads.select("_size").distinct().collect()]
+        at = at.select("*", F.explode(F.array(*[F.lit(n) for n in sorted(sizes)])).alias("_size"))
+    n, i, size = F.size("_runs"), F.col("_i"), F.col("_size")
+    last = F.get("_runs", i + size - 1)
+    fits = (i + size <= n) & ((i > 0) | F.col("_first").rlike(rf"^[{WORD}]")) & ((i + size < n) | last.rlike(rf"^[{WORD}]"))
+    return at.where(fits).select(key, F.array_join(F.slice("_runs", i + 1, size), "").alias(label))
+
+
 def among(values: list[str]) -> Callable[[Column], Column]:
     """Membership in a set that the optimizer hashes."""
     return lambda x: x.isin(*values)
@@ -84,19 +107,3 @@ class PhraseIndex:
             return found[0] if len(found) == 1 else F.concat(*found)
 
         return F.when(text.isNotNull(), bound(runs(text), look))
-
-
-def sizes_of(labels: DataFrame, label: str) -> list[tuple[int, list[str] | None]]:
-    """Of a table of labels, for each number of runs: the first runs (None if too many for a plan).
-
-    The driver gets one row for each number of runs, with at most MOST_FIRSTS short strings.
-    """
-    cut = labels.where(F.col(label) != "").select(runs(F.col(label)).alias("runs"))
-    heads = cut.select(F.size("runs").alias("size"), F.get("runs", F.lit(0)).alias("first")).distinct()
-    counted = heads.groupBy("size").count().collect()
-    small = [r["size"] for r in counted if r["count"] <= MOST_FIRSTS]
-    firsts: dict[int, list[str]] = {}
-    if small:
-        for r in heads.where(F.col("size").isin(*small)).collect():
-            firsts.setdefault(r["size"], []).append(r["first"])
-    return [(r["size"], sorted(firsts[r["size"]]) if r["size"] in firsts else None) for r in sorted(counted, key=lambda r: r["size"])]

@@ -35,9 +35,8 @@ def test_equals_the_rule_for_each_label(spark, seed):
     assert got == {i: per_label(t, labels) for i, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("most_firsts, most_bytes", [(5000, 32 << 20), (0, 32 << 20), (5000, 0)])
-def test_join_equals_inline(spark, monkeypatch, most_firsts, most_bytes):
-    monkeypatch.setattr(P, "MOST_FIRSTS", most_firsts)
+@pytest.mark.parametrize("most_bytes", [32 << 20, 6000, 0])
+def test_join_equals_inline(spark, monkeypatch, most_bytes):
     monkeypatch.setattr(X, "BROADCAST_BYTES", most_bytes)
     labels = [x for x in made(7, 80, 6) if x.strip()]
     rows = spark.createDataFrame(list(enumerate([*made(8, 200, 14), "", None])), "i int, t string")
