@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelflow.functions import extract as X
-from labelflow.functions import phrases as P
 
 ALPHABET = ["ab", "b", "c2", "é", "日本", "_", " ", "  ", "-", "+", ".", "\n", "'", "\\E", "$"]
 
