@@ -45,8 +45,9 @@ GRAM = 48
 BACK = LENGTH - GRAM
 SHALLOW = 64
 HOT = 50_000
-#: Bytes that are hashed at once, and contexts that are sorted at once unless one gram has more.
-PIECE = 1 << 20
+#: Bytes that are hashed at once (a task holds about a hundred times as much for it), and contexts
+#: that are sorted at once unless one gram has more.
+PIECE = 1 << 17
 SORTED = 20_000
 _SEEN = 200_000
 _KEY = ["k1", "k2"]
@@ -144,7 +145,7 @@ def _context(text: bytes, at: int) -> tuple[bytes, int]:
     return text[at - left : at + LENGTH], left
 
 
-def _binary_rows(column: pa.Array, step: int = 512) -> Iterator[tuple[int, list[bytes]]]:
+def _binary_rows(column: pa.Array, step: int = 128) -> Iterator[tuple[int, list[bytes]]]:
     for at in range(0, len(column), step):
         yield at, column.slice(at, step).to_pylist()
 
@@ -154,12 +155,13 @@ _ANCHOR = "h bigint, c1 bigint, c2 bigint, k1 bigint, k2 bigint, at int"
 
 def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of texts (k1, k2, text); of copies that a task has seen lately, none."""
-    seen: set[tuple[int, int]] = set()
+    seen: set[bytes] = set()
     for batch in batches:
         k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        keys = np.stack((k1, k2), 1).tobytes()
         for first, texts in _binary_rows(batch.column(2)):
             for i, text in enumerate(texts):
-                key = (k1[first + i], k2[first + i])
+                key = keys[16 * (first + i) : 16 * (first + i + 1)]
                 if len(text) < LENGTH or key in seen:
                     texts[i] = b""
                     continue

@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from labelflow.llm import queries, suffix_dedup as S
@@ -116,6 +118,23 @@ def test_texts_longer_than_a_piece(spark, monkeypatch):
     assert run(table(spark, rows)) == expected(rows)
 
 
+def test_anchors_need_little_memory_beside_their_batch():
+    texts = [prose(k, 600).encode() for k in range(1200)]
+    keys = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, keys, pa.array(texts, pa.binary())], names=["k1", "k2", "text"])
+    assert batch.nbytes > 4 << 20
+    S._powers.cache_clear()
+    tracemalloc.start()
+    try:
+        n = sum(out.num_rows for out in S._anchor_rows([batch, batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        S._powers.cache_clear()
+    # one row an anchor, copies none; pieces of a megabyte took 89 MB
+    assert n == len(list(S._text_anchors(texts))) and peak < 32 << 20
+
+
 def test_no_rows(no_docs):
     out = S.deduplicate(no_docs)
     assert out.columns == ["doc_id", "n_bytes", "n_removed", "spans", "kept"] and out.count() == 0
