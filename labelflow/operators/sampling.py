@@ -24,7 +24,6 @@ def _list(x) -> list[str]:
 # grows with the table so that the second bounds what is broadcast.
 BUCKET_ROWS = 500_000
 MAX_BUCKETS = 20_000
-_CHUNK = 128
 
 
 def group_ordinal(df: DataFrame, group, order, out: str = "position", total: str | None = None,
@@ -47,28 +46,30 @@ def group_ordinal(df: DataFrame, group, order, out: str = "position", total: str
     size = max(bucket_rows, -(-narrow.count() // MAX_BUCKETS))
     place = F.struct(*order)
     hit = F.pmod(F.xxhash64(F.lit(11), *group, *order), F.lit(size)) == 0
-    bounds = (narrow.where(hit).groupBy(*group).agg(F.array_sort(F.collect_set(place)).alias("__keys"))
-              .select(*[F.col(g).alias(f"_g_{g}") for g in group],
-                      F.transform(F.sequence(F.lit(0), F.floor((F.size("__keys") - 1) / _CHUNK).cast("int")),
-                                  lambda i: F.slice("__keys", i * _CHUNK + 1, F.lit(_CHUNK))).alias("_bounds")))
+    bounds = (narrow.where(hit).groupBy(*group).agg(F.array_sort(F.collect_set(place)).alias("_bounds"))
+              .select(*[F.col(g).alias(f"_g_{g}") for g in group], "_bounds"))
 
-    def local(small: DataFrame) -> DataFrame:
-        return F.broadcast(df.sparkSession.createDataFrame(small.collect(), small.schema))
+    def local(rows: list, schema) -> DataFrame:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
-    bounds = local(bounds)
-    if bounds.isEmpty():  # one bucket for each group
+    found = bounds.collect()
+    if not found:  # one bucket for each group
         whole = Window.partitionBy(*group)
         extra = [] if total is None else [F.count(F.lit(1)).over(whole).alias(total)]
         position = (F.row_number().over(whole.orderBy(*order)) - 1).cast("bigint")
         return df.select("*", position.alias(out), *extra)
+    most = max(len(r["_bounds"]) for r in found)
+    bounds = local(found, bounds.schema)
 
     def bucketed(rows: DataFrame) -> DataFrame:
         same = [rows[g].eqNullSafe(F.col(f"_g_{g}")) for g in group]
-        # bounds come in chunks: the chunk first, then the place inside it
-        chunk = F.size(F.filter("_bounds", lambda c: c[0] <= place))
-        bucket = (F.when(F.col("_bounds").isNull() | (chunk == 0), F.lit(0))
-                  .otherwise((chunk - 1) * _CHUNK + F.size(F.filter(F.col("_bounds")[chunk - 1], lambda x: x <= place))))
-        return rows.join(bounds, same, "left").withColumn("_bucket", bucket)
+        rows = rows.join(bounds, same, "left").withColumn("__place", place).withColumn("_bucket", F.lit(0))
+        # the bounds up to the place are counted by halving, in plain columns: lambda functions leave
+        # compiled code, and all bounds of a group would be copied to each of its rows
+        for step in (1 << k for k in reversed(range(most.bit_length()))):
+            after = F.col("_bucket") + step
+            rows = rows.withColumn("_bucket", F.when(F.get("_bounds", after - 1) <= F.col("__place"), after).otherwise(F.col("_bucket")))
+        return rows
 
     counts = (bucketed(narrow).where(F.col("_bounds").isNotNull()).groupBy(*[F.col(g).alias(f"_h_{g}") for g in group], F.col("_bucket").alias("_b"))
               .agg(F.count(F.lit(1)).alias("_n")))
@@ -79,7 +80,7 @@ def group_ordinal(df: DataFrame, group, order, out: str = "position", total: str
     inside = Window.partitionBy(*group, "_bucket")
     rows = bucketed(df)
     same = [rows[g].eqNullSafe(F.col(f"_h_{g}")) for g in group] + [F.col("_bucket") == F.col("_b")]
-    numbered = (rows.join(local(offsets), same, "left")
+    numbered = (rows.join(local(offsets.collect(), offsets.schema), same, "left")
                 .withColumn(out, F.row_number().over(inside.orderBy(*order)) - 1 + F.coalesce("_before", F.lit(0)).cast("bigint")))
     extra = [] if total is None else [F.coalesce("_rows", F.count(F.lit(1)).over(inside)).alias(total)]
     return numbered.select(*[F.col(c) for c in df.columns], F.col(out), *extra)

@@ -29,6 +29,15 @@ def test_group_ordinal_shuffles_once_and_cuts_the_hot_group(skewed):
     assert "SortMergeJoin" not in plan
 
 
+@pytest.mark.parametrize("bucket_rows", [1, 7, 40, 900])
+def test_group_ordinal_finds_buckets_in_compiled_code(skewed, bucket_rows):
+    got = S.group_ordinal(skewed, "label", "example_id", bucket_rows=bucket_rows)
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    w = Window.partitionBy("label").orderBy("example_id")
+    exp = skewed.withColumn("position", F.row_number().over(w) - 1)
+    assert sorted(got.select("example_id", "position").collect()) == sorted(exp.select("example_id", "position").collect())
+
+
 def test_group_ordinal_on_several_orders_ties_and_nulls(spark):
     rows = [(i % 5 or None, (i * 7) % 13 or None, f"k{i % 11}", i) for i in range(500)]
     df = spark.createDataFrame(rows, "g int, a int, b string, i int")
