@@ -23,7 +23,7 @@ from labelflow.operators.sampling import stratified_split
 
 
 # Rows of a training set that one task of a sweep holds.
-FIT_ROWS = 50_000
+FIT_ROWS = 20_000
 # Runs of letters, digits and underscores of any script are words.
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -66,24 +66,29 @@ def sweep(train: DataFrame, reg_params: Sequence[float], text: str = "utterance"
     which depends on the keys alone, so any partitioning gives the same runs.
     """
     rows = train.select(key, text, label).where(F.col(label).isNotNull())
-    parts = stratified_split(rows, label, key, test_size=validation_size, seed=seed)
     names = sorted(r[0] for r in rows.select(label).distinct().collect())
+    indexer, tok, tf, idf, _ = text_classifier(text, label, labels=names).getStages()
+    # words are cut and hashed once for all runs, in the tasks that read the rows: the number of those grows with the input
+    hashed = tf.transform(tok.transform(rows)).select(key, label, "tf")
+    parts = stratified_split(hashed, label, key, test_size=validation_size, seed=seed).persist()
     counts = {r["assigned"]: r["count"] for r in parts.groupBy("assigned").count().collect()}
     n_train, n_held = counts.get("train", 0), counts.get("validation", 0)
+    weights = idf.fit(parts.where(F.col("assigned") == "train"))
     # training sums floating-point numbers in row order: the rows' hashes and number alone give one
     # order for every layout of the input, in as many parts as there are rows for
     buckets = max(1, -(-n_train // FIT_ROWS))
     fit_rows = parts.where(F.col("assigned") == "train").repartition(buckets, key).sortWithinPartitions(key)
-    # words are cut and weighed once for all runs
-    *prepare, _ = text_classifier(text, label, labels=names).getStages()
-    ready = Pipeline(stages=prepare).fit(fit_rows)
-    vectors = ready.transform(fit_rows).select("label_idx", "features").persist()
-    held = parts.where(F.col("assigned") == "validation").persist()
+    vectors = indexer.transform(weights.transform(fit_rows)).select("label_idx", "features").persist()
+    held = weights.transform(parts.where(F.col("assigned") == "validation")).select(label, "features").persist()
+    vectors.count()
+    held.count()
+    parts.unpersist()
+    decode = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=names)
 
     def run(reg: float) -> tuple:
-        lr = text_classifier(text, label, max_iter=max_iter, reg_param=reg, labels=names).getStages()[-1]
-        model = PipelineModel(stages=[*ready.stages, lr.fit(vectors)])
-        m = summary_metrics(predict_labels(model, held), label, "predicted_label").first()
+        lr = text_classifier(text, label, max_iter=max_iter, reg_param=reg, labels=names).getStages()[-1].fit(vectors)
+        m = summary_metrics(decode.transform(lr.transform(held)), label, "predicted_label").first()
+        model = PipelineModel(stages=[indexer, tok, tf, weights, lr])
         return float(reg), float(m["accuracy"] or 0.0), float(m["macro_f1"] or 0.0), model
 
     # runs share the cached vectors; their jobs are interleaved

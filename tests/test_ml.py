@@ -33,3 +33,19 @@ def test_sweep_is_the_same_for_any_partitioning(rows):
     chosen = [r for r in one.collect() if r.chosen]
     assert len(chosen) == 1 and chosen[0].macro_f1 == max(r.macro_f1 for r in one.collect())
     assert chosen[0].n_train + chosen[0].n_validation == 60 and model.stages
+
+
+def test_sweep_cuts_words_once_in_the_tasks_that_read(spark, rows):
+    # each row is counted when its text is read for cutting words
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    once = rows.repartition(3).withColumn("utterance", counted.asNondeterministic()("utterance"))
+    runs, model = ml.sweep(once, (0.0, 0.01, 0.1), max_iter=3)
+    assert runs.count() == 3 and seen.value == rows.count()
+    assert [type(x).__name__ for x in model.stages] == ["StringIndexerModel", "RegexTokenizer", "HashingTF", "IDFModel", "LogisticRegressionModel"]
+    assert ml.predict_labels(model, rows).count() == rows.count()
